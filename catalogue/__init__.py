@@ -1,0 +1,6 @@
+"""The registered queries and the SQL they are checked against."""
+
+from . import judging, profiling
+
+QUERIES = profiling.QUERIES | judging.QUERIES
+ORACLES = profiling.ORACLES | judging.ORACLES

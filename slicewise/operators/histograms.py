@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.lanes import lane_of
 from ..functions.ranges import checked_width, range_end, range_label, range_start
 from ..functions.slices import ref
+from .profiles import one_zero
 
 
 def _buckets(df: DataFrame, value: Column, width: int, mode: str) -> DataFrame:
@@ -37,7 +38,7 @@ def _layout(buckets: DataFrame, column: str, width: int) -> DataFrame:
 def _numeric(df: DataFrame, column: str) -> Column:
     if lane_of(df.schema[column].dataType) == "text":
         raise TypeError(f"{column} is not numeric")
-    return ref(column)
+    return one_zero(column, lane_of(df.schema[column].dataType))
 
 
 def range_histogram(
@@ -62,7 +63,7 @@ def bounded_histogram(
     """
     width, value = checked_width(width), _numeric(df, column)
     dtype = df.schema[column].dataType
-    kept = value.between(F.lit(low).cast(dtype), F.lit(high).cast(dtype))
+    kept = ref(column).between(F.lit(low).cast(dtype), F.lit(high).cast(dtype))
     total = df.agg(F.count("*")).scalar()
     buckets = _buckets(df.filter(kept), value, width, mode).withColumn("table_count", total)
     return _layout(buckets, column, width)

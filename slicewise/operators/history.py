@@ -10,9 +10,10 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..functions.slices import Day, day_column, shift
+from ..functions.lanes import column_name_of, lane_number, lane_text, lanes_in, unpivot_lanes
+from ..functions.slices import Day, date_of, day_column, ref, shift
 from ..layout import STATS_SCHEMA, fit
 
 # What makes two statistics of different dates the same statistic.
@@ -45,6 +46,35 @@ def to_stats(profile: DataFrame, run: Run, table_name: str) -> DataFrame:
     return fit(tagged.withColumnRenamed("group_count", "error_records_count"), STATS_SCHEMA)
 
 
+def stats_of_all_slices(df: DataFrame, date_column: str, columns: list[str], run: Run, table_name: str) -> DataFrame:
+    """Value statistics of every slice in one pass, as history rows dated by their slice.
+
+    Fills a history at the start, for columns that are profiled by value. The window runs over the counted groups.
+    """
+    lanes = lanes_in(df, columns)
+    days = df.select(date_of(date_column).alias("batch_date"), *[ref(c) for c in columns])
+    groups = (
+        unpivot_lanes(days, columns, keep=["batch_date"])
+        .groupBy("batch_date", "column_no", *lanes)
+        .agg(F.count("*").alias("n"))
+    )
+    value, number = lane_text(lanes), lane_number(lanes)
+    rows = groups.select(
+        "batch_date",
+        column_name_of(F.col("column_no"), columns).alias("column_name"),
+        F.lit("value").alias("stat_kind"),
+        value.alias("column_value"),
+        F.sum("n").over(Window.partitionBy("batch_date", "column_no")).alias("table_count"),
+        F.when(value.isNull(), 0).otherwise(F.col("n")).alias("error_records_count"),
+        value.alias("min_value"),
+        value.alias("max_value"),
+        number.alias("min_number"),
+        number.alias("max_number"),
+    )
+    tags = {name: column for name, column in run.columns().items() if name != "batch_date"}
+    return fit(rows.withColumns(tags | {"table_name": F.lit(table_name)}), STATS_SCHEMA)
+
+
 def _run_key(df: DataFrame) -> Column:
     sequence = "batch_sequence" if "batch_sequence" in df.columns else "batch_seq_id"
     ids = ["project_id", "sub_project_id", "pipeline_id", "scenario_id", sequence]

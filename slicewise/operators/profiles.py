@@ -26,22 +26,22 @@ MERGE_GROUPS = 64
 MAX_GATE = 250
 
 
-def _typed(name: str, lane: str) -> Column:
+def one_zero(name: str, lane: str) -> Column:
     """The column as profiled; adding 0.0 turns -0.0 into 0.0, which group-by treats as equal too."""
     return ref(name) + F.lit(0.0) if lane == "real" else ref(name)
 
 
-def _number(value: Column, lane: str) -> Column:
+def asas_number(value: Column, lane: str) -> Column:
     return (F.lit(None) if lane == "text" else value).cast("double")
 
 
-def _listed_groups(estimate: str, lane: str) -> Column:
+def listed_groups(estimate: str, lane: str) -> Column:
     """The entries of a sketch as ``(value, number, rows)``."""
     return F.transform(
         F.expr(estimate),
         lambda g: F.struct(
             g["item"].cast("string").alias("value"),
-            _number(g["item"], lane).alias("number"),
+            as_number(g["item"], lane).alias("number"),
             g["count"].alias("rows"),
         ),
     )
@@ -59,7 +59,7 @@ def column_summaries(df: DataFrame, columns: list[str], gate: int = GATE, by: li
         raise ValueError(f"the gate must lie between 1 and {MAX_GATE}")
     by, lanes = by or [], lane_map(df, columns)
     capacity = 4 * gate
-    narrow = df.select(*[ref(k) for k in by], *[_typed(c, lanes[c]).alias(f"c{i}") for i, c in enumerate(columns)])
+    narrow = df.select(*[ref(k) for k in by], *[one_zero(c, lanes[c]).alias(f"c{i}") for i, c in enumerate(columns)])
 
     partial, merged = [F.count("*").alias("table_count")], [F.sum("table_count").alias("table_count")]
     for i in range(len(columns)):
@@ -80,14 +80,14 @@ def column_summaries(df: DataFrame, columns: list[str], gate: int = GATE, by: li
     per_column = []
     for i, name in enumerate(columns):
         lane = lanes[name]
-        groups = _listed_groups(f"approx_top_k_estimate(top{i}, {gate})", lane)
+        groups = listed_groups(f"approx_top_k_estimate(top{i}, {gate})", lane)
         per_column.append(
             F.struct(
                 F.lit(name).alias("column_name"),
                 F.col(f"min{i}").cast("string").alias("min_value"),
                 F.col(f"max{i}").cast("string").alias("max_value"),
-                _number(F.col(f"min{i}"), lane).alias("min_number"),
-                _number(F.col(f"max{i}"), lane).alias("max_number"),
+                as_number(F.col(f"min{i}"), lane).alias("min_number"),
+                as_number(F.col(f"max{i}"), lane).alias("max_number"),
                 groups.alias("groups"),
             )
         )
@@ -174,15 +174,15 @@ def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     ends = [
         end
         for i, c in enumerate(columns)
-        for end in (F.min(_typed(c, lanes[c])).alias(f"min{i}"), F.max(_typed(c, lanes[c])).alias(f"max{i}"))
+        for end in (F.min(one_zero(c, lanes[c])).alias(f"min{i}"), F.max(one_zero(c, lanes[c])).alias(f"max{i}"))
     ]
     per_column = [
         F.struct(
             F.lit(name).alias("column_name"),
             F.col(f"min{i}").cast("string").alias("min_value"),
             F.col(f"max{i}").cast("string").alias("max_value"),
-            _number(F.col(f"min{i}"), lanes[name]).alias("min_number"),
-            _number(F.col(f"max{i}"), lanes[name]).alias("max_number"),
+            as_number(F.col(f"min{i}"), lanes[name]).alias("min_number"),
+            as_number(F.col(f"max{i}"), lanes[name]).alias("max_number"),
         )
         for i, name in enumerate(columns)
     ]

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.lanes import LANES, column_name_of, lane_map, lanes_in, unpivot_lanes
 from ..functions.ranges import range_end, range_label, range_start
 from ..sources.control import bounded_broadcast, parse_requests
-from .profiles import GATE, MAX_GATE, _listed_groups, column_row, value_rows
+from .profiles import GATE, MAX_GATE, listed_groups, column_row, value_rows
 
 REQUEST_KEYS = ["column_no", "additional_info"]
 
@@ -49,7 +49,7 @@ def _summaries(rows: DataFrame, lanes: list[str], own: dict[int, str], gate: int
             F.max(F.expr(value)).alias(f"max_{lane}"),
             F.expr(f"approx_top_k({value}, {gate}, {capacity}) FILTER (WHERE column_no IN ({mine}))").alias(f"top_{lane}"),
         ]
-        groups.append(_listed_groups(f"top_{lane}", lane))
+        groups.append(listed_groups(f"top_{lane}", lane))
     numeric = [lane for lane in lanes if lane != "text"]
 
     def text(end: str) -> Column:
@@ -85,7 +85,7 @@ def _histograms(rows: DataFrame, lanes: list[str]) -> DataFrame:
             *REQUEST_KEYS,
             "width",
             F.coalesce(*[range_start(value[lane], width) for lane in lanes]).alias("range_start"),
-            F.coalesce(*[value[lane].cast("double") for lane in lanes]).alias("number"),
+            (F.coalesce(*[value[lane].cast("double") for lane in lanes]) + F.lit(0.0)).alias("number"),
         )
         .groupBy(*REQUEST_KEYS, "width", "range_start")
         .agg(F.count("*").alias("n"), F.min("number").alias("min_number"), F.max("number").alias("max_number"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.lanes import (
     column_name_of,
     lane_map,
+    lane_of,
     lane_number,
     lane_text,
     lanes_empty,
@@ -20,7 +21,7 @@ from ..functions.lanes import (
 )
 from ..functions.ranges import checked_width, range_end, range_label, range_start
 from ..functions.slices import Day, day_column, in_days, on_day, ref
-from .profiles import _number, _typed, column_row, column_summaries, value_rows
+from .profiles import as_number, column_row, column_summaries, one_zero, value_rows
 
 # Both slices must reach this many groups for a whole-column comparison.
 PAIR_GATE = 4
@@ -88,7 +89,7 @@ def column_profile_vs_prior(
     ends = []
     for i, c in enumerate(columns):
         for side, rows in (("here", here), ("before", ~here)):
-            value = F.when(rows, _typed(c, lanes[c]))
+            value = F.when(rows, one_zero(c, lanes[c]))
             ends += [F.min(value).alias(f"min_{side}{i}"), F.max(value).alias(f"max_{side}{i}")]
     per_column = []
     for i, c in enumerate(columns):
@@ -96,7 +97,7 @@ def column_profile_vs_prior(
         cells["group_count"] = tuple(F.when(F.col(s) > 0, F.col(s)) for s in ("here", "before"))
         both = {end: [F.col(f"{end}_{s}{i}") for s in ("here", "before")] for end in ("min", "max")}
         cells |= {f"{end}_value": tuple(x.cast("string") for x in both[end]) for end in both}
-        cells |= {f"{end}_number": tuple(_number(x, lanes[c]) for x in both[end]) for end in both}
+        cells |= {f"{end}_number": tuple(as_number(x, lanes[c]) for x in both[end]) for end in both}
         per_column.append(F.struct(*_sides(present, prior, F.lit(c), cells)))
     return (
         two_slices(df, date_column, present, prior, columns)
@@ -120,7 +121,9 @@ def histogram_vs_prior(
     width, here = checked_width(width), F.col(SIDE)
     value = F.col("value")
     rows = two_slices(df, date_column, present, prior, [column]).select(
-        SIDE, ref(column).alias("value"), range_start(ref(column), width, mode).alias("range_start")
+        SIDE,
+        one_zero(column, lane_of(df.schema[column].dataType)).alias("value"),
+        range_start(ref(column), width, mode).alias("range_start"),
     )
     groups = rows.groupBy("range_start", _null_side(F.col("range_start").isNull(), null_safe)).agg(
         *_count_sides(),
