@@ -1,6 +1,6 @@
 """The registered queries and the SQL they are checked against."""
 
-from . import judging, profiling
+from . import judging, parity, profiling, trends
 
-QUERIES = profiling.QUERIES | judging.QUERIES
-ORACLES = profiling.ORACLES | judging.ORACLES
+QUERIES = profiling.QUERIES | judging.QUERIES | parity.QUERIES | trends.QUERIES
+ORACLES = profiling.ORACLES | judging.ORACLES | parity.ORACLES | trends.ORACLES

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import slicewise as sw
-from slicewise.layout import STATS_SCHEMA, STATUS_SCHEMA
+from slicewise.layout import STATS_SCHEMA
 from slicewise.operators.verdicts import column_settings, past_for_settings, rule_status, validation_rows
 from slicewise.session import scratch_path
 
@@ -155,38 +155,58 @@ def _verdict_sql(rule: str, gap: str) -> str:
     return f"CASE WHEN {gap} {'=' if operator == '==' else operator} {limit} THEN 'Pass' ELSE 'Fail' END"
 
 
-def _judged_sql() -> str:
+TODAY_GATED_SQL = f"""
+    few AS (SELECT column_name FROM history WHERE batch_date = {D} GROUP BY column_name HAVING count(*) < 5),
+    gated AS (
+      SELECT *, 'value' AS kind FROM history WHERE batch_date = {D} AND column_name IN (SELECT column_name FROM few)
+      UNION ALL
+      SELECT DISTINCT batch_date, column_name, CAST(NULL AS VARCHAR), table_count, table_count, 'column' FROM history
+      WHERE batch_date = {D} AND column_name NOT IN (SELECT column_name FROM few))
+"""
+# The stored history in three states: value rows of all days; the same with today gated; today alone, gated.
+STORED_ALL = "stored AS (SELECT *, 'value' AS kind FROM history)"
+STORED_GATED = (
+    f"{TODAY_GATED_SQL}, stored AS (SELECT *, 'value' AS kind FROM history WHERE batch_date < {D} "
+    "UNION ALL SELECT * FROM gated)"
+)
+STORED_TODAY = f"{TODAY_GATED_SQL}, stored AS (SELECT * FROM gated)"
+
+
+def _judged_sql(stored: str = STORED_ALL) -> str:
     """One select per column: its own look-back, its rule written out."""
     rule_of = {c: (r, t) for c, r, t in sorted(RULE_ROWS, key=lambda x: x[1], reverse=True)}
     parts = []
     for column, _, days in REQUEST_ROWS:
         rule, band = rule_of[column]
+        today = f"SELECT * FROM stored WHERE batch_date = {D} AND column_name = '{column}'"
         if days > 0:
             low, high = (part.split("%")[0] for part in band.split("<->"))
+            past = (
+                "SELECT column_name, column_value, kind, CAST(trunc(avg(table_count)) AS BIGINT) AS past_table_count, "
+                f"CAST(trunc(avg(n)) AS BIGINT) AS past_count FROM stored WHERE column_name = '{column}' "
+                f"AND batch_date BETWEEN {D} - {days} AND {D} GROUP BY column_name, column_value, kind"
+            )
             parts.append(f"""
-              SELECT coalesce(t.column_name, p.column_name) AS column_name, t.column_value,
-                     p.column_value AS past_column_value, table_count, error_records_count,
+              SELECT column_name, column_value, past_column_value, table_count, error_records_count,
                      round({TREND_SQL}, 6) AS error_percentage, '{rule}' AS threshold_percentage,
                      {_verdict_sql(rule, f"({TREND_SQL})")} AS status, past_table_count AS average_table_count,
                      past_count AS average_error_records_count,
                      CAST(trunc({AVERAGE_SQL}) AS BIGINT) AS average_error_percentage,
                      '{band}' AS trend_threshold_percentage,
                      CASE WHEN {AVERAGE_SQL} BETWEEN {low} AND {high} THEN 'Pass' ELSE 'Fail' END AS trend_status
-              FROM (SELECT t.column_name AS here, p.column_name AS before, t.column_value AS v, p.column_value AS pv,
+              FROM (SELECT coalesce(t.column_name, p.column_name) AS column_name, t.column_value,
+                           p.column_value AS past_column_value,
                            coalesce(t.table_count, 0) AS table_count, coalesce(t.n, 0) AS error_records_count,
                            coalesce(p.past_table_count, 0) AS past_table_count, coalesce(p.past_count, 0) AS past_count
-                    FROM (SELECT * FROM history WHERE batch_date = {D} AND column_name = '{column}') t
-                    FULL OUTER JOIN (SELECT * FROM ({_past_sql(days)}) q WHERE column_name = '{column}') p
-                    ON t.column_name = p.column_name AND t.column_value = p.column_value) j,
-                   LATERAL (SELECT here AS column_name, v AS column_value) t,
-                   LATERAL (SELECT before AS column_name, pv AS column_value) p""")
+                    FROM ({today}) t FULL OUTER JOIN ({past}) p
+                    ON t.kind = p.kind AND (t.kind = 'column' OR t.column_value = p.column_value)) j""")
         else:
             gap = POINT_SQL.format(n="n")
             parts.append(f"""
               SELECT column_name, column_value, NULL, table_count, n, round({gap}, 6), '{rule}',
                      {_verdict_sql(rule, f"({gap})")}, NULL, NULL, NULL, NULL, NULL
-              FROM history WHERE batch_date = {D} AND column_name = '{column}'""")
-    return f"WITH {HISTORY_SQL}, judged_rows AS ({' UNION ALL '.join(parts)})"
+              FROM ({today}) t""")
+    return f"WITH {HISTORY_SQL}, {stored}, judged_rows AS ({' UNION ALL '.join(parts)})"
 
 
 JUDGED = [
@@ -244,17 +264,21 @@ def run_verdict(spark, sf_dir):
     return sw.run_verdict(sw.scenario_status(validation))
 
 
-@register("judge_slice", f"{_judged_sql()} SELECT * FROM judged_rows")
+@register("judge_slice", f"{_judged_sql(STORED_GATED)} SELECT * FROM judged_rows")
 def judge_slice(spark, sf_dir):
     """Requests to verdicts in one plan, the history being the daily statistics before the batch date."""
     earlier = events_history(spark, sf_dir).filter(F.col("batch_date") < F.lit(DAY).cast("date"))
-    observed = judged_events(spark, sf_dir).drop("event_type").withColumn("event_type", F.lit(None).cast("string"))
     observed = judged_events(spark, sf_dir)
     judged = sw.judge_slice(observed, "ts", "events", requests(spark), rules(spark), earlier, RUN)
     return _rounded(judged.select(*JUDGED), "error_percentage")
 
 
-@register("distribution_run", None)
+@register(
+    "distribution_run",
+    f"{_judged_sql(STORED_TODAY)} SELECT 7 AS scenario_id, 'daily events' AS scenario_name, {D} AS batch_date, "
+    "1 AS batch_seq_id, CASE WHEN count(*) FILTER (WHERE status = 'Fail' OR trend_status = 'Fail') > 0 THEN 'Fail' "
+    "ELSE 'Pass' END AS status FROM judged_rows",
+)
 def distribution_run(spark, sf_dir):
     """The scenario with its three written tables; the status row of the run."""
     folder = scratch_path(spark, "distribution")

@@ -395,3 +395,30 @@ FEW_SQL = f"WITH t AS (SELECT ts, {FEW} AS few FROM events) "
 def gated_profile_pair(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("ts", "event_type", "value", F.expr(FEW).alias("few"))
     return sw.gated_profile_pair(events, "ts", DAY, DAY_BEFORE, ["event_type", "value", "few"])
+
+
+@register(
+    "compare_with_prior",
+    "WITH t AS (SELECT * FROM events), "
+    "present AS (SELECT max(CAST(ts AS DATE)) AS d FROM events), "
+    "prior AS (SELECT max(CAST(ts AS DATE)) AS d FROM events WHERE CAST(ts AS DATE) < (SELECT d FROM present) "
+    "AND CAST(ts AS DATE) >= (SELECT d FROM present) - 8), "
+    "sides AS (SELECT CASE WHEN CAST(ts AS DATE) = (SELECT d FROM present) THEN 1 ELSE 0 END AS here, value, "
+    f"{_buckets_sql('value', 50)} AS range_start FROM events "
+    "WHERE CAST(ts AS DATE) IN ((SELECT d FROM present), (SELECT d FROM prior))) "
+    "SELECT 'column' AS stat_kind, (SELECT d FROM present) AS dt, 'value' AS column_name, CAST(NULL AS VARCHAR) AS column_value, "
+    "count(*) FILTER (WHERE here = 1) AS group_count, min(value) FILTER (WHERE here = 1) AS min_number, "
+    "max(value) FILTER (WHERE here = 1) AS max_number, (SELECT d FROM prior) AS past_dt, "
+    "count(*) FILTER (WHERE here = 0) AS past_group_count, min(value) FILTER (WHERE here = 0) AS past_min_number, "
+    "max(value) FILTER (WHERE here = 0) AS past_max_number FROM sides UNION ALL "
+    "SELECT 'range', CASE WHEN max(here) = 1 THEN (SELECT d FROM present) END, CASE WHEN max(here) = 1 THEN 'value' END, "
+    f"CASE WHEN max(here) = 1 THEN {_label_sql(50)} END, nullif(count(*) FILTER (WHERE here = 1), 0), "
+    "min(value) FILTER (WHERE here = 1), max(value) FILTER (WHERE here = 1), "
+    "CASE WHEN min(here) = 0 THEN (SELECT d FROM prior) END, nullif(count(*) FILTER (WHERE here = 0), 0), "
+    "min(value) FILTER (WHERE here = 0), max(value) FILTER (WHERE here = 0) FROM sides GROUP BY range_start",
+)
+def compare_with_prior(spark, sf_dir):
+    """The newest slice beside the nearest earlier one, whole column and histogram."""
+    compared = sw.compare_with_prior(table(spark, sf_dir, "events"), "ts", ["value"], widths={"value": 50})
+    fields = ["stat_kind", "dt", "column_name", "column_value", "group_count", "min_number", "max_number"]
+    return compared.select(*fields, "past_dt", "past_group_count", "past_min_number", "past_max_number")

@@ -31,7 +31,7 @@ def one_zero(name: str, lane: str) -> Column:
     return ref(name) + F.lit(0.0) if lane == "real" else ref(name)
 
 
-def asas_number(value: Column, lane: str) -> Column:
+def as_number(value: Column, lane: str) -> Column:
     return (F.lit(None) if lane == "text" else value).cast("double")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.lanes import LANES, column_name_of, lane_map, lanes_in, unpivot_lanes
 from ..functions.ranges import range_end, range_label, range_start
 from ..sources.control import bounded_broadcast, parse_requests
-from .profiles import GATE, MAX_GATE, listed_groups, column_row, value_rows
+from .profiles import GATE, MAX_GATE, column_row, listed_groups, value_rows
 
 REQUEST_KEYS = ["column_no", "additional_info"]
 
