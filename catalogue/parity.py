@@ -186,7 +186,7 @@ def parity_run(spark, sf_dir):
 
 def _folded(spark, sf_dir):
     """One record per conversation, with its turns as an array of structs and its ends as a struct."""
-    turn = F.struct("turn", "role", F.length("text").alias("size"))
+    turn = F.struct("turn", "role", F.length("text").cast("bigint").alias("size"))
     return (
         table(spark, sf_dir, "conversations")
         .groupBy("conv_id")

@@ -6,7 +6,9 @@ gives it. ``column`` rows hold the whole column with NULLs counted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.lanes import (
     column_name_of,
@@ -20,10 +22,18 @@ from ..functions.slices import ref
 
 # From this many groups on, a column is summed up in one row.
 GATE = 5
-# First-level merge groups of the gate sketches, so that no single task merges those of all input tasks.
-MERGE_GROUPS = 64
-# Largest gate for which the sketch decision below is proven.
-MAX_GATE = 250
+
+PROFILE_COLUMNS = [
+    "column_name",
+    "stat_kind",
+    "column_value",
+    "table_count",
+    "group_count",
+    "min_value",
+    "max_value",
+    "min_number",
+    "max_number",
+]
 
 
 def one_zero(name: str, lane: str) -> Column:
@@ -35,184 +45,109 @@ def as_number(value: Column, lane: str) -> Column:
     return (F.lit(None) if lane == "text" else value).cast("double")
 
 
-def listed_groups(estimate: str, lane: str) -> Column:
-    """The entries of a sketch as ``(value, number, rows)``."""
-    return F.transform(
-        F.expr(estimate),
-        lambda g: F.struct(
-            g["item"].cast("string").alias("value"),
-            as_number(g["item"], lane).alias("number"),
-            g["count"].alias("rows"),
-        ),
-    )
+def slot_words(gate: int) -> int:
+    """How many 64-bit words keep a column of many values far above ``gate`` used slots."""
+    return max(1, -(-gate // 16))
 
 
-def column_summaries(df: DataFrame, columns: list[str], gate: int = GATE, by: list[str] | None = None) -> DataFrame:
-    """One row per column (and ``by`` key): row count, typed extremes as text and number, and the groups if few.
+def used_slots(values: list[Column], gate: int, name: str) -> list[Column]:
+    """Aggregates that mark one slot per hashed value: ``bit_or`` of single bits, cheap and generated as code.
 
-    ``below_gate`` is exact. A frequent-items sketch of capacity 4 x gate holds true counts until it overflows, and
-    once it has overflowed, fewer than 2 x gate of its entries can never add up to the row count again. So a column is
-    below the gate exactly when the sketch lists fewer entries than the gate and their counts add up. One scan and
-    no shuffle of values, however many different values a column has.
+    Equal values, and NULLs, share a slot. So the number of marked slots is a lower bound of the number of groups: a
+    column that marks ``gate`` slots has at least ``gate`` groups. Fewer marks leave the question open.
     """
-    if not 1 <= gate <= MAX_GATE:
-        raise ValueError(f"the gate must lie between 1 and {MAX_GATE}")
-    by, lanes = by or [], lane_map(df, columns)
-    capacity = 4 * gate
-    narrow = df.select(*[ref(k) for k in by], *[one_zero(c, lanes[c]).alias(f"c{i}") for i, c in enumerate(columns)])
-
-    partial, merged = [F.count("*").alias("table_count")], [F.sum("table_count").alias("table_count")]
-    for i in range(len(columns)):
-        partial += [
-            F.min(f"c{i}").alias(f"min{i}"),
-            F.max(f"c{i}").alias(f"max{i}"),
-            F.expr(f"approx_top_k_accumulate(c{i}, {capacity})").alias(f"top{i}"),
-        ]
-        merged += [
-            F.min(f"min{i}").alias(f"min{i}"),
-            F.max(f"max{i}").alias(f"max{i}"),
-            F.expr(f"approx_top_k_combine(top{i}, {capacity})").alias(f"top{i}"),
-        ]
-    merge_group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("merge_group")
-    keys = [ref(k) for k in by]
-    sides = narrow.groupBy(*keys, merge_group).agg(*partial).groupBy(*keys).agg(*merged)
-
-    per_column = []
-    for i, name in enumerate(columns):
-        lane = lanes[name]
-        groups = listed_groups(f"approx_top_k_estimate(top{i}, {gate})", lane)
-        per_column.append(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.col(f"min{i}").cast("string").alias("min_value"),
-                F.col(f"max{i}").cast("string").alias("max_value"),
-                as_number(F.col(f"min{i}"), lane).alias("min_number"),
-                as_number(F.col(f"max{i}"), lane).alias("max_number"),
-                groups.alias("groups"),
-            )
-        )
-    listed = F.aggregate("groups", F.lit(0).cast("bigint"), lambda total, g: total + g["rows"])
-    return (
-        sides.filter("table_count > 0")
-        .select(*keys, "table_count", F.inline(F.array(*per_column)))
-        .withColumn("below_gate", (F.size("groups") < gate) & (listed == F.col("table_count")))
-    )
-
-
-def profile_row(kind: str, **fields: Column) -> Column:
-    """A struct in the shape of one profile row, without the column name and table count."""
-    order = [
-        ("column_value", "string"),
-        ("group_count", "bigint"),
-        ("min_value", "string"),
-        ("max_value", "string"),
-        ("min_number", "double"),
-        ("max_number", "double"),
+    slot, words = F.xxhash64(*values), slot_words(gate)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63)).cast("int"))
+    if words == 1:
+        return [F.bit_or(bit).alias(f"{name}_0")]
+    word = F.pmod(F.shiftright(slot, 6), F.lit(words))
+    return [
+        F.bit_or(F.when(word == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"{name}_{w}") for w in range(words)
     ]
-    cells = [fields.get(name, F.lit(None)).cast(kind_of).alias(name) for name, kind_of in order]
-    return F.struct(F.lit(kind).alias("stat_kind"), *cells)
-
-
-def value_rows(groups: Column) -> Column:
-    """Profile rows of an array of ``(value, number, rows)``."""
-    return F.transform(
-        groups,
-        lambda g: profile_row(
-            "value",
-            column_value=g["value"],
-            group_count=F.when(g["value"].isNull(), 0).otherwise(g["rows"]),
-            min_value=g["value"],
-            max_value=g["value"],
-            min_number=g["number"],
-            max_number=g["number"],
-        ),
-    )
 
 
-def column_row(rows: Column) -> Column:
-    return profile_row(
-        "column",
-        group_count=rows,
-        min_value=F.col("min_value"),
-        max_value=F.col("max_value"),
-        min_number=F.col("min_number"),
-        max_number=F.col("max_number"),
-    )
+def marked(row: dict, gate: int, name: str) -> int:
+    """Marked slots in a fetched row of ``used_slots``."""
+    return sum(((row[f"{name}_{w}"] or 0) & (2**64 - 1)).bit_count() for w in range(slot_words(gate)))
 
 
-PROFILE_COLUMNS = [
-    "column_name",
-    "stat_kind",
-    "column_value",
-    "table_count",
-    "group_count",
-    "min_value",
-    "max_value",
-    "min_number",
-    "max_number",
-]
+def extremes(name: str, lane: str, alias: str, rows: Column | None = None) -> list[Column]:
+    """Minimum and maximum of a column, of some rows only when a condition is given."""
+    value = one_zero(name, lane)
+    value = value if rows is None else F.when(rows, value)
+    return [F.min(value).alias(f"min_{alias}"), F.max(value).alias(f"max_{alias}")]
 
 
-def gated_profile(df: DataFrame, columns: list[str], gate: int = GATE) -> DataFrame:
-    """Value rows for columns with fewer than ``gate`` groups, one whole-column row for the others.
-
-    The NULL group counts as a group. An empty slice has no rows.
-    """
-    rows = F.when(F.col("below_gate"), value_rows(F.col("groups"))).otherwise(
-        F.array(column_row(F.col("table_count")))
-    )
-    return (
-        column_summaries(df, columns, gate)
-        .select("column_name", "table_count", F.inline(rows))
-        .select(*PROFILE_COLUMNS)
-    )
-
-
-def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One whole-column row per column, all columns in one aggregate."""
-    lanes = lane_map(df, columns)
-    ends = [
-        end
-        for i, c in enumerate(columns)
-        for end in (F.min(one_zero(c, lanes[c])).alias(f"min{i}"), F.max(one_zero(c, lanes[c])).alias(f"max{i}"))
-    ]
+def _column_rows(wide: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:
+    """Whole-column rows from one row with ``table_count`` and extremes; ``columns``: name -> (alias, lane)."""
     per_column = [
         F.struct(
             F.lit(name).alias("column_name"),
-            F.col(f"min{i}").cast("string").alias("min_value"),
-            F.col(f"max{i}").cast("string").alias("max_value"),
-            as_number(F.col(f"min{i}"), lanes[name]).alias("min_number"),
-            as_number(F.col(f"max{i}"), lanes[name]).alias("max_number"),
+            F.col(f"min_{alias}").cast("string").alias("min_value"),
+            F.col(f"max_{alias}").cast("string").alias("max_value"),
+            as_number(F.col(f"min_{alias}"), lane).alias("min_number"),
+            as_number(F.col(f"max_{alias}"), lane).alias("max_number"),
         )
-        for i, name in enumerate(columns)
+        for name, (alias, lane) in columns.items()
     ]
     return (
-        df.agg(F.count("*").alias("table_count"), *ends)
-        .filter("table_count > 0")
+        wide.filter("table_count > 0")
         .select("table_count", F.inline(F.array(*per_column)))
-        .withColumn("stat_kind", F.lit("column"))
-        .withColumn("column_value", F.lit(None).cast("string"))
-        .withColumn("group_count", F.col("table_count"))
+        .withColumns(
+            {
+                "stat_kind": F.lit("column"),
+                "column_value": F.lit(None).cast("string"),
+                "group_count": F.col("table_count"),
+            }
+        )
         .select(*PROFILE_COLUMNS)
     )
 
 
-def multi_column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Value rows of several columns, whatever their number of groups: one unpivot and one group-by.
+def by_text(df: DataFrame, columns: list[str]) -> list[list[str]]:
+    """Numeric columns and text columns apart: extremes of text keep a whole aggregate from being generated as code."""
+    lanes = lane_map(df, columns)
+    parts = [c for c in columns if lanes[c] != "text"], [c for c in columns if lanes[c] == "text"]
+    return [part for part in parts if part]
+
+
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One whole-column row per column; one aggregate for all numeric columns and one for all text columns."""
+    lanes, frames = lane_map(df, columns), []
+    for part in by_text(df, columns):
+        ends = [end for i, c in enumerate(part) for end in extremes(c, lanes[c], str(i))]
+        wide = df.agg(F.count("*").alias("table_count"), *ends)
+        frames.append(_column_rows(wide, {c: (str(i), lanes[c]) for i, c in enumerate(part)}))
+    return union_all(frames)
+
+
+def value_groups(df: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:
+    """``keep..., column_no``, lanes and ``n``: rows per value of several columns, by one unpivot and one group-by.
 
     Rows are counted per value before the shuffle, so a value that holds much of the table travels as one row per
-    task. The table count is a count of the slice on its own, which reads no profiled column.
+    task.
+    """
+    keys = [*(keep or []), "column_no", *lanes_in(df, columns)]
+    return unpivot_lanes(df, columns, keep).groupBy(*keys).agg(F.count("*").alias("n"))
+
+
+def multi_column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Value rows of several columns, whatever their number of groups.
+
+    The table count is a count of the slice on its own, which reads no profiled column.
     """
     lanes = lanes_in(df, columns)
-    groups = unpivot_lanes(df, columns).groupBy("column_no", *lanes).agg(F.count("*").alias("rows"))
-    total = df.agg(F.count("*")).scalar()
     value, number = lane_text(lanes), lane_number(lanes)
-    return groups.select(
+    return value_groups(df, columns).select(
         column_name_of(F.col("column_no"), columns).alias("column_name"),
         F.lit("value").alias("stat_kind"),
         value.alias("column_value"),
-        total.alias("table_count"),
-        F.when(value.isNull(), 0).otherwise(F.col("rows")).cast("bigint").alias("group_count"),
+        df.agg(F.count("*")).scalar().alias("table_count"),
+        F.when(value.isNull(), 0).otherwise(F.col("n")).cast("bigint").alias("group_count"),
         value.alias("min_value"),
         value.alias("max_value"),
         number.alias("min_number"),
@@ -223,3 +158,75 @@ def multi_column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 def value_profile(df: DataFrame, column: str) -> DataFrame:
     """Value rows of one column."""
     return multi_column_profile(df, [column])
+
+
+def gate_groups(groups: DataFrame, keys: list[str], lanes: list[str], gate: int) -> DataFrame:
+    """Value rows of keys with fewer than ``gate`` groups, one whole-column row for the other keys.
+
+    Meant for groups that ``used_slots`` has shown to be few, since the groups of a key meet in one task.
+    """
+    of_key, numeric = Window.partitionBy(*keys), [lane for lane in lanes if lane != "text"]
+
+    def ends(end: str) -> tuple[Column, Column]:
+        text = F.coalesce(*[F.col(f"{end}_{lane}").cast("string") for lane in lanes])
+        number = F.coalesce(*[F.col(f"{end}_{lane}").cast("double") for lane in numeric], F.lit(None).cast("double"))
+        return text, number
+
+    known = groups.withColumns(
+        {
+            "groups": F.count("*").over(of_key),
+            "total": F.sum("n").over(of_key),
+            "place": F.row_number().over(of_key.orderBy(*lanes)),
+        }
+        | {f"{f.__name__}_{lane}": f(lane).over(of_key) for lane in lanes for f in (F.min, F.max)}
+    ).filter((F.col("groups") < gate) | (F.col("place") == 1))
+    few, value, number = F.col("groups") < gate, lane_text(lanes), lane_number(lanes)
+    (min_text, min_number), (max_text, max_number) = ends("min"), ends("max")
+    return known.select(
+        *keys,
+        F.when(few, F.lit("value")).otherwise(F.lit("column")).alias("stat_kind"),
+        F.when(few, value).alias("column_value"),
+        F.when(few & value.isNull(), 0).when(few, F.col("n")).otherwise(F.col("total")).cast("bigint").alias("group_count"),
+        F.when(few, value).otherwise(min_text).alias("min_value"),
+        F.when(few, value).otherwise(max_text).alias("max_value"),
+        F.when(few, number).otherwise(min_number).alias("min_number"),
+        F.when(few, number).otherwise(max_number).alias("max_number"),
+    )
+
+
+def gated_profile(df: DataFrame, columns: list[str], gate: int = GATE) -> DataFrame:
+    """Value rows for columns with fewer than ``gate`` groups, one whole-column row for the others.
+
+    The NULL group counts as a group. An empty slice has no rows.
+
+    A first aggregate, run at once, brings one row to the driver: marked slots of every column and extremes of the numeric
+    ones. Columns it proves to reach the gate are done with (text still needs its extremes). Only the others, whose
+    values are few, are counted by value, so no column with many values is ever shuffled, and the second scan reads the
+    columns that compress best. Their groups decide exactly.
+    """
+    lanes, spark = lane_map(df, columns), df.sparkSession
+    first = [F.count("*").alias("table_count")]
+    for i, c in enumerate(columns):
+        first += used_slots([one_zero(c, lanes[c])], gate, f"slots{i}")
+        first += extremes(c, lanes[c], str(i)) if lanes[c] != "text" else []
+    fetched = df.agg(*first).toArrow()
+    row = fetched.to_pylist()[0]
+    proven = [c for i, c in enumerate(columns) if marked(row, gate, f"slots{i}") >= gate]
+    open_ = [c for c in columns if c not in proven]
+
+    frames = []
+    done = {c: (str(columns.index(c)), lanes[c]) for c in proven if lanes[c] != "text"}
+    if done:
+        frames.append(_column_rows(spark.createDataFrame(fetched), done))
+    if [c for c in proven if lanes[c] == "text"]:
+        frames.append(column_profile(df, [c for c in proven if lanes[c] == "text"]))
+    if open_:
+        counted = gate_groups(value_groups(df, open_), ["column_no"], lanes_in(df, open_), gate)
+        named = counted.withColumns(
+            {
+                "column_name": column_name_of(F.col("column_no"), open_),
+                "table_count": F.lit(row["table_count"]).cast("bigint"),
+            }
+        )
+        frames.append(named.select(*PROFILE_COLUMNS))
+    return union_all(frames)

@@ -1,19 +1,42 @@
-"""Profiles asked for by control rows, all requests answered in one plan."""
+"""Profiles asked for by control rows, all requests of a table answered together."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
-from ..functions.lanes import LANES, column_name_of, lane_map, lanes_in, unpivot_lanes
+from ..functions.lanes import lane_map, lanes_in, unpivot_lanes
 from ..functions.ranges import range_end, range_label, range_start
-from ..sources.control import bounded_broadcast, parse_requests
-from .profiles import GATE, MAX_GATE, column_row, listed_groups, value_rows
+from ..layout import PROFILE_SCHEMA, fit
+from ..sources.control import local_table, parse_requests
+from .profiles import GATE, gate_groups, marked, union_all, used_slots
 
-REQUEST_KEYS = ["column_no", "additional_info"]
+KEY = "request_no"
+Wanted = dict[int, Row]
+
+
+def read_requests(df: DataFrame, requests: DataFrame) -> Wanted:
+    """The requests that name a column of the table and have readable bounds, numbered."""
+    rows = (
+        parse_requests(requests)
+        .filter((F.col("request_mode") != "rejected") & F.col("column_name").isin(df.columns))
+        .select("column_name", "additional_info", "request_mode", "low", "high", "width")
+        .distinct()
+        .orderBy("column_name", "additional_info")
+        .collect()
+    )
+    return dict(enumerate(rows))
+
+
+def _request_table(df: DataFrame, wanted: Wanted, columns: list[str]) -> DataFrame:
+    fields = [(KEY, pa.int32()), ("column_no", pa.int32()), ("width", pa.int32())]
+    fields += [(name, pa.string()) for name in ("column_name", "additional_info", "request_mode", "low", "high")]
+    rows = [r.asDict() | {KEY: no, "column_no": columns.index(r["column_name"])} for no, r in wanted.items()]
+    return local_table(df.sparkSession, pa.Table.from_pylist(rows, schema=pa.schema(fields)))
 
 
 def _in_bounds(lanes: list[str]) -> Column:
-    """Whether a row counts for its request: always without bounds, else both ends included and NULL left out.
+    """Whether a value counts for its request: always without bounds, else both ends included and NULL left out.
 
     Bounds are cast to the type of the lane; on text they compare as text.
     """
@@ -23,110 +46,97 @@ def _in_bounds(lanes: list[str]) -> Column:
     return F.when(F.col("request_mode") == "plain", True).otherwise(F.coalesce(*inside, F.lit(False)))
 
 
-def _requested_rows(df: DataFrame, requests: DataFrame, columns: list[str]) -> DataFrame:
-    names = F.array(*[F.lit(c) for c in columns])
-    wanted = (
-        parse_requests(requests)
-        .filter("request_mode <> 'rejected'")
-        .withColumn("column_no", (F.array_position(names, F.col("column_name")) - 1).cast("int"))
-        .filter("column_no >= 0")
-        .select(*REQUEST_KEYS, "request_mode", "low", "high", "width")
-        .distinct()
-    )
-    rows = unpivot_lanes(df, columns).join(bounded_broadcast(wanted), "column_no")
-    return rows.withColumn("counted", _in_bounds(lanes_in(df, columns))).filter("counted")
-
-
-def _summaries(rows: DataFrame, lanes: list[str], own: dict[int, str], gate: int) -> DataFrame:
-    """One row per request: counted rows, typed extremes and the groups if few (see ``column_summaries``)."""
-    capacity = 4 * gate
-    aggregates, groups = [F.count("*").alias("n")], []
-    for lane in lanes:
-        value = f"{lane} + 0.0D" if lane == "real" else lane
-        mine = ", ".join(str(no) for no, name in own.items() if name == lane)
-        aggregates += [
-            F.min(F.expr(value)).alias(f"min_{lane}"),
-            F.max(F.expr(value)).alias(f"max_{lane}"),
-            F.expr(f"approx_top_k({value}, {gate}, {capacity}) FILTER (WHERE column_no IN ({mine}))").alias(f"top_{lane}"),
-        ]
-        groups.append(listed_groups(f"top_{lane}", lane))
-    numeric = [lane for lane in lanes if lane != "text"]
+def _rows_of(df: DataFrame, wanted: Wanted) -> tuple[DataFrame, list[str]]:
+    """The values that count for each request, from the requested columns only, and their lanes."""
+    named = {r["column_name"] for r in wanted.values()}
+    columns = [c for c in df.columns if c in named]
+    keys = _request_table(df, wanted, columns).drop("column_name", "additional_info")
+    lanes = lanes_in(df, columns)
+    rows = unpivot_lanes(df, columns).join(keys, "column_no").filter(_in_bounds(lanes))
+    return rows.select(KEY, "width", *[_one_zero(lane).alias(lane) for lane in lanes]), lanes
 
-    def text(end: str) -> Column:
-        return F.coalesce(*[F.col(f"{end}_{lane}").cast("string") for lane in lanes])
-
-    def number(end: str) -> Column:
-        return F.coalesce(*[F.col(f"{end}_{lane}").cast("double") for lane in numeric], F.lit(None).cast("double"))
-
-    listed = F.aggregate("groups", F.lit(0).cast("bigint"), lambda total, g: total + g["rows"])
-    return (
-        rows.groupBy(*REQUEST_KEYS)
-        .agg(*aggregates)
-        .select(
-            *REQUEST_KEYS,
-            "n",
-            text("min").alias("min_value"),
-            text("max").alias("max_value"),
-            number("min").alias("min_number"),
-            number("max").alias("max_number"),
-            F.concat(*groups).alias("groups"),
-        )
-        .withColumn("below_gate", (F.size("groups") < gate) & (listed == F.col("n")))
-    )
+
+def _one_zero(lane: str) -> Column:
+    return F.col(lane) + F.lit(0.0) if lane == "real" else F.col(lane)
+
+
+def _column_rows(found: DataFrame, lanes: list[str]) -> DataFrame:
+    """Whole-column rows from ``n`` and the extremes of lanes."""
+    ends = {}
+    for end in ("min", "max"):
+        ends[f"{end}_value"] = F.coalesce(*[F.col(f"{end}_{lane}").cast("string") for lane in lanes])
+        numbers = [F.col(f"{end}_{lane}").cast("double") for lane in lanes if lane != "text"]
+        ends[f"{end}_number"] = F.coalesce(*numbers, F.lit(None).cast("double"))
+    return found.withColumns({"stat_kind": F.lit("column"), "group_count": F.col("n")} | ends)
 
 
-def _histograms(rows: DataFrame, lanes: list[str]) -> DataFrame:
+def _ends(lanes: list[str]) -> list[Column]:
+    return [f(lane).alias(f"{f.__name__}_{lane}") for lane in lanes for f in (F.min, F.max)]
+
+
+def _profiles(df: DataFrame, wanted: Wanted, gate: int) -> list[DataFrame]:
+    """Gated rows per request, decided as in ``gated_profile``: one fetched row per request, then values of the few."""
+    rows, lanes = _rows_of(df, wanted)
+    numeric = [lane for lane in lanes if lane != "text"]
+    slots = used_slots([F.col(lane) for lane in lanes], gate, "slots")
+    fetched = rows.groupBy(KEY).agg(F.count("*").alias("n"), *slots, *_ends(numeric)).toArrow()
+    counted = {r[KEY]: r for r in fetched.to_pylist()}
+    kind = lane_map(df, [r["column_name"] for r in wanted.values()])
+    proven = {no for no, r in counted.items() if marked(r, gate, "slots") >= gate}
+    texts = {no for no in proven if kind[wanted[no]["column_name"]] == "text"}
+
+    frames = []
+    if proven - texts:
+        done = fetched.filter(pa.array([no in proven - texts for no in fetched[KEY].to_pylist()], pa.bool_()))
+        frames.append(_column_rows(df.sparkSession.createDataFrame(done), numeric))
+    if texts:
+        found, _ = _rows_of(df, {no: wanted[no] for no in texts})
+        frames.append(_column_rows(found.groupBy(KEY).agg(F.count("*").alias("n"), *_ends(["text"])), ["text"]))
+    open_ = counted.keys() - proven
+    if open_:
+        found, own = _rows_of(df, {no: wanted[no] for no in open_})
+        frames.append(gate_groups(found.groupBy(KEY, *own).agg(F.count("*").alias("n")), [KEY], own, gate))
+    return frames
+
+
+def _histograms(df: DataFrame, wanted: Wanted) -> DataFrame:
     """Buckets of all requests with a width; text that is a number is read as one."""
+    rows, lanes = _rows_of(df, wanted)
     width = F.col("width")
     value = {lane: F.col(lane).try_cast("double") if lane == "text" else F.col(lane) for lane in lanes}
-    return (
-        rows.filter("width IS NOT NULL")
-        .select(
-            *REQUEST_KEYS,
-            "width",
-            F.coalesce(*[range_start(value[lane], width) for lane in lanes]).alias("range_start"),
-            (F.coalesce(*[value[lane].cast("double") for lane in lanes]) + F.lit(0.0)).alias("number"),
-        )
-        .groupBy(*REQUEST_KEYS, "width", "range_start")
+    start = F.coalesce(*[range_start(value[lane], width) for lane in lanes]).alias("range_start")
+    number = F.coalesce(*[value[lane].cast("double") for lane in lanes]).alias("number")
+    buckets = (
+        rows.select(KEY, "width", start, number)
+        .groupBy(KEY, "width", "range_start")
         .agg(F.count("*").alias("n"), F.min("number").alias("min_number"), F.max("number").alias("max_number"))
     )
+    low, high = F.col("range_start"), range_end(F.col("range_start"), width)
+    return buckets.withColumns(
+        {
+            "stat_kind": F.lit("range"),
+            "column_value": range_label(low, high),
+            "group_count": F.when(low.isNull(), 0).otherwise(F.col("n")),
+            "range_end": high,
+        }
+    )
 
 
-def request_profile(
-    df: DataFrame, requests: DataFrame, columns: list[str] | None = None, gate: int = GATE
-) -> DataFrame:
+def request_profile(df: DataFrame, requests: DataFrame, gate: int = GATE) -> DataFrame:
     """Gated profile and histogram rows of every request, for one slice.
 
-    ``columns`` are the columns that may be requested; by default the requested ones that the table has, read from the
-    control table (no more than the table has columns), so that the scan reads no other column. A request for a column
-    that the table lacks has no rows. ``table_count`` is the row count of the slice before any bound.
+    Requests are read first: they name the columns, so that no other column is scanned. A request for a column that the
+    table lacks, or with unreadable bounds, has no rows. ``table_count`` is the row count of the slice before any bound.
     """
-    if not 1 <= gate <= MAX_GATE:
-        raise ValueError(f"the gate must lie between 1 and {MAX_GATE}")
-    if columns is None:
-        asked = requests.filter(F.col("column_name").isin(df.columns)).select("column_name").distinct()
-        named = {row["column_name"] for row in asked.collect()}
-        columns = [c for c in df.columns if c in named]
-    if not columns:
-        raise ValueError("no requested column exists in the table")
-    own = dict(enumerate(lane_map(df, columns).values()))
-    lanes = [lane for lane in LANES if lane in own.values()]
-    rows = _requested_rows(df, requests, columns)
-    total = df.agg(F.count("*")).scalar()
-    name = column_name_of(F.col("column_no"), columns).alias("column_name")
-
-    profile = F.when(F.col("below_gate"), value_rows(F.col("groups"))).otherwise(F.array(column_row(F.col("n"))))
-    plain = _summaries(rows, lanes, own, gate).select(name, "additional_info", F.inline(profile))
-    start, end = F.col("range_start"), range_end(F.col("range_start"), F.col("width"))
-    ranges = _histograms(rows, lanes).select(
-        name,
-        "additional_info",
-        F.lit("range").alias("stat_kind"),
-        range_label(start, end).alias("column_value"),
-        F.when(start.isNull(), 0).otherwise(F.col("n")).cast("bigint").alias("group_count"),
-        "min_number",
-        "max_number",
-        start.alias("range_start"),
-        end.alias("range_end"),
-    )
-    return plain.unionByName(ranges, allowMissingColumns=True).withColumn("table_count", total)
+    wanted = read_requests(df, requests)
+    if not wanted:
+        raise ValueError("no request names a column of the table")
+    frames = _profiles(df, wanted, gate)
+    ranged = {no: r for no, r in wanted.items() if r["width"] is not None}
+    if ranged:
+        frames.append(_histograms(df, ranged))
+    layout = f"{KEY} int, {PROFILE_SCHEMA}"
+    empty = df.sparkSession.createDataFrame([], layout)
+    names = _request_table(df, wanted, df.columns).select(KEY, "column_name", "additional_info")
+    rows = union_all([empty, *[fit(f, layout) for f in frames]]).drop("column_name", "table_count")
+    return rows.join(names, KEY).drop(KEY).withColumn("table_count", df.agg(F.count("*")).scalar())

@@ -7,7 +7,9 @@ group of each side is a row of its own unless ``null_safe`` is set.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.lanes import (
     column_name_of,
@@ -21,7 +23,7 @@ from ..functions.lanes import (
 )
 from ..functions.ranges import checked_width, range_end, range_label, range_start
 from ..functions.slices import Day, day_column, in_days, on_day, ref
-from .profiles import as_number, column_row, column_summaries, one_zero, value_rows
+from .profiles import as_number, by_text, extremes, marked, one_zero, union_all, used_slots
 
 # Both slices must reach this many groups for a whole-column comparison.
 PAIR_GATE = 4
@@ -81,30 +83,34 @@ def value_profile_vs_prior(
     return _value_pairs(rows, lanes_in(df, columns), columns, present, prior, null_safe)
 
 
-def column_profile_vs_prior(
-    df: DataFrame, date_column: str, present: Day, prior: Day, columns: list[str]
-) -> DataFrame:
-    """Whole-column rows of two slices side by side, all columns in one aggregate."""
-    lanes, here = lane_map(df, columns), F.col(SIDE)
-    ends = []
-    for i, c in enumerate(columns):
-        for side, rows in (("here", here), ("before", ~here)):
-            value = F.when(rows, one_zero(c, lanes[c]))
-            ends += [F.min(value).alias(f"min_{side}{i}"), F.max(value).alias(f"max_{side}{i}")]
+def _column_pairs(wide: DataFrame, columns: dict[str, tuple[str, str]], present: Day, prior: Day) -> DataFrame:
+    """Whole-column rows of both sides from one row of counts and extremes; ``columns``: name -> (alias, lane)."""
     per_column = []
-    for i, c in enumerate(columns):
+    for name, (alias, lane) in columns.items():
         cells = {"column_value": (F.lit(None).cast("string"),) * 2}
         cells["group_count"] = tuple(F.when(F.col(s) > 0, F.col(s)) for s in ("here", "before"))
-        both = {end: [F.col(f"{end}_{s}{i}") for s in ("here", "before")] for end in ("min", "max")}
+        both = {end: [F.col(f"{end}_{alias}_{s}") for s in ("here", "before")] for end in ("min", "max")}
         cells |= {f"{end}_value": tuple(x.cast("string") for x in both[end]) for end in both}
-        cells |= {f"{end}_number": tuple(as_number(x, lanes[c]) for x in both[end]) for end in both}
-        per_column.append(F.struct(*_sides(present, prior, F.lit(c), cells)))
-    return (
-        two_slices(df, date_column, present, prior, columns)
-        .agg(*_count_sides(), *ends)
-        .filter("here + before > 0")
-        .select(F.inline(F.array(*per_column)))
-    )
+        cells |= {f"{end}_number": tuple(as_number(x, lane) for x in both[end]) for end in both}
+        per_column.append(F.struct(*_sides(present, prior, F.lit(name), cells)))
+    return wide.filter("here + before > 0").select(F.inline(F.array(*per_column)))
+
+
+def _side_extremes(name: str, lane: str, alias: str) -> list[Column]:
+    here = F.col(SIDE)
+    return extremes(name, lane, f"{alias}_here", here) + extremes(name, lane, f"{alias}_before", ~here)
+
+
+def column_profile_vs_prior(
+    df: DataFrame, date_column: str, present: Day, prior: Day, columns: list[str]
+) -> DataFrame:
+    """Whole-column rows of two slices side by side; one aggregate for all numeric and one for all text columns."""
+    lanes, frames = lane_map(df, columns), []
+    for part in by_text(df, columns):
+        ends = [end for i, c in enumerate(part) for end in _side_extremes(c, lanes[c], str(i))]
+        wide = two_slices(df, date_column, present, prior, part).agg(*_count_sides(), *ends)
+        frames.append(_column_pairs(wide, {c: (str(i), lanes[c]) for i, c in enumerate(part)}, present, prior))
+    return union_all(frames)
 
 
 def histogram_vs_prior(
@@ -148,6 +154,34 @@ def histogram_vs_prior(
     return groups.select(*_sides(present, prior, F.lit(column), cells))
 
 
+def _reached(sides: DataFrame, columns: list[str], gate: int) -> set[str]:
+    """The columns with at least ``gate`` groups on both sides, exactly.
+
+    One aggregate over all columns proves most cases by marked slots, with one row per side fetched. What a side leaves
+    open has few values there; those are counted, and one row per open side and column is fetched.
+    """
+    lanes = lane_map(sides, columns)
+    slots = [m for i, c in enumerate(columns) for m in used_slots([one_zero(c, lanes[c])], gate, f"slots{i}")]
+    rows = {r[SIDE]: r for r in sides.groupBy(SIDE).agg(*slots).toArrow().to_pylist()}
+    if len(rows) < 2:
+        return set()
+    open_ = {
+        c: [side for side in rows if marked(rows[side], gate, f"slots{i}") < gate] for i, c in enumerate(columns)
+    }
+    reached = {c for c in columns if not open_[c]}
+    left = [c for c in columns if open_[c]]
+    if left:
+        asked = reduce(
+            lambda a, b: a | b,
+            [(F.col("column_no") == i) & F.col(SIDE).isin(open_[c]) for i, c in enumerate(left)],
+        )
+        groups = unpivot_lanes(sides, left, keep=[SIDE]).filter(asked).select(SIDE, "column_no", *lanes_in(sides, left))
+        counts = groups.distinct().groupBy("column_no", SIDE).agg(F.count("*").alias("n")).collect()
+        enough = {(r["column_no"], r[SIDE]) for r in counts if r["n"] >= gate}
+        reached |= {c for i, c in enumerate(left) if all((i, side) in enough for side in open_[c])}
+    return reached
+
+
 def gated_profile_pair(
     df: DataFrame,
     date_column: str,
@@ -157,36 +191,15 @@ def gated_profile_pair(
     gate: int = PAIR_GATE,
     null_safe: bool = False,
 ) -> DataFrame:
-    """Whole-column comparison where both slices reach the gate, value comparison for all other columns.
-
-    The groups of a column that stays below the gate on both sides are known from the sketches of the first scan. Only
-    columns that reach it on one side need their values counted, by a second scan; when there is no such column, adaptive
-    execution finds the broadcast list of columns (no longer than ``columns``) empty and drops that scan.
-    """
-    both = two_slices(df, date_column, present, prior, columns)
-    reached = F.count_if(~F.col("below_gate")).over(Window.partitionBy("column_name"))
-    summaries = column_summaries(both, columns, gate, by=[SIDE]).withColumn("reached", reached)
-    whole = F.col("reached") == 2
-    known = summaries.filter(whole | (F.col("reached") == 0))
-    profile = F.when(whole, F.array(column_row(F.col("table_count")))).otherwise(value_rows(F.col("groups")))
-    long = known.select(SIDE, "column_name", F.inline(profile))
-
-    fields = ["group_count", "min_value", "max_value", "min_number", "max_number"]
-    unnamed = (F.col("stat_kind") == "value") & F.col("column_value").isNull()
-    paired = long.groupBy("column_name", "stat_kind", "column_value", _null_side(unnamed, null_safe)).agg(
-        *[F.max(F.when(F.col(SIDE), F.col(f))).alias(f"{f}_here") for f in fields],
-        *[F.max(F.when(~F.col(SIDE), F.col(f))).alias(f"{f}_before") for f in fields],
-    )
-    cells = {"column_value": (F.col("column_value"),) * 2}
-    cells |= {f: (F.col(f"{f}_here"), F.col(f"{f}_before")) for f in fields}
-    listed = paired.select("stat_kind", *_sides(present, prior, F.col("column_name"), cells))
-
-    names = F.array(*[F.lit(c) for c in columns])
-    uneven = (
-        summaries.filter(F.col("reached") == 1)
-        .select((F.array_position(names, F.col("column_name")) - 1).cast("int").alias("column_no"))
-        .distinct()
-    )
-    rows = unpivot_lanes(both, columns, keep=[SIDE]).join(F.broadcast(uneven), "column_no")
-    counted = _value_pairs(rows, lanes_in(df, columns), columns, present, prior, null_safe)
-    return listed.unionByName(counted.withColumn("stat_kind", F.lit("value")))
+    """Whole-column comparison where both slices reach the gate, value comparison for all other columns."""
+    reached = _reached(two_slices(df, date_column, present, prior, columns), columns, gate)
+    whole = [c for c in columns if c in reached]
+    valued = [c for c in columns if c not in reached]
+    frames = []
+    if whole:
+        pairs = column_profile_vs_prior(df, date_column, present, prior, whole)
+        frames.append(pairs.withColumn("stat_kind", F.lit("column")))
+    if valued:
+        pairs = value_profile_vs_prior(df, date_column, present, prior, valued, null_safe)
+        frames.append(pairs.withColumn("stat_kind", F.lit("value")))
+    return union_all(frames)

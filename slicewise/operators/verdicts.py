@@ -8,7 +8,7 @@ from ..functions.gaps import average_gap, change_gap, point_gap, trend_gap
 from ..functions.rule_text import ABORT, FAIL, PASS, band_verdict, rule_operator, rule_verdict
 from ..functions.slices import Day, day_column
 from ..layout import STATUS_SCHEMA, VALIDATION_SCHEMA, fit
-from ..sources.control import bounded_broadcast, one_rule_per_column, parse_requests
+from ..sources.control import one_rule_per_column, parse_requests, settle
 from .history import STAT_KEYS, Run, average_of
 
 NO_RULE = "no rule for this column"
@@ -95,7 +95,8 @@ def column_settings(requests: DataFrame, rules: DataFrame) -> DataFrame:
         .agg(F.max("number_of_partitions").alias("number_of_partitions"))
     )
     rule = one_rule_per_column(rules).withColumn("has_rule", F.lit(True))
-    return wanted.join(rule, "column_name", "left").withColumn("has_rule", F.coalesce("has_rule", F.lit(False)))
+    joined = wanted.join(rule, "column_name", "left")
+    return settle(joined.withColumn("has_rule", F.coalesce("has_rule", F.lit(False))))
 
 
 def past_for_settings(history: DataFrame, settings: DataFrame, day: Day) -> DataFrame:
@@ -107,7 +108,7 @@ def past_for_settings(history: DataFrame, settings: DataFrame, day: Day) -> Data
     windows = settings.filter("number_of_partitions > 0").select("column_name", "number_of_partitions")
     rows = history.filter(
         (F.col("batch_date") >= F.date_sub(day_column(day), longest)) & (F.col("batch_date") <= day_column(day))
-    ).join(bounded_broadcast(windows), "column_name")
+    ).join(windows, "column_name")
     return average_of(rows.filter(F.col("batch_date") >= F.date_sub(day_column(day), F.col("number_of_partitions"))))
 
 
@@ -124,7 +125,7 @@ def rule_status(current: DataFrame, past: DataFrame, settings: DataFrame) -> Dat
         pair_with_past(current, past)
         .withColumn("judged_column", _first("column_name"))
         .join(
-            bounded_broadcast(settings.withColumnRenamed("column_name", "setting_column")),
+            settings.withColumnRenamed("column_name", "setting_column"),
             F.col("judged_column") == F.col("setting_column"),
         )
         .filter(trend | known_here)

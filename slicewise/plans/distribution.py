@@ -18,7 +18,8 @@ from ..operators.verdicts import (
     status_row,
     validation_rows,
 )
-from ..sources.control import one_rule_per_column, requests_for, rules_for
+from ..session import shared_folder
+from ..sources.control import requests_for, rules_for
 from ..sources.slices import latest_slice_date, prior_slice_date, slice_probe, slice_scan
 
 
@@ -53,9 +54,14 @@ def judge_slice(
     earlier: DataFrame,
     run: Run,
 ) -> DataFrame:
-    """From request to verdict in one plan, with nothing written; ``earlier`` is the history before this run."""
+    """From request to verdict without result tables; ``earlier`` is the history before this run.
+
+    The statistics of the slice, a few rows per request, are checkpointed: they are both the present and a part of the past,
+    and the slice must not be scanned for each.
+    """
     requests, rules = _controls(requests, rules, run)
-    stats = profile_slice(observed, date_column, table_name, requests, run)
+    shared_folder(observed.sparkSession)
+    stats = profile_slice(observed, date_column, table_name, requests, run).checkpoint()
     return judge_stats(fit(earlier, STATS_SCHEMA).unionByName(stats), table_name, requests, rules, run)
 
 

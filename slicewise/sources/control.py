@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The marks inside ``additional_info``, e.g. ``0<->10000<->500`` for low, high and width.
 INFO_MARK = "<->"
 DIGITS = "^[0-9]+$"
 
-# Control tables are small, but that is checked: above this many rows they are joined by shuffle.
+# Control tables are small, but that is checked: a larger one is joined by shuffle.
 BROADCAST_ROWS = 20_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when it is found to have at most ``max_rows`` rows; counting stops there."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def local_table(spark: SparkSession, rows: pa.Table) -> DataFrame:
+    """Rows at hand as a table, marked for broadcast up to the bound."""
+    table = spark.createDataFrame(rows)
+    return F.broadcast(table) if rows.num_rows <= BROADCAST_ROWS else table
+
+
+def settle(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A control table read once and marked for broadcast when it has at most ``max_rows`` rows; else ``df`` itself.
+
+    Plans that use the table several times then do not read it again. Reading stops at the bound.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    return df if rows.num_rows > max_rows else F.broadcast(df.sparkSession.createDataFrame(rows))
 
 
 def _info_parts(info: Column) -> Column:
