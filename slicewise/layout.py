@@ -5,7 +5,9 @@ Missing facts are typed NULLs, dates are DATE inside and text only at the edge.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
 REQUEST_SCHEMA = """
     project_id int, pipeline_id int, scenario_id int, check_id int, table_name string, column_name string,
@@ -46,17 +48,20 @@ STATUS_SCHEMA = """
 """
 
 
-def columns_of(spark: SparkSession, ddl: str) -> list:
+@lru_cache(maxsize=None)
+def fields_of(ddl: str) -> tuple[T.StructField, ...]:
     """The fields of a DDL text."""
-    return spark.createDataFrame([], ddl).schema.fields
+    return tuple(T.StructType.fromDDL(ddl).fields)
 
 
 def fit(df: DataFrame, ddl: str) -> DataFrame:
     """Project ``df`` on a layout: its own columns cast, absent ones as typed NULLs, the rest dropped."""
-    have = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in columns_of(df.sparkSession, ddl)
-        ]
-    )
+    have = {f.name: f.dataType for f in df.schema.fields}
+    cells = []
+    for field in fields_of(ddl):
+        if have.get(field.name) == field.dataType:
+            cells.append(field.name)
+            continue
+        cell = F.col(field.name) if field.name in have else F.lit(None)
+        cells.append(cell.cast(field.dataType).alias(field.name))
+    return df.select(*cells)

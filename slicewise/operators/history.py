@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -106,10 +107,10 @@ def read_rows(spark: SparkSession, path: str, ddl: str, fmt: str = "parquet") ->
 def of_scope(history: DataFrame, run: Run, table_name: str | None = None) -> DataFrame:
     """History rows of the same project, sub-project, pipeline and scenario (and table)."""
     ids = ["project_id", "sub_project_id", "pipeline_id", "scenario_id"]
-    rows = history
-    for name in ids:
-        rows = rows.filter(F.col(name) == getattr(run, name))
-    return rows.filter(F.col("table_name") == table_name) if table_name else rows
+    mine = [F.col(name) == getattr(run, name) for name in ids]
+    if table_name:
+        mine.append(F.col("table_name") == table_name)
+    return history.filter(reduce(lambda a, b: a & b, mine))
 
 
 def current_stats(history: DataFrame, day: Day, batch_sequence: int) -> DataFrame:

@@ -21,11 +21,9 @@ def read_requests(df: DataFrame, requests: DataFrame) -> Wanted:
         parse_requests(requests)
         .filter((F.col("request_mode") != "rejected") & F.col("column_name").isin(df.columns))
         .select("column_name", "additional_info", "request_mode", "low", "high", "width")
-        .distinct()
-        .orderBy("column_name", "additional_info")
         .collect()
     )
-    return dict(enumerate(rows))
+    return dict(enumerate(sorted(set(rows), key=lambda r: (r["column_name"], r["additional_info"] or ""))))
 
 
 def _request_table(df: DataFrame, wanted: Wanted, columns: list[str]) -> DataFrame:
@@ -131,12 +129,13 @@ def request_profile(df: DataFrame, requests: DataFrame, gate: int = GATE) -> Dat
     wanted = read_requests(df, requests)
     if not wanted:
         raise ValueError("no request names a column of the table")
+    layout = f"{KEY} int, {PROFILE_SCHEMA}"
     frames = _profiles(df, wanted, gate)
     ranged = {no: r for no, r in wanted.items() if r["width"] is not None}
     if ranged:
         frames.append(_histograms(df, ranged))
-    layout = f"{KEY} int, {PROFILE_SCHEMA}"
-    empty = df.sparkSession.createDataFrame([], layout)
+    if not frames:
+        frames.append(df.sparkSession.createDataFrame([], layout))
     names = _request_table(df, wanted, df.columns).select(KEY, "column_name", "additional_info")
-    rows = union_all([empty, *[fit(f, layout) for f in frames]]).drop("column_name", "table_count")
+    rows = union_all([fit(f, layout) for f in frames]).drop("column_name", "table_count")
     return rows.join(names, KEY).drop(KEY).withColumn("table_count", df.agg(F.count("*")).scalar())

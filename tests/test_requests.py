@@ -1,0 +1,88 @@
+import pytest
+from conftest import rows
+
+import slicewise as sw
+from slicewise.sources.control import one_rule_per_column, parse_requests, settle
+
+
+def control(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "column_name string, additional_info string")
+
+
+@pytest.mark.parametrize(
+    "info, mode, width",
+    [
+        ("NA", "plain", None),
+        (None, "plain", None),
+        ("0<->10<->5", "bounded", 5),
+        ("0<->10<->NA", "bounded", None),
+        ("0<->10<->0", "bounded", None),
+        ("0<->10<->", "plain", None),
+        ("0<->10", "plain", None),
+        ("<->10<->5", "rejected", None),
+        ("-1<->10<->5", "rejected", None),
+        ("0.5<->10<->5", "rejected", None),
+        ("0<->10<->5<->7", "plain", None),
+    ],
+)
+def test_parse(spark, info, mode, width):
+    row = parse_requests(control(spark, ("a", info))).first()
+    assert (row["request_mode"], row["width"]) == (mode, width)
+
+
+def sample(spark):
+    data = [(i, float(i), str(i), "m" if i % 2 else "f") for i in range(10)] + [(None, None, None, None)]
+    return spark.createDataFrame(data, "n int, x double, t string, g string")
+
+
+def test_requests_together(spark):
+    asked = control(spark, ("n", "2<->6<->3"), ("g", "NA"), ("n", "NA"), ("x", "-1<->5<->2"), ("gone", "NA"))
+    found = rows(sw.request_profile(sample(spark), asked), "column_name", "additional_info", "stat_kind", "column_value",
+                 "group_count", "table_count")
+    assert found == [
+        ("g", "NA", "value", "f", 5, 11),
+        ("g", "NA", "value", "m", 5, 11),
+        ("g", "NA", "value", None, 0, 11),
+        ("n", "2<->6<->3", "column", None, 5, 11),
+        ("n", "2<->6<->3", "range", "0 <-> 3", 1, 11),
+        ("n", "2<->6<->3", "range", "3 <-> 6", 3, 11),
+        ("n", "2<->6<->3", "range", "6 <-> 9", 1, 11),
+        ("n", "NA", "column", None, 11, 11),
+    ]
+
+
+def test_gate_applies_to_the_rows_inside_the_bounds(spark):
+    found = rows(sw.request_profile(sample(spark), control(spark, ("n", "2<->4<->9"))), "stat_kind", "column_value")
+    assert found == [("range", "0 <-> 9"), ("value", "2"), ("value", "3"), ("value", "4")]
+
+
+def test_text_column_with_bounds(spark):
+    """Bounds compare as text on a text column; its numbers still fall into buckets."""
+    found = rows(sw.request_profile(sample(spark), control(spark, ("t", "2<->4<->2"))), "stat_kind", "column_value", "group_count")
+    assert found == [("range", "2 <-> 4", 2), ("range", "4 <-> 6", 1), ("value", "2", 1), ("value", "3", 1), ("value", "4", 1)]
+
+
+def test_text_column_above_the_gate(spark):
+    found = rows(sw.request_profile(sample(spark), control(spark, ("t", "NA"))), "stat_kind", "min_value", "max_value", "group_count")
+    assert found == [("column", "0", "9", 11)]
+
+
+def test_bounds_that_no_value_meets(spark):
+    assert sw.request_profile(sample(spark), control(spark, ("n", "100<->200<->5"))).count() == 0
+
+
+def test_no_known_column(spark):
+    with pytest.raises(ValueError):
+        sw.request_profile(sample(spark), control(spark, ("gone", "NA"), ("n", "a<->b<->c")))
+
+
+def test_smallest_rule_of_a_column(spark):
+    data = [("a", ">5%", "b1"), ("a", "<=10%", "b2"), ("b", "==0%", None)]
+    rules = spark.createDataFrame(data, "column_name string, rule string, trend_rule string")
+    assert rows(one_rule_per_column(rules)) == [("a", "<=10%", "b2"), ("b", "==0%", None)]
+
+
+def test_settle_keeps_a_large_table_as_it_is(spark):
+    df = spark.range(50)
+    assert settle(df, max_rows=10) is df
+    assert settle(df, max_rows=50).count() == 50
