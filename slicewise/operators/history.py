@@ -20,6 +20,8 @@ from ..layout import STATS_SCHEMA, fit
 # What makes two statistics of different dates the same statistic.
 STAT_KEYS = ["table_name", "column_name", "stat_kind", "column_value"]
 PARTITIONS = ["batch_date", "run_key"]
+# NULL is written as a mark of its own, so that an empty text stays one.
+CSV = {"header": True, "escape": '"', "nullValue": "\\N"}
 
 
 @dataclasses.dataclass(frozen=True)
@@ -89,7 +91,7 @@ def write_rows(df: DataFrame, path: str, fmt: str = "parquet", replace_runs: boo
     """
     writer = df.withColumn("run_key", _run_key(df)).write.format(fmt).partitionBy(*PARTITIONS)
     if fmt == "csv":
-        writer = writer.options(header=True, escape='"')
+        writer = writer.options(**CSV)
     if replace_runs:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
     else:
@@ -100,7 +102,7 @@ def read_rows(spark: SparkSession, path: str, ddl: str, fmt: str = "parquet") ->
     """Read a written table with its layout; a filter on ``batch_date`` prunes folders."""
     reader = spark.read.format(fmt).schema(f"{ddl.strip()}, run_key string")
     if fmt == "csv":
-        reader = reader.options(header=True, escape='"', multiLine=True)
+        reader = reader.options(multiLine=True, **CSV)
     return reader.load(path).drop("run_key")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Suffixes of files whose size says nothing about the bytes of their lines.
@@ -24,22 +25,25 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def _files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Every file, empty ones too; the content column is not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("modificationTime").alias("modified"),
-            F.col("length").alias("size"),
-        )
+def _files(spark: SparkSession, path: str | list[str], list_empty: bool) -> DataFrame:
+    """Facts of every file. The content column is not read.
+
+    Scans leave empty files out, so their names are taken from the file listing, which the driver holds anyway; their
+    modification time stays NULL.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    facts = reader.select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("modificationTime").alias("modified"), F.col("length").alias("size")
     )
+    if not list_empty:
+        return facts
+    names = spark.createDataFrame(pa.table({"file_path": pa.array(reader.inputFiles(), pa.string())}))
+    # The listing writes an empty authority as three slashes, the scan as one.
+    listed = names.withColumn("file_path", F.regexp_replace("file_path", "^([a-z0-9]+):///", "$1:/"))
+    return listed.join(facts, "file_path", "left").withColumn("size", F.coalesce("size", F.lit(0).cast("bigint")))
 
 
-def file_profile(spark: SparkSession, path: str | list[str], project_id: str) -> DataFrame:
+def file_profile(spark: SparkSession, path: str | list[str], project_id: str, list_empty: bool = True) -> DataFrame:
     """Per file: project, modification time, number of newlines, name, first line, size, and a joined text form.
 
     ``n_lines`` also counts a last line that has no newline; ``n_newlines`` does not. For an uncompressed file the
@@ -55,7 +59,7 @@ def file_profile(spark: SparkSession, path: str | list[str], project_id: str) ->
             F.min_by("value", "place").alias("header"),
         )
     )
-    whole = _files(spark, path).join(read, "file_path", "left")
+    whole = _files(spark, path, list_empty).join(read, "file_path", "left")
     n_lines = F.coalesce("n_lines", F.lit(0).cast("bigint"))
     last_open = (F.col("size") - F.coalesce("n_bytes", F.lit(0))) < n_lines
     newlines = F.when(~F.col("file_path").rlike(COMPRESSED), n_lines - F.when(last_open, 1).otherwise(0))
@@ -65,19 +69,22 @@ def file_profile(spark: SparkSession, path: str | list[str], project_id: str) ->
         n_lines.alias("n_lines"),
         newlines.cast("bigint").alias("n_newlines"),
         "file_path",
-        "file_name",
+        F.url_decode(F.substring_index("file_path", "/", -1)).alias("file_name"),
         F.coalesce("header", F.lit("")).alias("header"),
         "size",
     ).withColumn(
         "profile_text",
-        F.concat_ws(
+        F.array_join(
+            F.array(
+                "project_id",
+                F.date_format("modified", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+                F.coalesce("n_newlines", "n_lines").cast("string"),
+                "file_path",
+                "header",
+                F.col("size").cast("string"),
+            ),
             "|||",
-            "project_id",
-            F.date_format("modified", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-            F.coalesce("n_newlines", "n_lines").cast("string"),
-            "file_path",
-            "header",
-            F.col("size").cast("string"),
+            "",
         ),
     )
 
