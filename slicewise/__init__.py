@@ -12,6 +12,7 @@ from .operators.history import (
     stats_of_all_slices,
     to_stats,
     write_rows,
+    write_table,
 )
 from .operators.nested import flatten, nested_record_count
 from .operators.parity import (

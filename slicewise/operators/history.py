@@ -11,11 +11,12 @@ import dataclasses
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.lanes import column_name_of, lane_number, lane_text, lanes_in, unpivot_lanes
+from ..functions.lanes import column_name_of, lane_number, lane_text, lanes_in
 from ..functions.slices import Day, date_of, day_column, ref, shift
 from ..layout import STATS_SCHEMA, fit
+from .profiles import value_groups
 
 # What makes two statistics of different dates the same statistic.
 STAT_KEYS = ["table_name", "column_name", "stat_kind", "column_value"]
@@ -52,22 +53,19 @@ def to_stats(profile: DataFrame, run: Run, table_name: str) -> DataFrame:
 def stats_of_all_slices(df: DataFrame, date_column: str, columns: list[str], run: Run, table_name: str) -> DataFrame:
     """Value statistics of every slice in one pass, as history rows dated by their slice.
 
-    Fills a history at the start, for columns that are profiled by value. The window runs over the counted groups.
+    Fills a history at the start, for columns that are profiled by value.
     """
     lanes = lanes_in(df, columns)
     days = df.select(date_of(date_column).alias("batch_date"), *[ref(c) for c in columns])
-    groups = (
-        unpivot_lanes(days, columns, keep=["batch_date"])
-        .groupBy("batch_date", "column_no", *lanes)
-        .agg(F.count("*").alias("n"))
-    )
+    totals = days.groupBy(F.col("batch_date").alias("day")).agg(F.count("*").alias("table_count"))
+    groups = value_groups(days, columns, keep=["batch_date"]).join(totals, F.expr("batch_date <=> day"))
     value, number = lane_text(lanes), lane_number(lanes)
     rows = groups.select(
         "batch_date",
         column_name_of(F.col("column_no"), columns).alias("column_name"),
         F.lit("value").alias("stat_kind"),
         value.alias("column_value"),
-        F.sum("n").over(Window.partitionBy("batch_date", "column_no")).alias("table_count"),
+        "table_count",
         F.when(value.isNull(), 0).otherwise(F.col("n")).alias("error_records_count"),
         value.alias("min_value"),
         value.alias("max_value"),
@@ -98,6 +96,24 @@ def write_rows(df: DataFrame, path: str, fmt: str = "parquet", replace_runs: boo
         writer.mode("append").save(path)
 
 
+def write_table(df: DataFrame, name: str, fmt: str = "parquet", replace_runs: bool = True) -> None:
+    """As ``write_rows``, to a table of the catalog, which is made with the same folders when it does not exist."""
+    spark, rows = df.sparkSession, df.withColumn("run_key", _run_key(df))
+    if not spark.catalog.tableExists(name):
+        rows.write.format(fmt).partitionBy(*PARTITIONS).saveAsTable(name)
+        return
+    ordered = rows.select(*spark.table(name).columns)
+    if not replace_runs:
+        ordered.write.insertInto(name)
+        return
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        ordered.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+
+
 def read_rows(spark: SparkSession, path: str, ddl: str, fmt: str = "parquet") -> DataFrame:
     """Read a written table with its layout; a filter on ``batch_date`` prunes folders."""
     reader = spark.read.format(fmt).schema(f"{ddl.strip()}, run_key string")

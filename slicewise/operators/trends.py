@@ -8,9 +8,15 @@ from ..functions.gaps import change_gap
 from ..functions.lanes import column_name_of, lane_number, lane_text, lanes_empty, lanes_in, unpivot_lanes
 from ..functions.rule_text import band_verdict
 from ..functions.slices import Day, between_days, date_of, day_column, ref
+from ..layout import fit
 from .history import STAT_KEYS
+from .profiles import by_text, union_all, value_groups
 
 DAY = "batch_date"
+DAILY_SCHEMA = """
+    batch_date date, column_name string, n_rows bigint, n_null bigint, n_distinct bigint, min_value string,
+    max_value string, min_number double, max_number double, mean_number double, null_share double
+"""
 
 
 def _days(df: DataFrame, date_column: str, columns: list[str]) -> DataFrame:
@@ -49,47 +55,44 @@ def column_trend(
     The exact distinct count groups by value first, which shuffles as many rows as there are values per day; with
     ``exact_distinct=False`` an approximate count needs one small row per task.
     """
+    past = _past(look_back, "column_name")
+    daily = union_all([_daily(df, date_column, part, exact_distinct) for part in by_text(df, columns)])
+    return daily.withColumns(
+        {
+            "past_null_share": F.avg("null_share").over(past),
+            "past_distinct": F.avg("n_distinct").over(past),
+            "past_mean": F.avg("mean_number").over(past),
+        }
+    )
+
+
+def _daily(df: DataFrame, date_column: str, columns: list[str], exact_distinct: bool) -> DataFrame:
+    """Daily facts of columns that are all numeric or all text."""
     lanes = lanes_in(df, columns)
-    cells = unpivot_lanes(_days(df, date_column, columns), columns, keep=[DAY])
-    value, number = lane_text(lanes), lane_number(lanes)
+    is_text, days = lanes == ["text"], _days(df, date_column, columns)
     if exact_distinct:
-        groups = (
-            cells.groupBy(DAY, "column_no", *lanes)
-            .agg(F.count("*").alias("n"))
-            .select(DAY, "column_no", "n", value.alias("value"), number.alias("number"))
-        )
-        distinct = F.count("value")
+        cells = value_groups(days, columns, keep=[DAY])
+        distinct = F.count_if(~F.col("empty"))
     else:
-        groups = cells.select(DAY, "column_no", F.lit(1).alias("n"), value.alias("value"), number.alias("number"))
-        distinct = F.approx_count_distinct("value")
-    is_text = F.when(F.col("number").isNull(), F.col("value"))
+        cells = unpivot_lanes(days, columns, keep=[DAY]).withColumn("n", F.lit(1))
+        distinct = F.approx_count_distinct("text") if is_text else F.approx_count_distinct("number")
+    cells = cells.withColumns({"empty": lanes_empty(lanes), "number": lane_number(lanes)})
+    filled = F.sum(F.when(F.col("number").isNotNull(), F.col("n"))).cast("double")
     daily = (
-        groups.groupBy(DAY, "column_no")
+        cells.groupBy(DAY, "column_no")
         .agg(
             F.sum("n").alias("n_rows"),
-            F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
+            F.sum(F.when(F.col("empty"), F.col("n")).otherwise(0)).alias("n_null"),
             distinct.alias("n_distinct"),
-            F.min(is_text).alias("min_value"),
-            F.max(is_text).alias("max_value"),
+            *([F.min("text").alias("min_value"), F.max("text").alias("max_value")] if is_text else []),
             F.min("number").alias("min_number"),
             F.max("number").alias("max_number"),
-            F.try_divide(
-                F.sum(F.col("number") * F.col("n")),
-                F.sum(F.when(F.col("number").isNotNull(), F.col("n"))).cast("double"),
-            ).alias("mean_number"),
+            F.try_divide(F.sum(F.col("number") * F.col("n")), filled).alias("mean_number"),
         )
         .withColumn("column_name", column_name_of(F.col("column_no"), columns))
         .withColumn("null_share", F.col("n_null").cast("double") / F.col("n_rows").cast("double"))
-        .drop("column_no")
-    )
-    past = _past(look_back, "column_name")
-    return daily.withColumns(
-        {
-            "past_null_share": F.avg("null_share").over(past),
-            "past_distinct": F.avg("n_distinct").over(past),
-            "past_mean": F.avg("mean_number").over(past),
-        }
     )
+    return fit(daily, DAILY_SCHEMA)
 
 
 def column_value_trend(df: DataFrame, date_column: str, columns: list[str], look_back: int) -> DataFrame:
@@ -98,8 +101,7 @@ def column_value_trend(df: DataFrame, date_column: str, columns: list[str], look
     Days on which the value is absent do not count, as in the history average. NULL is a value with count 0.
     """
     lanes = lanes_in(df, columns)
-    cells = unpivot_lanes(_days(df, date_column, columns), columns, keep=[DAY])
-    daily = cells.groupBy(DAY, "column_no", *lanes).agg(F.count("*").alias("n"))
+    daily = value_groups(_days(df, date_column, columns), columns, keep=[DAY])
     shown = daily.select(
         DAY,
         column_name_of(F.col("column_no"), columns).alias("column_name"),

@@ -8,10 +8,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(app: str = "slicewise", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    app: str = "slicewise", cores: str = "*", shuffle_partitions: int = 8, settings: dict[str, str] | None = None
+) -> SparkSession:
     """A single-machine session for tests and benchmarks; a cluster brings its own session."""
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        SparkSession.builder.config(map=settings or {})
+        .master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")

@@ -13,7 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")
-    session = local_session("tests")
+    session = local_session("tests", settings={"spark.sql.warehouse.dir": str(folder / "warehouse")})
     session.sparkContext.setLogLevel("ERROR")
     session.sparkContext.setCheckpointDir(str(folder / "checkpoints"))
     yield session

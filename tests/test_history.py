@@ -33,6 +33,15 @@ def test_a_repeated_run_is_not_doubled(spark, tmp_path, fmt):
     assert {r["batch_date"] for r in kept.collect()} == {dt.date(2024, 1, 5)}
 
 
+def test_catalog_table(spark):
+    for sequence, pairs in ((1, [("old", 9)]), (1, [("a", 1), ("b", 2)]), (2, [("c", 3)])):
+        sw.write_table(stats(spark, "2024-01-05", sequence, *pairs), "kept_stats")
+    assert rows(spark.table("kept_stats"), "column_value", "error_records_count") == [("a", 1), ("b", 2), ("c", 3)]
+    sw.write_table(stats(spark, "2024-01-05", 1, ("a", 1)), "kept_stats", replace_runs=False)
+    assert spark.table("kept_stats").count() == 4
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
 def test_runs_of_other_projects_stay(spark, tmp_path):
     path = str(tmp_path / "h")
     sw.write_rows(stats(spark, "2024-01-05", 1, ("a", 1)), path)
