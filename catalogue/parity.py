@@ -184,45 +184,59 @@ def parity_run(spark, sf_dir):
     return status.select("scenario_id", "batch_seq_id", "status")
 
 
-def _folded(spark, sf_dir):
-    """One record per conversation, with its turns as an array of structs and its ends as a struct."""
-    turn = F.struct("turn", "role", F.length("text").cast("bigint").alias("size"))
-    return (
-        table(spark, sf_dir, "conversations")
-        .groupBy("conv_id")
-        .agg(
-            F.collect_list(turn).alias("turns"),
-            F.struct(F.struct(F.min("turn").alias("first"), F.max("turn").alias("last")).alias("span")).alias("facts"),
-        )
+def _nested(spark, sf_dir):
+    """One record per document, with its lines as an array of structs and its origin as a struct of structs."""
+    lines = F.transform(
+        F.split("text", "\n"),
+        lambda line, no: F.struct(no.cast("bigint").alias("no"), F.length(line).cast("bigint").alias("size")),
     )
+    origin = F.struct("source", F.struct("lang", "n_chars").alias("facts"))
+    return table(spark, sf_dir, "documents").select("doc_id", lines.alias("lines"), origin.alias("origin"))
+
+
+LINES_SQL = """
+    lines AS (SELECT doc_id, source, lang, n_chars, unnest(range(len(parts))) AS no, unnest(parts) AS line
+              FROM (SELECT *, string_split(text, chr(10)) AS parts FROM documents) d)
+"""
 
 
 @register(
     "nested_flatten",
-    'SELECT c.conv_id, turn AS "turns~turn", role AS "turns~role", length(text) AS "turns~size", '
-    'first AS "facts~span~first", last AS "facts~span~last" FROM conversations c '
-    "JOIN (SELECT conv_id, min(turn) AS first, max(turn) AS last FROM conversations GROUP BY conv_id) s "
-    "ON c.conv_id = s.conv_id",
+    f'WITH {LINES_SQL} SELECT doc_id, no AS "lines~no", length(line) AS "lines~size", source AS "origin~source", '
+    'lang AS "origin~facts~lang", n_chars AS "origin~facts~n_chars" FROM lines',
 )
 def nested_flatten(spark, sf_dir):
-    return sw.flatten(_folded(spark, sf_dir), keep_structs=False)
+    return sw.flatten(_nested(spark, sf_dir), keep_structs=False)
+
+
+@register(
+    "nested_flatten_keep_empty",
+    "WITH turns AS (SELECT conv_id, turn, CASE WHEN role = 'user' THEN string_split(text, ' ') END AS words FROM conversations) "
+    "SELECT conv_id, turn, unnest(words) AS word FROM turns WHERE words IS NOT NULL UNION ALL "
+    "SELECT conv_id, turn, NULL FROM turns WHERE words IS NULL",
+)
+def nested_flatten_keep_empty(spark, sf_dir):
+    """Arrays of plain values, NULL for the turns of the other side, whose records are kept."""
+    words = F.when(F.col("role") == "user", F.split("text", " ")).alias("word")
+    return sw.flatten(table(spark, sf_dir, "conversations").select("conv_id", "turn", words), keep_empty=True)
 
 
-@register("nested_record_count", "SELECT count(DISTINCT conv_id) AS n_records FROM conversations")
+@register("nested_record_count", "SELECT count(*) AS n_records FROM documents")
 def nested_record_count(spark, sf_dir):
-    return sw.nested_record_count(_folded(spark, sf_dir))
+    return sw.nested_record_count(_nested(spark, sf_dir))
 
 
 @register(
     "json_source",
-    'SELECT conv_id, count(*) AS n_turns, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM conversations GROUP BY conv_id',
+    f"WITH {LINES_SQL} SELECT doc_id, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars FROM lines "
+    "GROUP BY doc_id",
 )
 def json_source(spark, sf_dir):
     """Nested records written as JSON, read back with an inferred schema, and flattened."""
     path = scratch_path(spark, "json")
-    _folded(spark, sf_dir).write.json(path)
+    _nested(spark, sf_dir).write.json(path)
     flat = sw.flatten(sw.read_json(spark, path))
-    return flat.groupBy("conv_id").agg(F.count("*").alias("n_turns"), F.sum("turns~size").alias("n_chars"))
+    return flat.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum("lines~size").alias("n_chars"))
 
 
 @register(

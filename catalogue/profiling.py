@@ -296,7 +296,8 @@ def _request_ranges_sql(column: str, info: str, where: str, width: int) -> str:
 def request_profile(spark, sf_dir):
     rows = ", ".join(f"('{c}', '{i}')" for c, i in REQUESTS)
     requests = spark.sql(f"SELECT * FROM VALUES {rows} AS t(column_name, additional_info)")
-    return sw.request_profile(sw.slice_scan(table(spark, sf_dir, "events"), "ts", DAY), requests)
+    rows = sw.slice_scan(table(spark, sf_dir, "events"), "ts", DAY)
+    return sw.request_profile(rows, requests, ignore_unknown=True)
 
 
 @register(

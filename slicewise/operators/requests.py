@@ -15,14 +15,18 @@ KEY = "request_no"
 Wanted = dict[int, Row]
 
 
-def read_requests(df: DataFrame, requests: DataFrame) -> Wanted:
-    """The requests that name a column of the table and have readable bounds, numbered."""
+def read_requests(df: DataFrame, requests: DataFrame, ignore_unknown: bool) -> Wanted:
+    """The requests with readable bounds, numbered. A column that the table lacks is an error unless ignored."""
     rows = (
         parse_requests(requests)
-        .filter((F.col("request_mode") != "rejected") & F.col("column_name").isin(df.columns))
+        .filter(F.col("request_mode") != "rejected")
         .select("column_name", "additional_info", "request_mode", "low", "high", "width")
         .collect()
     )
+    unknown = sorted({r["column_name"] for r in rows} - set(df.columns))
+    if unknown and not ignore_unknown:
+        raise ValueError(f"requests name columns that the table lacks: {', '.join(unknown)}")
+    rows = [r for r in rows if r["column_name"] not in unknown]
     return dict(enumerate(sorted(set(rows), key=lambda r: (r["column_name"], r["additional_info"] or ""))))
 
 
@@ -120,17 +124,17 @@ def _histograms(df: DataFrame, wanted: Wanted) -> DataFrame:
     )
 
 
-def request_profile(df: DataFrame, requests: DataFrame, gate: int = GATE) -> DataFrame:
+def request_profile(
+    df: DataFrame, requests: DataFrame, gate: int = GATE, ignore_unknown: bool = False
+) -> DataFrame:
     """Gated profile and histogram rows of every request, for one slice.
 
-    Requests are read first: they name the columns, so that no other column is scanned. A request for a column that the
-    table lacks, or with unreadable bounds, has no rows. ``table_count`` is the row count of the slice before any bound.
+    Requests are read first: they name the columns, so that no other column is scanned. A request with unreadable bounds
+    has no rows. ``table_count`` is the row count of the slice before any bound.
     """
-    wanted = read_requests(df, requests)
-    if not wanted:
-        raise ValueError("no request names a column of the table")
+    wanted = read_requests(df, requests, ignore_unknown)
     layout = f"{KEY} int, {PROFILE_SCHEMA}"
-    frames = _profiles(df, wanted, gate)
+    frames = _profiles(df, wanted, gate) if wanted else []
     ranged = {no: r for no, r in wanted.items() if r["width"] is not None}
     if ranged:
         frames.append(_histograms(df, ranged))

@@ -23,9 +23,10 @@ from ..sources.control import requests_for, rules_for
 from ..sources.slices import latest_slice_date, prior_slice_date, slice_probe, slice_scan
 
 
-def _controls(requests: DataFrame, rules: DataFrame, run: Run) -> tuple[DataFrame, DataFrame]:
+def _controls(requests: DataFrame, rules: DataFrame, run: Run, table_name: str) -> tuple[DataFrame, DataFrame]:
+    asked = requests_for(requests, run.project_id, run.scenario_id, run.pipeline_id)
     return (
-        requests_for(requests, run.project_id, run.scenario_id, run.pipeline_id),
+        asked.filter(F.col("table_name") == table_name),
         rules_for(rules, run.project_id, run.sub_project_id, run.pipeline_id),
     )
 
@@ -59,7 +60,7 @@ def judge_slice(
     The statistics of the slice, a few rows per request, are checkpointed: they are both the present and a part of the past,
     and the slice must not be scanned for each.
     """
-    requests, rules = _controls(requests, rules, run)
+    requests, rules = _controls(requests, rules, run, table_name)
     shared_folder(observed.sparkSession)
     stats = profile_slice(observed, date_column, table_name, requests, run).checkpoint()
     return judge_stats(fit(earlier, STATS_SCHEMA).unionByName(stats), table_name, requests, rules, run)
@@ -86,7 +87,7 @@ def run_distribution(
     profile and the verdicts read the small history only.
     """
     spark, start = observed.sparkSession, _now()
-    requests, rules = _controls(requests, rules, run)
+    requests, rules = _controls(requests, rules, run, table_name)
 
     def finish(row: DataFrame) -> DataFrame:
         write_rows(row, f"{folder}/status", fmt)

@@ -105,6 +105,12 @@ def test_an_error_leaves_an_abort_row_and_is_raised(spark, tmp_path, monkeypatch
     assert (row["status"], row["comments"]) == ("Abort", "error: RuntimeError")
 
 
+def test_a_request_for_a_missing_column_aborts(spark, tmp_path):
+    with pytest.raises(ValueError):
+        run_on(spark, tmp_path, "2024-01-01", 1, ("gender", "NA", 3), ("gone", "NA", 3))
+    assert read(spark, tmp_path, "status", STATUS_SCHEMA).first()["status"] == "Abort"
+
+
 def test_csv_store(spark, tmp_path):
     asked, known = controls(spark, *REQUESTS)
     run = sw.Run(1, 2, 3, 4, "2024-01-01", 1)

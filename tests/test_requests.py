@@ -36,7 +36,7 @@ def sample(spark):
 
 
 def test_requests_together(spark):
-    asked = control(spark, ("n", "2<->6<->3"), ("g", "NA"), ("n", "NA"), ("x", "-1<->5<->2"), ("gone", "NA"))
+    asked = control(spark, ("n", "2<->6<->3"), ("g", "NA"), ("n", "NA"), ("x", "-1<->5<->2"))
     found = rows(sw.request_profile(sample(spark), asked), "column_name", "additional_info", "stat_kind", "column_value",
                  "group_count", "table_count")
     assert found == [
@@ -71,9 +71,15 @@ def test_bounds_that_no_value_meets(spark):
     assert sw.request_profile(sample(spark), control(spark, ("n", "100<->200<->5"))).count() == 0
 
 
-def test_no_known_column(spark):
-    with pytest.raises(ValueError):
-        sw.request_profile(sample(spark), control(spark, ("gone", "NA"), ("n", "a<->b<->c")))
+def test_unknown_column(spark):
+    asked = control(spark, ("gone", "NA"), ("g", "NA"))
+    with pytest.raises(ValueError, match="gone"):
+        sw.request_profile(sample(spark), asked)
+    assert sw.request_profile(sample(spark), asked, ignore_unknown=True).count() == 3
+
+
+def test_rejected_requests_only(spark):
+    assert sw.request_profile(sample(spark), control(spark, ("n", "a<->b<->c"))).count() == 0
 
 
 def test_smallest_rule_of_a_column(spark):
