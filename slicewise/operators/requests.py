@@ -37,23 +37,24 @@ def _request_table(df: DataFrame, wanted: Wanted, columns: list[str]) -> DataFra
     return local_table(df.sparkSession, pa.Table.from_pylist(rows, schema=pa.schema(fields)))
 
 
-def _in_bounds(lanes: list[str]) -> Column:
-    """Whether a value counts for its request: always without bounds, else both ends included and NULL left out.
+# Bounds are cast to the type of the lane they are compared with; on text they compare as text.
+BOUND_TYPES = {"text": "string", "whole": "bigint", "exact": "decimal(38,0)", "real": "double"}
 
-    Bounds are cast to the type of the lane; on text they compare as text.
-    """
-    low, high = F.col("low"), F.col("high")
-    kinds = {"text": "string", "whole": "bigint", "exact": "decimal(38,0)", "real": "double"}
-    inside = [F.col(lane).between(low.try_cast(kinds[lane]), high.try_cast(kinds[lane])) for lane in lanes]
-    return F.when(F.col("request_mode") == "plain", True).otherwise(F.coalesce(*inside, F.lit(False)))
+
+def _in_bounds(lanes: list[str]) -> Column:
+    """Whether a value counts for its request: always without bounds, else both ends included and NULL left out."""
+    inside = [F.col(lane).between(F.col(f"low_{lane}"), F.col(f"high_{lane}")) for lane in lanes]
+    return F.col("is_plain") | F.coalesce(*inside, F.lit(False))
 
 
 def _rows_of(df: DataFrame, wanted: Wanted) -> tuple[DataFrame, list[str]]:
     """The values that count for each request, from the requested columns only, and their lanes."""
     named = {r["column_name"] for r in wanted.values()}
     columns = [c for c in df.columns if c in named]
-    keys = _request_table(df, wanted, columns).drop("column_name", "additional_info")
     lanes = lanes_in(df, columns)
+    bounds = [F.col(end).try_cast(BOUND_TYPES[lane]).alias(f"{end}_{lane}") for lane in lanes for end in ("low", "high")]
+    keys = _request_table(df, wanted, columns)
+    keys = keys.select("column_no", KEY, "width", (F.col("request_mode") == "plain").alias("is_plain"), *bounds)
     rows = unpivot_lanes(df, columns).join(keys, "column_no").filter(_in_bounds(lanes))
     return rows.select(KEY, "width", *[_one_zero(lane).alias(lane) for lane in lanes]), lanes
 
