@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .slices import ref
+from .slices import quoted, ref
 
 LANES = ["text", "whole", "exact", "real"]
 
@@ -52,13 +52,11 @@ def _lane_types(df: DataFrame, columns: list[str]) -> dict[str, T.DataType]:
 def unpivot_lanes(df: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:
     """One row per input row and column: the kept columns, ``column_no`` and the lanes in use."""
     lanes, types, own = lanes_in(df, columns), _lane_types(df, columns), lane_map(df, columns)
-    cells: list[Column] = []
+    cells = []
     for number, name in enumerate(columns):
-        cells.append(F.lit(number))
-        for lane in lanes:
-            value = ref(name) if own[name] == lane else F.lit(None)
-            cells.append(value.cast(types[lane]))
-    rows = F.stack(F.lit(len(columns)), *cells).alias("column_no", *lanes)
+        filled = [f"CAST({quoted(name) if own[name] == lane else 'NULL'} AS {types[lane].simpleString()})" for lane in lanes]
+        cells.append(", ".join([str(number), *filled]))
+    rows = F.expr(f"stack({len(columns)}, {', '.join(cells)})").alias("column_no", *lanes)
     return df.select(*[ref(k) for k in keep or []], rows)
 
 
@@ -80,7 +78,4 @@ def lane_number(lanes: list[str], prefix: str = "") -> Column:
 
 def lanes_empty(lanes: list[str]) -> Column:
     """True where the unpivoted value is NULL."""
-    empty = F.lit(True)
-    for lane in lanes:
-        empty = empty & F.col(lane).isNull()
-    return empty
+    return F.expr(" AND ".join(f"{lane} IS NULL" for lane in lanes))

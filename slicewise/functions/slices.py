@@ -17,9 +17,14 @@ def day_column(day: Day) -> Column:
     return day if isinstance(day, Column) else F.lit(str(day)).cast("date")
 
 
+def quoted(name: str) -> str:
+    """A column name for SQL text, dots and spaces included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ref(name: str) -> Column:
-    """A column by its exact name, dots and spaces included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """A column by its exact name."""
+    return F.col(quoted(name))
 
 
 def date_of(column: str) -> Column:

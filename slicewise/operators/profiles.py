@@ -18,7 +18,7 @@ from ..functions.lanes import (
     lanes_in,
     unpivot_lanes,
 )
-from ..functions.slices import ref
+from ..functions.slices import quoted
 
 # From this many groups on, a column is summed up in one row.
 GATE = 5
@@ -36,9 +36,13 @@ PROFILE_COLUMNS = [
 ]
 
 
-def one_zero(name: str, lane: str) -> Column:
+def one_zero_sql(name: str, lane: str) -> str:
     """The column as profiled; adding 0.0 turns -0.0 into 0.0, which group-by treats as equal too."""
-    return ref(name) + F.lit(0.0) if lane == "real" else ref(name)
+    return f"({quoted(name)} + 0.0D)" if lane == "real" else quoted(name)
+
+
+def one_zero(name: str, lane: str) -> Column:
+    return F.expr(one_zero_sql(name, lane))
 
 
 def as_number(value: Column, lane: str) -> Column:
@@ -50,20 +54,18 @@ def slot_words(gate: int) -> int:
     return max(1, -(-gate // 16))
 
 
-def used_slots(values: list[Column], gate: int, name: str) -> list[Column]:
+def used_slots(values: list[str], gate: int, name: str) -> list[Column]:
     """Aggregates that mark one slot per hashed value: ``bit_or`` of single bits, cheap and generated as code.
 
     Equal values, and NULLs, share a slot. So the number of marked slots is a lower bound of the number of groups: a
     column that marks ``gate`` slots has at least ``gate`` groups. Fewer marks leave the question open.
     """
-    slot, words = F.xxhash64(*values), slot_words(gate)
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63)).cast("int"))
+    slot, words = f"xxhash64({', '.join(values)})", slot_words(gate)
+    bit = f"shiftleft(1L, CAST({slot} & 63 AS INT))"
     if words == 1:
-        return [F.bit_or(bit).alias(f"{name}_0")]
-    word = F.pmod(F.shiftright(slot, 6), F.lit(words))
-    return [
-        F.bit_or(F.when(word == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"{name}_{w}") for w in range(words)
-    ]
+        return [F.expr(f"bit_or({bit})").alias(f"{name}_0")]
+    word = f"pmod(shiftright({slot}, 6), {words})"
+    return [F.expr(f"bit_or(IF({word} = {w}, {bit}, 0L))").alias(f"{name}_{w}") for w in range(words)]
 
 
 def marked(row: dict, gate: int, name: str) -> int:
@@ -207,7 +209,7 @@ def gated_profile(df: DataFrame, columns: list[str], gate: int = GATE) -> DataFr
     lanes, spark = lane_map(df, columns), df.sparkSession
     first = [F.count("*").alias("table_count")]
     for i, c in enumerate(columns):
-        first += used_slots([one_zero(c, lanes[c])], gate, f"slots{i}")
+        first += used_slots([one_zero_sql(c, lanes[c])], gate, f"slots{i}")
         first += extremes(c, lanes[c], str(i)) if lanes[c] != "text" else []
     fetched = df.agg(*first).toArrow()
     row = fetched.to_pylist()[0]

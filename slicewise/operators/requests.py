@@ -9,7 +9,7 @@ from ..functions.lanes import lane_map, lanes_in, unpivot_lanes
 from ..functions.ranges import range_end, range_label, range_start
 from ..layout import PROFILE_SCHEMA, fit
 from ..sources.control import local_table, parse_requests
-from .profiles import GATE, gate_groups, marked, union_all, used_slots
+from .profiles import GATE, gate_groups, marked, one_zero, union_all, used_slots
 
 KEY = "request_no"
 Wanted = dict[int, Row]
@@ -43,8 +43,8 @@ BOUND_TYPES = {"text": "string", "whole": "bigint", "exact": "decimal(38,0)", "r
 
 def _in_bounds(lanes: list[str]) -> Column:
     """Whether a value counts for its request: always without bounds, else both ends included and NULL left out."""
-    inside = [F.col(lane).between(F.col(f"low_{lane}"), F.col(f"high_{lane}")) for lane in lanes]
-    return F.col("is_plain") | F.coalesce(*inside, F.lit(False))
+    inside = ", ".join(f"{lane} BETWEEN low_{lane} AND high_{lane}" for lane in lanes)
+    return F.expr(f"is_plain OR coalesce({inside}, false)")
 
 
 def _rows_of(df: DataFrame, wanted: Wanted) -> tuple[DataFrame, list[str]]:
@@ -52,15 +52,11 @@ def _rows_of(df: DataFrame, wanted: Wanted) -> tuple[DataFrame, list[str]]:
     named = {r["column_name"] for r in wanted.values()}
     columns = [c for c in df.columns if c in named]
     lanes = lanes_in(df, columns)
-    bounds = [F.col(end).try_cast(BOUND_TYPES[lane]).alias(f"{end}_{lane}") for lane in lanes for end in ("low", "high")]
+    bounds = [f"try_cast({end} AS {BOUND_TYPES[lane]}) AS {end}_{lane}" for lane in lanes for end in ("low", "high")]
     keys = _request_table(df, wanted, columns)
-    keys = keys.select("column_no", KEY, "width", (F.col("request_mode") == "plain").alias("is_plain"), *bounds)
+    keys = keys.selectExpr("column_no", KEY, "width", "request_mode = 'plain' AS is_plain", *bounds)
     rows = unpivot_lanes(df, columns).join(keys, "column_no").filter(_in_bounds(lanes))
-    return rows.select(KEY, "width", *[_one_zero(lane).alias(lane) for lane in lanes]), lanes
-
-
-def _one_zero(lane: str) -> Column:
-    return F.col(lane) + F.lit(0.0) if lane == "real" else F.col(lane)
+    return rows.select(KEY, "width", *[one_zero(lane, lane).alias(lane) for lane in lanes]), lanes
 
 
 def _column_rows(found: DataFrame, lanes: list[str]) -> DataFrame:
@@ -81,7 +77,7 @@ def _profiles(df: DataFrame, wanted: Wanted, gate: int) -> list[DataFrame]:
     """Gated rows per request, decided as in ``gated_profile``: one fetched row per request, then values of the few."""
     rows, lanes = _rows_of(df, wanted)
     numeric = [lane for lane in lanes if lane != "text"]
-    slots = used_slots([F.col(lane) for lane in lanes], gate, "slots")
+    slots = used_slots(lanes, gate, "slots")
     fetched = rows.groupBy(KEY).agg(F.count("*").alias("n"), *slots, *_ends(numeric)).toArrow()
     counted = {r[KEY]: r for r in fetched.to_pylist()}
     kind = lane_map(df, [r["column_name"] for r in wanted.values()])

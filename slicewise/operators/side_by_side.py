@@ -23,7 +23,7 @@ from ..functions.lanes import (
 )
 from ..functions.ranges import checked_width, range_end, range_label, range_start
 from ..functions.slices import Day, day_column, in_days, on_day, ref
-from .profiles import as_number, by_text, extremes, marked, one_zero, union_all, used_slots
+from .profiles import as_number, by_text, extremes, marked, one_zero, one_zero_sql, union_all, used_slots
 
 # Both slices must reach this many groups for a whole-column comparison.
 PAIR_GATE = 4
@@ -161,7 +161,7 @@ def _reached(sides: DataFrame, columns: list[str], gate: int) -> set[str]:
     open has few values there; those are counted, and one row per open side and column is fetched.
     """
     lanes = lane_map(sides, columns)
-    slots = [m for i, c in enumerate(columns) for m in used_slots([one_zero(c, lanes[c])], gate, f"slots{i}")]
+    slots = [m for i, c in enumerate(columns) for m in used_slots([one_zero_sql(c, lanes[c])], gate, f"slots{i}")]
     rows = {r[SIDE]: r for r in sides.groupBy(SIDE).agg(*slots).toArrow().to_pylist()}
     if len(rows) < 2:
         return set()

@@ -53,7 +53,7 @@ def test_slots_never_prove_too_much(spark):
     for gate in (5, 40):
         for groups in (1, 3, 4, 5, 39, 40, 41, 500):
             df = spark.range(groups * 3).selectExpr(f"id % {groups} AS v")
-            row = df.agg(*used_slots([df.v], gate, "s")).first().asDict()
+            row = df.agg(*used_slots(["v"], gate, "s")).first().asDict()
             assert marked(row, gate, "s") <= groups
             if groups >= 10 * gate:
                 assert marked(row, gate, "s") >= gate
