@@ -6,6 +6,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import slicewise as sw
 
+
+def registry():
+    """Two empty dicts, queries and SQL by name, and the decorator that fills them."""
+    queries, oracles = {}, {}
+
+    def register(name: str, sql: str):
+        def keep(query):
+            queries[name], oracles[name] = query, sql
+            return query
+
+        return keep
+
+    return queries, oracles, register
+
+
 DAY, DAY_BEFORE = "2024-01-15", "2024-01-14"
 RUN = sw.Run(1, 1, 1, 7, DAY, 1, "daily events")
 

@@ -9,22 +9,12 @@ from slicewise.layout import STATS_SCHEMA
 from slicewise.operators.verdicts import column_settings, past_for_settings, rule_status, validation_rows
 from slicewise.session import scratch_path
 
-from .common import DAY, HISTORY_SQL, REQUEST_ROWS, RULE_ROWS, RUN, events_history, judged_events, requests, rules
+from .common import DAY, HISTORY_SQL, REQUEST_ROWS, RULE_ROWS, RUN, events_history, judged_events, registry, requests, rules
 
-QUERIES, ORACLES = {}, {}
+QUERIES, ORACLES, register = registry()
 D = f"DATE '{DAY}'"
 
 
-def register(name: str, sql: str | None):
-    def keep(query):
-        QUERIES[name] = query
-        if sql:
-            ORACLES[name] = sql
-        return query
-
-    return keep
-
-
 def _rounded(df, *columns):
     return df.withColumns({c: F.round(c, 6) for c in columns})
 

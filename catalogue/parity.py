@@ -7,19 +7,9 @@ from pyspark.sql import functions as F
 import slicewise as sw
 from slicewise.session import scratch_path
 
-from .common import DAY, DAY_BEFORE, RUN, table
+from .common import DAY, DAY_BEFORE, RUN, registry, table
 
-QUERIES, ORACLES = {}, {}
-
-
-def register(name: str, sql: str | None):
-    def keep(query):
-        QUERIES[name] = query
-        if sql:
-            ORACLES[name] = sql
-        return query
-
-    return keep
+QUERIES, ORACLES, register = registry()
 
 
 def _shape_sql(label: str, sides: list[tuple[str, int]]) -> str:

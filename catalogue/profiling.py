@@ -6,19 +6,9 @@ from pyspark.sql import functions as F
 
 import slicewise as sw
 
-from .common import DAY, DAY_BEFORE, table
+from .common import DAY, DAY_BEFORE, registry, table
 
-QUERIES, ORACLES = {}, {}
-
-
-def register(name: str, sql: str | None):
-    def keep(query):
-        QUERIES[name] = query
-        if sql:
-            ORACLES[name] = sql
-        return query
-
-    return keep
+QUERIES, ORACLES, register = registry()
 
 
 @register("slice_scan", f"SELECT event_id, event_type, value FROM events WHERE CAST(ts AS DATE) = DATE '{DAY}'")

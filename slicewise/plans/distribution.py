@@ -11,6 +11,7 @@ from ..operators.history import Run, current_stats, of_scope, read_rows, to_stat
 from ..operators.requests import request_profile
 from ..operators.side_by_side import PAIR_GATE, gated_profile_pair, histogram_vs_prior
 from ..operators.verdicts import (
+    JUDGED_SCHEMA,
     column_settings,
     past_for_settings,
     rule_status,
@@ -109,7 +110,7 @@ def run_distribution(
         history = read_rows(spark, f"{folder}/stats", STATS_SCHEMA, fmt)
         judged = judge_stats(history, table_name, requests, rules, run)
         write_rows(judged, f"{folder}/validation", fmt)
-        kept = of_scope(read_rows(spark, f"{folder}/validation", judged_ddl(judged), fmt), run).filter(
+        kept = of_scope(read_rows(spark, f"{folder}/validation", JUDGED_SCHEMA, fmt), run).filter(
             (F.col("batch_date") == F.lit(str(run.batch_date)).cast("date"))
             & (F.col("batch_sequence") == run.batch_sequence)
         )
@@ -119,10 +120,6 @@ def run_distribution(
         raise
 
 
-def judged_ddl(judged: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in judged.schema.fields)
-
-
 def compare_with_prior(
     observed: DataFrame,
     date_column: str,
