@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, line_dedup, quality_rules, url_filters
+from . import chat_format, decontamination, line_dedup, quality_rules, simhash_dedup, url_filters
 
 QUERIES, ORACLES = {}, {}
 
@@ -68,6 +68,47 @@ FROM f LEFT JOIN r ON f.host = r.host
 """
 
 
+@register
+def op3_simhash_dedup(spark, sf_dir):
+    linked = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return linked.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@register
+def op4_decontamination(spark, sf_dir):
+    docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontamination.digest(decontamination.find_matches(docs, items))
+
+
+ORACLES["op4_decontamination"] = r"""
+WITH split AS (
+  SELECT 'd' AS side, CAST(doc_id AS VARCHAR) AS id, text FROM documents
+  UNION ALL SELECT 'b', CAST(item_id AS VARCHAR), text FROM benchmark),
+s AS (
+  SELECT side, id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM split),
+bw AS (
+  SELECT id AS item_id, size, array_to_string(w[i:i + size - 1], ' ') AS g
+  FROM (SELECT id, w, least(len(w), 10) AS size, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+        FROM s WHERE side = 'b' AND len(w) > 0)),
+dw AS (
+  SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS g
+  FROM (SELECT id AS doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM s, (SELECT DISTINCT size FROM bw) WHERE side = 'd')),
+m AS (SELECT DISTINCT doc_id, i, size, item_id FROM dw JOIN bw USING (size, g)),
+hit AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM m, range(0, 10) AS r(k) WHERE k < size GROUP BY doc_id),
+it AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids
+  FROM m GROUP BY doc_id)
+SELECT CAST(s.id AS BIGINT) AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit,
+       coalesce(it.n, 0) AS n_items, sha256(coalesce(it.ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM s LEFT JOIN hit ON s.id = hit.doc_id LEFT JOIN it ON s.id = it.doc_id WHERE side = 'd'
+"""
+
+
 MIN_SITES, MAX_SHARE = 10, 0.5
 
 
