@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, decontamination, line_dedup, quality_rules, simhash_dedup, url_filters
+from . import chat_format, decontamination, line_dedup, quality_rules, simhash_dedup, suffix_dedup, url_filters
 
 QUERIES, ORACLES = {}, {}
 
@@ -164,6 +164,12 @@ def op6_chat_format(spark, sf_dir):
     return chat_format.read_back(chat_format.format_conversations(rows.unionByName(extra)))
 
 
+@register
+def op7_suffix_dedup(spark, sf_dir):
+    done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 URL_RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
