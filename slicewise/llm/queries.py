@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, decontamination, line_dedup, quality_rules, simhash_dedup, suffix_dedup, url_filters
+from . import (
+    chat_format,
+    decontamination,
+    line_dedup,
+    quality_classifier,
+    quality_rules,
+    simhash_dedup,
+    suffix_dedup,
+    toxicity,
+    url_filters,
+)
+from .common import written
 
 QUERIES, ORACLES = {}, {}
 
@@ -68,6 +79,31 @@ FROM f LEFT JOIN r ON f.host = r.host
 """
 
 
+def remainder(n: int):
+    """crc32 of the document's id as text, modulo ``n``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+@register
+def op2_quality_classifier(spark, sf_dir):
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    stats = written(quality_classifier.document_statistics(docs), "statistics")
+    model = quality_classifier.train(stats, labels, remainder(3) != 1)
+    scored = stats.withColumn("score", quality_classifier.score_statistics(model)("stats"))
+    return scored.select(
+        "doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@register
+def op8_toxicity(spark, sf_dir):
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    scored = toxicity.score_documents(docs, toxicity.train(docs, labels, remainder(5) != 0))
+    return scored.select(
+        "doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 @register
 def op3_simhash_dedup(spark, sf_dir):
     linked = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
