@@ -8,6 +8,7 @@ from . import (
     chat_format,
     decontamination,
     line_dedup,
+    mixing,
     quality_classifier,
     quality_rules,
     simhash_dedup,
@@ -237,3 +238,9 @@ m AS (
   QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC NULLS LAST) = 1)
 SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM m
 """
+
+
+@register
+def op10_mixing(spark, sf_dir):
+    mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
+    return mixed.select("row.doc_id", "labels.source", "labels.lang", "labels.topic", "n_tokens", "weight", "probability", "sampled")
