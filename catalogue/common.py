@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import slicewise as sw
@@ -83,16 +85,36 @@ REQUEST_ROWS = [
     ("everything", "NA", 0),
 ]
 
-RULE_ROWS = [
-    # column_name, rule, trend_rule
-    ("event_type", "<=10%", "-15%<->15%"),
-    ("value_band", ">=-90%", "-50%<->900%"),
-    ("known_type", "<0%", "300%<->500%"),
-    ("is_purchase", ">50%", "0%<->0%"),
-    ("peak", "<=10%", "-10%<->10%"),
-    ("everything", "==0%", "0%<->0%"),
-    ("everything", "not a rule", "0%<->0%"),
+@dataclasses.dataclass(frozen=True)
+class Rule:
+    """A rule in parts, for the check engine; the control table holds its text. ``compare`` is SQL's word for the operator."""
+
+    column: str
+    operator: str
+    compare: str
+    limit: int
+    low: int
+    high: int
+
+    @property
+    def text(self) -> str:
+        return f"{self.operator}{self.limit}%"
+
+    @property
+    def band(self) -> str:
+        return f"{self.low}%<->{self.high}%"
+
+
+RULES = [
+    Rule("event_type", "<=", "<=", 10, -15, 15),
+    Rule("value_band", ">=", ">=", -90, -50, 900),
+    Rule("known_type", "<", "<", 0, 300, 500),
+    Rule("is_purchase", ">", ">", 50, 0, 0),
+    Rule("peak", "<=", "<=", 10, -10, 10),
+    Rule("everything", "==", "=", 0, 0, 0),
 ]
+# As written into the control table; the last one is no rule, and a column's first text counts.
+RULE_ROWS = [(r.column, r.text, r.band) for r in RULES] + [("everything", "not a rule", "0%<->0%")]
 
 
 def requests(spark: SparkSession) -> DataFrame:

@@ -2,14 +2,36 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 import slicewise as sw
 from slicewise.layout import STATS_SCHEMA
-from slicewise.operators.verdicts import column_settings, past_for_settings, rule_status, validation_rows
+from slicewise.operators.verdicts import (
+    JUDGED_SCHEMA,
+    column_settings,
+    past_for_settings,
+    rule_status,
+    validation_rows,
+)
 from slicewise.session import scratch_path
 
-from .common import DAY, HISTORY_SQL, REQUEST_ROWS, RULE_ROWS, RUN, events_history, judged_events, registry, requests, rules
+from .common import (
+    DAY,
+    DAY_BEFORE,
+    HISTORY_SQL,
+    REQUEST_ROWS,
+    RULES,
+    RUN,
+    Rule,
+    events_history,
+    judged_events,
+    registry,
+    requests,
+    rules,
+    table,
+)
 
 QUERIES, ORACLES, register = registry()
 D = f"DATE '{DAY}'"
@@ -65,7 +87,7 @@ def _past_sql(days: int = 5) -> str:
 @register("history_average", f"WITH {HISTORY_SQL} {_past_sql()}")
 def history_average(spark, sf_dir):
     past = sw.history_average(events_history(spark, sf_dir), DAY, 5)
-    return past.drop("table_name", "stat_kind")
+    return past.drop("table_name", "stat_kind", "filter_condition")
 
 
 @register("history_average_newest", f"WITH {HISTORY_SQL} {_past_sql()}")
@@ -73,7 +95,7 @@ def history_average_newest(spark, sf_dir):
     """An older run of the same dates, with other counts, must not show."""
     newest = events_history(spark, sf_dir)
     older = newest.withColumns({"batch_sequence": F.lit(0), "error_records_count": F.col("error_records_count") * 3})
-    return sw.history_average(older.unionByName(newest), DAY, 5, runs="newest").drop("table_name", "stat_kind")
+    return sw.history_average(older.unionByName(newest), DAY, 5, runs="newest").drop("table_name", "stat_kind", "filter_condition")
 
 
 COMPARED_SQL = f"""
@@ -139,10 +161,8 @@ def trend_band(spark, sf_dir):
     return _rounded(sw.with_trend_status(gaps, F.lit("-15%<->400%")), *GAPS)
 
 
-def _verdict_sql(rule: str, gap: str) -> str:
-    operator = next(op for op in ("<=", ">=", "<", ">", "==") if op in rule)
-    limit = rule.split("%")[0].split(operator)[1]
-    return f"CASE WHEN {gap} {'=' if operator == '==' else operator} {limit} THEN 'Pass' ELSE 'Fail' END"
+def _verdict_sql(rule: Rule, gap: str) -> str:
+    return f"CASE WHEN {gap} {rule.compare} {rule.limit} THEN 'Pass' ELSE 'Fail' END"
 
 
 TODAY_GATED_SQL = f"""
@@ -164,13 +184,12 @@ STORED_TODAY = f"{TODAY_GATED_SQL}, stored AS (SELECT * FROM gated)"
 
 def _judged_sql(stored: str = STORED_ALL) -> str:
     """One select per column: its own look-back, its rule written out."""
-    rule_of = {c: (r, t) for c, r, t in sorted(RULE_ROWS, key=lambda x: x[1], reverse=True)}
+    rule_of = {rule.column: rule for rule in RULES}
     parts = []
     for column, _, days in REQUEST_ROWS:
-        rule, band = rule_of[column]
+        rule = rule_of[column]
         today = f"SELECT * FROM stored WHERE batch_date = {D} AND column_name = '{column}'"
         if days > 0:
-            low, high = (part.split("%")[0] for part in band.split("<->"))
             past = (
                 "SELECT column_name, column_value, kind, CAST(trunc(avg(table_count)) AS BIGINT) AS past_table_count, "
                 f"CAST(trunc(avg(n)) AS BIGINT) AS past_count FROM stored WHERE column_name = '{column}' "
@@ -178,12 +197,12 @@ def _judged_sql(stored: str = STORED_ALL) -> str:
             )
             parts.append(f"""
               SELECT column_name, column_value, past_column_value, table_count, error_records_count,
-                     round({TREND_SQL}, 6) AS error_percentage, '{rule}' AS threshold_percentage,
+                     round({TREND_SQL}, 6) AS error_percentage, '{rule.text}' AS threshold_percentage,
                      {_verdict_sql(rule, f"({TREND_SQL})")} AS status, past_table_count AS average_table_count,
                      past_count AS average_error_records_count,
                      CAST(trunc({AVERAGE_SQL}) AS BIGINT) AS average_error_percentage,
-                     '{band}' AS trend_threshold_percentage,
-                     CASE WHEN {AVERAGE_SQL} BETWEEN {low} AND {high} THEN 'Pass' ELSE 'Fail' END AS trend_status
+                     '{rule.band}' AS trend_threshold_percentage,
+                     CASE WHEN {AVERAGE_SQL} BETWEEN {rule.low} AND {rule.high} THEN 'Pass' ELSE 'Fail' END AS trend_status
               FROM (SELECT coalesce(t.column_name, p.column_name) AS column_name, t.column_value,
                            p.column_value AS past_column_value,
                            coalesce(t.table_count, 0) AS table_count, coalesce(t.n, 0) AS error_records_count,
@@ -193,7 +212,7 @@ def _judged_sql(stored: str = STORED_ALL) -> str:
         else:
             gap = POINT_SQL.format(n="n")
             parts.append(f"""
-              SELECT column_name, column_value, NULL, table_count, n, round({gap}, 6), '{rule}',
+              SELECT column_name, column_value, NULL, table_count, n, round({gap}, 6), '{rule.text}',
                      {_verdict_sql(rule, f"({gap})")}, NULL, NULL, NULL, NULL, NULL
               FROM ({today}) t""")
     return f"WITH {HISTORY_SQL}, {stored}, judged_rows AS ({' UNION ALL '.join(parts)})"
@@ -276,6 +295,46 @@ def distribution_run(spark, sf_dir):
     return status.select("scenario_id", "scenario_name", "batch_date", "batch_seq_id", "status")
 
 
+@register(
+    "distribution_run_two_tables",
+    f"{_judged_sql(STORED_TODAY)} SELECT t.table_name, judged_rows.* FROM judged_rows, "
+    "(VALUES ('events'), ('more events')) AS t(table_name)",
+)
+def distribution_run_two_tables(spark, sf_dir):
+    """Two tables under one run, the first of them twice: the validation rows of both."""
+    folder, observed = scratch_path(spark, "distribution"), judged_events(spark, sf_dir)
+    asked = requests(spark)
+    asked = asked.unionByName(asked.withColumn("table_name", F.lit("more events")))
+    for name in ("events", "more events", "events"):
+        sw.run_distribution(observed, "ts", name, asked, rules(spark), RUN, folder)
+    judged = sw.read_rows(spark, f"{folder}/validation", JUDGED_SCHEMA)
+    return _rounded(judged.select("table_name", *JUDGED), "error_percentage")
+
+
+BOUNDS = {"0<->49<->50": (0, 49), "0<->199<->100": (0, 199)}
+
+
+@register(
+    "history_average_two_requests",
+    " UNION ALL ".join(
+        f"""SELECT '{info}' AS filter_condition, CAST(trunc(avg(t)) AS BIGINT) AS past_table_count,
+                   CAST(trunc(avg(n)) AS BIGINT) AS past_count
+            FROM (SELECT CAST(ts AS DATE) AS d, count(*) AS t, count(*) FILTER (value BETWEEN {low} AND {high}) AS n
+                  FROM events WHERE CAST(ts AS DATE) BETWEEN {D} - 1 AND {D} GROUP BY d)"""
+        for info, (low, high) in BOUNDS.items()
+    ),
+)
+def history_average_two_requests(spark, sf_dir):
+    """Two bounds on one column: each request has a past of its own."""
+    asked = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('value', '{b}')" for b in BOUNDS) + " AS t(column_name, additional_info)")
+    events, stats = table(spark, sf_dir, "events"), []
+    for day in (DAY_BEFORE, DAY):
+        profile = sw.request_profile(sw.slice_scan(events, "ts", day), asked)
+        stats.append(sw.to_stats(profile, dataclasses.replace(RUN, batch_date=day), "events"))
+    average = sw.history_average(stats[0].unionByName(stats[1]), DAY, 1).filter("stat_kind = 'column'")
+    return average.select("filter_condition", "past_table_count", "past_count")
+
+
 @register(
     "threshold_suggest",
     f"WITH {HISTORY_SQL} SELECT column_name, column_value, count(*) AS n_stored, round(avg(n), 6) AS mean_count, "
@@ -283,5 +342,5 @@ def distribution_run(spark, sf_dir):
     "round(avg(n) + 2.0 * stddev_samp(n), 6) AS suggested_high FROM history GROUP BY column_name, column_value",
 )
 def threshold_suggest(spark, sf_dir):
-    bands = sw.threshold_suggest(events_history(spark, sf_dir), spread=2.0).drop("table_name", "stat_kind")
+    bands = sw.threshold_suggest(events_history(spark, sf_dir), spread=2.0).drop("table_name", "stat_kind", "filter_condition")
     return _rounded(bands, "mean_count", "stddev_count", "suggested_low", "suggested_high")

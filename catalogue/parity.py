@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import slicewise as sw
+from slicewise.layout import VALIDATION_SCHEMA
 from slicewise.session import scratch_path
 
 from .common import DAY, DAY_BEFORE, RUN, registry, table
@@ -174,6 +175,27 @@ def parity_run(spark, sf_dir):
     return status.select("scenario_id", "batch_seq_id", "status")
 
 
+@register(
+    "parity_run_two_checks",
+    """SELECT t.*, 'Fail' AS run_status FROM (
+         SELECT '12' AS check_id, 'Record Count' AS check_name,
+                (SELECT count(*) FROM orders) || '||' || (SELECT count(*) FROM lineitem) AS comments, 'Fail' AS status
+         UNION ALL SELECT '3', 'Column Count', '6||6', 'Pass'
+         UNION ALL SELECT '20', 'Result', NULL, 'Fail') t""",
+)
+def parity_run_two_checks(spark, sf_dir):
+    """Three control rows of one run: the validation rows, and the status they give together."""
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    tables = {"both": {"orders": orders, "lines": lines.select(*lines.columns[:6])}}
+    rows = ", ".join(f"(1, 1, 7, 'both', {check}, 'NA', '3')" for check in (12, 3, 20))
+    names = "project_id, pipeline_id, scenario_id, table_name, check_id, date_partition_columns, filter_condition"
+    asked, folder = spark.sql(f"SELECT * FROM VALUES {rows} AS t({names})"), scratch_path(spark, "parity")
+    status = sw.run_parity_requests(asked, tables, RUN, folder).select(F.col("status").alias("run_status"))
+    kept = sw.read_rows(spark, f"{folder}/validation", VALIDATION_SCHEMA)
+    comments = F.when(F.col("check_name") != "Result", F.col("comments"))
+    return kept.select("check_id", "check_name", comments.alias("comments"), "status", F.lit(status.first()[0]).alias("run_status"))
+
+
 def _nested(spark, sf_dir):
     """One record per document, with its lines as an array of structs and its origin as a struct of structs."""
     lines = F.transform(

@@ -144,6 +144,22 @@ def multi_column_profile(spark, sf_dir):
     return sw.multi_column_profile(table(spark, sf_dir, "lineitem"), columns)
 
 
+TYPED = {"q2": "CAST(l_linenumber AS DECIMAL(10, 2))", "q4": "CAST(l_linenumber AS DECIMAL(38, 4))", "f": "CAST(l_discount AS FLOAT)"}
+
+
+@register(
+    "typed_value_texts",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({e} AS VARCHAR) AS column_value, count(*) AS group_count FROM lineitem GROUP BY ALL"
+        for c, e in TYPED.items()
+    ),
+)
+def typed_value_texts(spark, sf_dir):
+    """Decimals of two scales and a FLOAT together: each value has the text of its own column's type."""
+    rows = table(spark, sf_dir, "lineitem").select(*[F.expr(e).alias(c) for c, e in TYPED.items()])
+    return sw.multi_column_profile(rows, list(TYPED)).select("column_name", "column_value", "group_count")
+
+
 @register(
     "null_value_profile",
     "WITH t AS (SELECT nullif(o_orderstatus, 'O') AS o_orderstatus FROM orders) " + _value_sql("t", "o_orderstatus"),
@@ -300,13 +316,15 @@ def row_index(spark, sf_dir):
 
 @register(
     "row_index_input_order",
-    "SELECT count(*) AS n_rows, 1 AS first_index, count(*) AS last_index, count(*) AS n_indexes FROM lineitem",
+    """SELECT (i - 1) // 1000 AS bucket, count(*) AS n_rows, min(i) AS first_index, max(i) AS last_index, count(DISTINCT i) AS n_indexes
+       FROM (SELECT row_number() OVER () AS i FROM lineitem) GROUP BY 1""",
 )
 def row_index_input_order(spark, sf_dir):
     numbered = sw.row_index(table(spark, sf_dir, "lineitem").select("l_orderkey"))
-    return numbered.agg(
+    bucket = F.expr("(row_index - 1) DIV 1000").alias("bucket")
+    return numbered.groupBy(bucket).agg(
         F.count("*").alias("n_rows"),
-        F.min("row_index").cast("int").alias("first_index"),
+        F.min("row_index").alias("first_index"),
         F.max("row_index").alias("last_index"),
         F.count_distinct("row_index").alias("n_indexes"),
     )

@@ -44,7 +44,7 @@ from .operators.verdicts import (
     with_trend_gaps,
     with_trend_status,
 )
-from .plans.cross_side import result_validation, run_parity, shape_validation
+from .plans.cross_side import result_validation, run_parity, run_parity_requests, shape_validation
 from .plans.distribution import compare_with_prior, judge_slice, run_distribution
 from .sources.files import file_profile, json_field_profile, line_consistency, merge_files, merge_frames, read_json
 from .sources.slices import (

@@ -1,8 +1,9 @@
 """Typed unpivot: many columns of different types as rows, with no cast of numbers to text.
 
-Each row carries the number of its column and one filled value out of up to four lanes: ``text`` (strings, dates,
-booleans), ``whole`` (integers), ``exact`` (decimals), ``real`` (floating point). Group keys and minima stay typed,
-and text is made only for the groups that come out of the aggregation. Only the lanes that are needed exist.
+Each row carries the number of its column and one filled value out of several lanes: ``text`` (strings, dates,
+booleans), ``whole`` (integers), one lane for every decimal type, ``single`` and ``real`` (floating point). Group keys and
+minima stay in the column's own type, so the text of a value, made only for the groups that come out of the aggregation,
+does not depend on the columns beside it. Only the lanes that are needed exist.
 """
 
 from __future__ import annotations
@@ -11,14 +12,16 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .slices import quoted, ref
 
-LANES = ["text", "whole", "exact", "real"]
+DECIMAL = "exact"
 
 
 def lane_of(dtype: T.DataType) -> str:
     if isinstance(dtype, T.IntegralType):
         return "whole"
     if isinstance(dtype, T.DecimalType):
-        return "exact"
+        return f"{DECIMAL}_{dtype.precision}_{dtype.scale}"
+    if isinstance(dtype, T.FloatType):
+        return "single"
     if isinstance(dtype, T.FractionalType):
         return "real"
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
@@ -31,30 +34,24 @@ def lane_map(df: DataFrame, columns: list[str]) -> dict[str, str]:
 
 
 def lanes_in(df: DataFrame, columns: list[str]) -> list[str]:
-    used = set(lane_map(df, columns).values())
-    return [lane for lane in LANES if lane in used]
+    """The lanes in use, text first and binary fractions last."""
+    order = {"text": 0, "whole": 1, "single": 3, "real": 4}
+    return sorted(set(lane_map(df, columns).values()), key=lambda lane: (order.get(lane, 2), lane))
 
 
-def _lane_types(df: DataFrame, columns: list[str]) -> dict[str, T.DataType]:
-    decimals = [df.schema[c].dataType for c in columns if isinstance(df.schema[c].dataType, T.DecimalType)]
-    scale = max((d.scale for d in decimals), default=0)
-    whole_digits = max((d.precision - d.scale for d in decimals), default=0)
-    if whole_digits + scale > 38:
-        raise TypeError("the decimal columns share no type of 38 digits; profile them in separate calls")
-    return {
-        "text": T.StringType(),
-        "whole": T.LongType(),
-        "exact": T.DecimalType(max(whole_digits + scale, 1), scale),
-        "real": T.DoubleType(),
-    }
+def lane_type(lane: str) -> str:
+    """The SQL type of a lane's values."""
+    if lane.startswith(DECIMAL):
+        return "decimal({}, {})".format(*lane.split("_")[1:])
+    return {"text": "string", "whole": "bigint", "single": "float", "real": "double"}[lane]
 
 
 def unpivot_lanes(df: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:
     """One row per input row and column: the kept columns, ``column_no`` and the lanes in use."""
-    lanes, types, own = lanes_in(df, columns), _lane_types(df, columns), lane_map(df, columns)
+    lanes, own = lanes_in(df, columns), lane_map(df, columns)
     cells = []
     for number, name in enumerate(columns):
-        filled = [f"CAST({quoted(name) if own[name] == lane else 'NULL'} AS {types[lane].simpleString()})" for lane in lanes]
+        filled = [f"CAST({quoted(name) if own[name] == lane else 'NULL'} AS {lane_type(lane)})" for lane in lanes]
         cells.append(", ".join([str(number), *filled]))
     rows = F.expr(f"stack({len(columns)}, {', '.join(cells)})").alias("column_no", *lanes)
     return df.select(*[ref(k) for k in keep or []], rows)

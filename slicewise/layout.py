@@ -9,6 +9,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+# Names and order of the columns of the control and result tables.
 REQUEST_SCHEMA = """
     project_id int, pipeline_id int, scenario_id int, check_id int, table_name string, column_name string,
     additional_info string, date_partition_columns string, number_of_partitions int, filter_condition string

@@ -1,14 +1,16 @@
 """The history of column statistics: writing it, reading it back, and its averages.
 
-A written row belongs to one run (project, sub-project, pipeline, scenario, batch date, sequence). Tables are laid
-out by ``batch_date`` and ``run_key``; writing the same run again replaces its rows, so neither a repeated job nor a
-lost executor leaves a run in the table twice. A run with a new sequence adds to the history.
+A written row belongs to one run (project, sub-project, pipeline, scenario, batch date, sequence), in it to one table or
+side list, and there to one check. Tables are laid out by ``batch_date`` and ``run_key``, which names all of these; writing
+the same part of a run again replaces its rows and no others, so neither a repeated job nor a lost executor leaves a run in
+the table twice. A run with a new sequence adds to the history.
 """
 
 from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,8 +21,10 @@ from ..layout import STATS_SCHEMA, fit
 from .profiles import value_groups
 
 # What makes two statistics of different dates the same statistic.
-STAT_KEYS = ["table_name", "column_name", "stat_kind", "column_value"]
+STAT_KEYS = ["table_name", "column_name", "filter_condition", "stat_kind", "column_value"]
 PARTITIONS = ["batch_date", "run_key"]
+# What a run is written in parts by, where a table has these columns.
+PARTS = ["table_name", "check_name"]
 # NULL is written as a mark of its own, so that an empty text stays one.
 CSV = {"header": True, "escape": '"', "nullValue": "\\N"}
 
@@ -46,7 +50,10 @@ class Run:
 
 def to_stats(profile: DataFrame, run: Run, table_name: str) -> DataFrame:
     """Profile rows as history rows of a run. The group count keeps the name it has in the history layout."""
-    tagged = profile.withColumns(run.columns() | {"table_name": F.lit(table_name)})
+    tags = {"table_name": F.lit(table_name)}
+    if "additional_info" in profile.columns:  # bounds and width tell requests of one column apart
+        tags["filter_condition"] = F.expr("nullif(additional_info, 'NA')")
+    tagged = profile.withColumns(run.columns() | tags)
     return fit(tagged.withColumnRenamed("group_count", "error_records_count"), STATS_SCHEMA)
 
 
@@ -79,7 +86,22 @@ def stats_of_all_slices(df: DataFrame, date_column: str, columns: list[str], run
 def _run_key(df: DataFrame) -> Column:
     sequence = "batch_sequence" if "batch_sequence" in df.columns else "batch_seq_id"
     ids = ["project_id", "sub_project_id", "pipeline_id", "scenario_id", sequence]
-    return F.concat_ws("-", *[F.coalesce(F.col(i).cast("string"), F.lit("x")) for i in ids])
+    parts = [F.coalesce(F.col(c), F.lit("x")) if c in df.columns else F.lit("x") for c in PARTS]
+    ids = [F.coalesce(F.col(i).cast("string"), F.lit("x")) for i in ids]
+    return F.concat_ws("-", *ids, F.md5(F.concat_ws("\n", *parts).cast("binary")))
+
+
+def part_folder(path: str, run: Run, table_name: str) -> str:
+    """The folder of the rows of one table in one run."""
+    ids = [run.project_id, run.sub_project_id, run.pipeline_id, run.scenario_id, run.batch_sequence]
+    part = hashlib.md5("\n".join([table_name, *["x"] * (len(PARTS) - 1)]).encode()).hexdigest()
+    return f"{path}/batch_date={run.batch_date}/run_key={'-'.join(map(str, ids))}-{part}"
+
+
+def write_part(df: DataFrame, path: str, run: Run, table_name: str, fmt: str = "parquet") -> None:
+    """Write all rows of one table of a run, replacing what an earlier try of it wrote, also if there are none now."""
+    writer = df.drop("batch_date").coalesce(1).write.format(fmt).mode("overwrite")
+    (writer.options(**CSV) if fmt == "csv" else writer).save(part_folder(path, run, table_name))
 
 
 def write_rows(df: DataFrame, path: str, fmt: str = "parquet", replace_runs: bool = True) -> None:
@@ -141,10 +163,11 @@ def past_stats(history: DataFrame, day: Day, look_back: int) -> DataFrame:
 
 
 def newest_runs(history: DataFrame) -> DataFrame:
-    """Only the rows of the highest sequence per statistic and date."""
-    keys = ["project_id", "sub_project_id", "pipeline_id", "scenario_id", "batch_date", *STAT_KEYS]
-    newest = history.groupBy(*keys).agg(F.max_by(F.struct(*history.columns), "batch_sequence").alias("row"))
-    return newest.select("row.*")
+    """Only the rows of the highest sequence of each scope, table and date; an older run's rows go with it."""
+    keys = ["project_id", "sub_project_id", "pipeline_id", "scenario_id", "batch_date", "table_name"]
+    newest = history.groupBy(*[F.col(k).alias(f"newest_{k}") for k in keys]).agg(F.max("batch_sequence").alias("newest"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"newest_{k}")) for k in keys])
+    return history.join(newest, same & F.col("batch_sequence").eqNullSafe(F.col("newest")), "left_semi")
 
 
 def average_of(rows: DataFrame) -> DataFrame:

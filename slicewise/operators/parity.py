@@ -36,34 +36,33 @@ def slice_sides(sides: Sides, date_column: str, day: Day) -> Sides:
     return {k: None if v is None else v.filter(on_day(v, date_column, day)) for k, v in sides.items()}
 
 
-def side_shapes(sides: Sides) -> DataFrame:
-    """``side_no, side, n_rows, n_columns``: one count per side, which needs no column of it."""
+def side_shapes(sides: Sides, count_rows: bool = True) -> DataFrame:
+    """``side_no, side, n_rows, n_columns``: one count per side, which needs no column of it.
+
+    Without ``count_rows`` no side is read: ``n_rows`` is NULL, and column counts come from the schema.
+    """
     spark = _any_session(sides)
     shapes = []
     for number, (label, side) in enumerate(sides.items()):
-        counted = spark.range(1) if side is None else side.agg(F.count("*").alias("n"))
+        counted = spark.range(1) if side is None or not count_rows else side.agg(F.count("*").alias("n"))
         shapes.append(
             counted.select(
                 F.lit(number).alias("side_no"),
                 F.lit(label).alias("side"),
-                (F.lit(None) if side is None else F.col("n")).cast("bigint").alias("n_rows"),
+                (F.lit(None) if side is None or not count_rows else F.col("n")).cast("bigint").alias("n_rows"),
                 F.lit(None if side is None else len(side.columns)).cast("bigint").alias("n_columns"),
             )
         )
     return _union(shapes)
 
 
-def shape_parity(sides: Sides) -> DataFrame:
+COUNTS = {"Record Count": "n_rows", "Column Count": "n_columns"}
+
+
+def shape_parity(sides: Sides, checks: tuple[str, ...] = tuple(COUNTS)) -> DataFrame:
     """Row-count and column-count check: Pass when all sides have the same count and none is missing."""
-    checks = side_shapes(sides).select(
-        "side_no",
-        F.inline(
-            F.array(
-                F.struct(F.lit("Record Count").alias("check_name"), F.col("n_rows").alias("n")),
-                F.struct(F.lit("Column Count").alias("check_name"), F.col("n_columns").alias("n")),
-            )
-        ),
-    )
+    asked = [F.struct(F.lit(c).alias("check_name"), F.col(COUNTS[c]).alias("n")) for c in checks]
+    checks = side_shapes(sides, "Record Count" in checks).select("side_no", F.inline(F.array(*asked)))
     # At most one entry per side is collected.
     listed = F.array_sort(F.collect_list(F.struct("side_no", F.coalesce(F.col("n").cast("string"), F.lit("NA")).alias("t"))))
     agree = (F.count("n") == F.count("*")) & (F.count_distinct("n") == 1)

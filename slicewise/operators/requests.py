@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
-from ..functions.lanes import lane_map, lanes_in, unpivot_lanes
+from ..functions.lanes import DECIMAL, lane_map, lane_type, lanes_in, unpivot_lanes
 from ..functions.ranges import range_end, range_label, range_start
 from ..layout import PROFILE_SCHEMA, fit
 from ..sources.control import local_table, parse_requests
@@ -37,8 +37,11 @@ def _request_table(df: DataFrame, wanted: Wanted, columns: list[str]) -> DataFra
     return local_table(df.sparkSession, pa.Table.from_pylist(rows, schema=pa.schema(fields)))
 
 
-# Bounds are cast to the type of the lane they are compared with; on text they compare as text.
-BOUND_TYPES = {"text": "string", "whole": "bigint", "exact": "decimal(38,0)", "real": "double"}
+def _bound_type(lane: str) -> str:
+    """Bounds are whole numbers, cast to what their lane compares with; on text they compare as text."""
+    if lane.startswith(DECIMAL):
+        return "decimal(38,0)"
+    return "double" if lane == "single" else lane_type(lane)
 
 
 def _in_bounds(lanes: list[str]) -> Column:
@@ -52,7 +55,7 @@ def _rows_of(df: DataFrame, wanted: Wanted) -> tuple[DataFrame, list[str]]:
     named = {r["column_name"] for r in wanted.values()}
     columns = [c for c in df.columns if c in named]
     lanes = lanes_in(df, columns)
-    bounds = [f"try_cast({end} AS {BOUND_TYPES[lane]}) AS {end}_{lane}" for lane in lanes for end in ("low", "high")]
+    bounds = [f"try_cast({end} AS {_bound_type(lane)}) AS {end}_{lane}" for lane in lanes for end in ("low", "high")]
     keys = _request_table(df, wanted, columns)
     keys = keys.selectExpr("column_no", KEY, "width", "request_mode = 'plain' AS is_plain", *bounds)
     rows = unpivot_lanes(df, columns).join(keys, "column_no").filter(_in_bounds(lanes))

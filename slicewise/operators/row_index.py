@@ -9,18 +9,16 @@ from ..session import shared_folder
 
 # The low bits of ``monotonically_increasing_id`` hold the position inside a partition.
 POSITION_BITS = 33
-# Offsets are one number per input partition; beyond this many they are joined without a broadcast.
-BROADCAST_PARTITIONS = 1_000_000
 
 
-def row_index(df: DataFrame, order_by: list[str] | None = None, name: str = "row_index", settle: bool = False) -> DataFrame:
+def row_index(df: DataFrame, order_by: list[str] | None = None, name: str = "row_index", settle: bool = True) -> DataFrame:
     """Number the rows 1, 2, 3 ... in input order, or in the order of ``order_by``.
 
-    Rows are counted per partition, the counts (one number each) are added up, and every partition numbers its own rows
-    from its offset: no row moves for the numbering. The partitions must be the same each time they are read. A plain
-    file scan gives that; ``settle`` checkpoints any other input first, and so does ``order_by``, after a range
-    partitioning by the key. Rows with the same key are spread by their position in the input, so that a frequent key
-    is no hot partition.
+    Rows are counted per partition, the counts (one number each, to the driver) are added up, and every partition numbers its
+    own rows from its offset: no row moves for the numbering. The input is written by a checkpoint first, since a second
+    read of it may fall into other partitions, a file scan too while executors come and go; that costs a copy of the
+    chosen columns. ``settle=False`` leaves it out for an input that is settled already. ``order_by`` range-partitions by
+    the key before; rows with the same key are spread by their position in the input, so a frequent key is no hot partition.
     """
     rows = df
     if order_by:
@@ -38,8 +36,6 @@ def row_index(df: DataFrame, order_by: list[str] | None = None, name: str = "row
         total += n
     table = pa.table({"part": pa.array(parts, pa.int32()), "offset": pa.array(offsets, pa.int64())})
     starts = df.sparkSession.createDataFrame(table)
-    if len(parts) <= BROADCAST_PARTITIONS:
-        starts = F.broadcast(starts)
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     return (
         rows.select("*", part, position.alias("position"))

@@ -34,6 +34,7 @@ def pair_with_past(current: DataFrame, past: DataFrame) -> DataFrame:
     same = (
         (F.col("table_name") == F.col("past_table_name"))
         & (F.col("column_name") == F.col("past_column_name"))
+        & F.col("filter_condition").eqNullSafe(F.col("past_filter_condition"))
         & (F.col("stat_kind") == F.col("past_stat_kind"))
         & (F.col("key") == F.col("past_key"))
     )
@@ -139,6 +140,7 @@ def rule_status(current: DataFrame, past: DataFrame, settings: DataFrame) -> Dat
     past_gap = F.when(trend, average_gap(past_table, past_count))
     judged = paired.select(
         _first("table_name").alias("table_name"),
+        _first("filter_condition").alias("filter_condition"),
         F.col("judged_column").alias("column_name"),
         _first("stat_kind").alias("stat_kind"),
         "column_value",
@@ -173,7 +175,8 @@ def _scenario_verdict() -> Column:
     failing = F.count_if(
         F.coalesce(F.col("status") == FAIL, F.lit(False)) | F.coalesce(F.col("trend_status") == FAIL, F.lit(False))
     )
-    return F.when(no_rule > 0, ABORT).when(failing > 0, FAIL).otherwise(PASS)
+    aborted = F.count_if(F.coalesce(F.col("status") == ABORT, F.lit(False)))
+    return F.when(no_rule + aborted > 0, ABORT).when(failing > 0, FAIL).otherwise(PASS)
 
 
 RUN_KEYS = ["project_id", "sub_project_id", "pipeline_id", "scenario_id", "scenario_name", "batch_date"]
@@ -189,7 +192,8 @@ def scenario_status(validation: DataFrame) -> DataFrame:
 
 def run_status(validation: DataFrame, run: Run, start_time: str | None = None, end_time: str | None = None) -> DataFrame:
     """The status row of one run, which passes when it has no validation row at all."""
-    row = validation.agg(_scenario_verdict().alias("status"))
+    comment = F.max(F.when(F.col("status") == ABORT, F.col("comments")))
+    row = validation.agg(_scenario_verdict().alias("status"), comment.alias("comments"))
     return status_row(row, run, start_time, end_time)
 
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from ..layout import STATS_SCHEMA, STATUS_SCHEMA, fit
-from ..operators.history import Run, current_stats, of_scope, read_rows, to_stats, write_rows
+from ..operators.history import Run, current_stats, of_scope, read_rows, to_stats, write_part, write_rows
 from ..operators.requests import request_profile
 from ..operators.side_by_side import PAIR_GATE, gated_profile_pair, histogram_vs_prior
 from ..operators.verdicts import (
@@ -16,7 +16,6 @@ from ..operators.verdicts import (
     past_for_settings,
     rule_status,
     run_status,
-    status_row,
     validation_rows,
 )
 from ..session import shared_folder
@@ -81,9 +80,10 @@ def run_distribution(
     folder: str,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Run the scenario and write ``stats``, ``validation`` and ``status`` under ``folder``; returns the status row.
+    """Run the scenario for one table and write ``stats``, ``validation`` and ``status`` under ``folder``.
 
-    A batch date without rows, or no request at all, ends in an Abort row with a comment. An error writes an Abort row
+    Returns the status row of the run, which is judged from the validation rows of all tables the run has written so far.
+    Running a table again replaces its rows, also where there are fewer or none now. A batch date without rows, or no request at all, ends in an Abort row with a comment. An error writes an Abort row
     and is raised again. Statistics are written before they are judged, so that the slice is scanned once for the
     profile and the verdicts read the small history only.
     """
@@ -97,24 +97,28 @@ def run_distribution(
         )
         return of_scope(read_rows(spark, f"{folder}/status", STATUS_SCHEMA, fmt), run).filter(mine)
 
+    def judged() -> DataFrame:
+        rows = of_scope(read_rows(spark, f"{folder}/validation", JUDGED_SCHEMA, fmt), run).filter(
+            (F.col("batch_date") == F.lit(str(run.batch_date)).cast("date"))
+            & (F.col("batch_sequence") == run.batch_sequence)
+        )
+        return finish(run_status(rows, run, start, _now()))
+
     def abort(comment: str) -> DataFrame:
-        row = spark.range(1).select(F.lit("Abort").alias("status"), F.lit(comment).alias("comments"))
-        return finish(status_row(row, run, start, _now()))
+        told = {"status": F.lit("Abort"), "comments": F.lit(comment), "table_name": F.lit(table_name)}
+        write_part(fit(spark.createDataFrame([], STATS_SCHEMA), STATS_SCHEMA), f"{folder}/stats", run, table_name, fmt)
+        write_part(validation_rows(spark.range(1).withColumns(told), run), f"{folder}/validation", run, table_name, fmt)
+        return judged()
 
     try:
         if requests.isEmpty():
             return abort("no column request")
         if slice_probe(observed, date_column, run.batch_date).isEmpty():
             return abort("no rows for the batch date")
-        write_rows(profile_slice(observed, date_column, table_name, requests, run), f"{folder}/stats", fmt)
+        write_part(profile_slice(observed, date_column, table_name, requests, run), f"{folder}/stats", run, table_name, fmt)
         history = read_rows(spark, f"{folder}/stats", STATS_SCHEMA, fmt)
-        judged = judge_stats(history, table_name, requests, rules, run)
-        write_rows(judged, f"{folder}/validation", fmt)
-        kept = of_scope(read_rows(spark, f"{folder}/validation", JUDGED_SCHEMA, fmt), run).filter(
-            (F.col("batch_date") == F.lit(str(run.batch_date)).cast("date"))
-            & (F.col("batch_sequence") == run.batch_sequence)
-        )
-        return finish(run_status(kept, run, start, _now()))
+        write_part(judge_stats(history, table_name, requests, rules, run), f"{folder}/validation", run, table_name, fmt)
+        return judged()
     except Exception as error:
         abort(f"error: {type(error).__name__}")
         raise

@@ -72,8 +72,16 @@ def query_dataset(
 ) -> DataFrame:
     """The result of an SQL text in which ``:batch_date`` stands for the batch date (bound, not spliced in).
 
-    ``views`` are made visible to the text under their names.
+    ``views`` are visible to the text under their names while it is read; views of these names are as before afterwards.
     """
-    for name, view in (views or {}).items():
-        view.createOrReplaceTempView(name)
-    return spark.sql(text, args={"batch_date": dt.date.fromisoformat(str(batch_date))})
+    mine = {t.name for t in spark.catalog.listTables() if t.isTemporary} if views else set()
+    before = {name: spark.table(name) for name in views or {} if name.lower() in mine}
+    try:
+        for name, view in (views or {}).items():
+            view.createOrReplaceTempView(name)
+        return spark.sql(text, args={"batch_date": dt.date.fromisoformat(str(batch_date))})
+    finally:
+        for name in views or {}:
+            spark.catalog.dropTempView(name)
+        for name, view in before.items():
+            view.createOrReplaceTempView(name)

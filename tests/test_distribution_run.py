@@ -128,3 +128,45 @@ def test_judge_slice_equals_the_written_run(spark, tmp_path):
     run_on(spark, tmp_path, "2024-01-02", 1, *REQUESTS)
     written = read(spark, tmp_path, "validation", JUDGED_SCHEMA).filter("batch_date = '2024-01-02'")
     assert preview == rows(written.select(*[c.strip().split()[0] for c in JUDGED_SCHEMA.replace("\n", " ").split(",")]))
+
+
+def run_table(spark, folder, name, rules, *requests):
+    asked, known = controls(spark, *requests, rules=rules)
+    run = sw.Run(1, 2, 3, 4, "2024-01-01", 1, "distribution")
+    asked = asked.withColumn("table_name", F.lit(name))
+    return sw.run_distribution(observed(spark), "dt", name, asked, known, run, str(folder)).first()["status"]
+
+
+def test_two_tables_of_a_run_stay_apart(spark, tmp_path):
+    strict, easy = (("gender", "<=-100%", "0%<->0%"),), (("gender", "<=400%", "-500%<->500%"),)
+    assert run_table(spark, tmp_path, "t", strict, ("gender", "NA", 0)) == "Fail"
+    assert run_table(spark, tmp_path, "u", easy, ("gender", "NA", 0)) == "Fail"  # the first table still fails
+    for name, ddl in (("stats", STATS_SCHEMA), ("validation", JUDGED_SCHEMA)):
+        assert {r["table_name"] for r in read(spark, tmp_path, name, ddl).collect()} == {"t", "u"}
+    assert run_table(spark, tmp_path, "t", easy, ("gender", "NA", 0)) == "Pass"
+
+
+def test_a_later_try_without_rows_leaves_none_of_the_old_ones(spark, tmp_path):
+    assert run_table(spark, tmp_path, "t", (("gender", "<=-100%", "0%<->0%"),), ("gender", "NA", 0)) == "Fail"
+    assert run_table(spark, tmp_path, "t", (("gender", "no operator", "0%<->0%"),), ("gender", "NA", 0)) == "Pass"
+    assert read(spark, tmp_path, "validation", JUDGED_SCHEMA).count() == 0
+
+
+def test_an_abort_of_one_table_is_not_hidden_by_another(spark, tmp_path):
+    easy = (("gender", "<=400%", "-500%<->500%"),)
+    with pytest.raises(ValueError):
+        run_table(spark, tmp_path, "t", easy, ("gone", "NA", 0))
+    assert run_table(spark, tmp_path, "u", easy, ("gender", "NA", 0)) == "Abort"
+
+
+def test_a_neighbour_that_passes_the_gate_does_not_change_a_text(spark, tmp_path):
+    """On the second day the other decimal has many values and is no longer profiled beside the first."""
+    df = spark.sql(
+        "SELECT date_add(DATE'2024-01-01', d) AS dt, CAST(0.5 AS DECIMAL(10,2)) AS a, "
+        "CAST(IF(d = 0, 1, id) AS DECIMAL(10,4)) AS b FROM range(20) CROSS JOIN (SELECT explode(sequence(0, 1)) AS d)"
+    )
+    asked, known = controls(spark, ("a", "NA", 3), ("b", "NA", 0), rules=(("a", "<=10%", "-5%<->5%"), ("b", "<=900%", None)))
+    for day in ("2024-01-01", "2024-01-02"):
+        sw.run_distribution(df, "dt", "t", asked, known, sw.Run(1, 2, 3, 4, day, 1), str(tmp_path))
+    judged = read(spark, tmp_path, "validation", JUDGED_SCHEMA).filter("column_name = 'a'")
+    assert {(r["column_value"], r["trend_status"]) for r in judged.collect()} == {("0.50", "Pass")}

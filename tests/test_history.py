@@ -92,3 +92,8 @@ def test_stats_of_all_slices(spark):
     found = sw.stats_of_all_slices(df, "dt", ["c"], RUN, "t")
     found = found.select(found.batch_date.cast("string"), "column_value", "error_records_count", "table_count")
     assert rows(found) == [("2024-01-01", "x", 1, 2), ("2024-01-01", None, 0, 2), ("2024-01-02", "x", 1, 1)]
+
+
+def test_newest_drops_values_of_the_older_run(spark):
+    history = stats(spark, "2024-01-05", 1, ("a", 10), ("gone", 7)).unionByName(stats(spark, "2024-01-05", 2, ("a", 20)))
+    assert rows(sw.history_average(history, "2024-01-05", 3, runs="newest"), "column_value", "past_count") == [("a", 20)]

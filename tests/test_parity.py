@@ -4,6 +4,7 @@ import pytest
 from conftest import plan, rows
 
 import slicewise as sw
+from slicewise.layout import STATUS_SCHEMA, VALIDATION_SCHEMA
 
 
 def side(spark, *data, ddl="a int, b string"):
@@ -74,6 +75,37 @@ def test_scenario_rows(spark, tmp_path):
         ("p|||q", "Record Count", "1||2", "Fail"),
     ]
     assert sw.run_parity(validation, run, str(tmp_path)).first()["status"] == "Fail"
-    assert sw.run_parity(sw.shape_validation(sides, run, check_id=3), run, str(tmp_path)).first()["status"] == "Pass"
+    # The other check of the run still fails.
+    later = sw.run_parity(sw.shape_validation(sides, run, check_id=3), run, str(tmp_path)).first()
+    assert later["status"] == "Fail" and later["start_time"] and later["end_time"]
+    kept = sw.read_rows(spark, f"{tmp_path}/validation", VALIDATION_SCHEMA)
+    assert rows(kept, "check_name", "status") == [("Column Count", "Pass"), ("Record Count", "Fail")]
+    again = {"p": sides["q"], "q": sides["q"]}
+    assert sw.run_parity(sw.shape_validation(again, run), run, str(tmp_path)).first()["status"] == "Pass"
     result = sw.result_validation(sides, run, limit=1)
     assert rows(result, "status", "comments") == [("Pass", '{"a":1,"b":"x"}|||{"a":1,"b":"x"}')]
+
+
+def test_a_column_check_reads_no_side(spark):
+    sides = {"p": side(spark, (1, "x")), "q": spark.range(3)}
+    assert "Range (0, 3" not in plan(sw.shape_parity(sides, ("Column Count",)))
+    assert rows(sw.shape_parity(sides, ("Column Count",)), "side_counts", "status") == [("2||1", "Fail")]
+
+
+def parity_requests(spark, *asked):
+    names = "table_name string, check_id int, date_partition_columns string, filter_condition string"
+    df = spark.createDataFrame(list(asked), names)
+    return df.selectExpr("1 AS project_id", "3 AS pipeline_id", "4 AS scenario_id", "*")
+
+
+def test_requests_drive_all_checks_of_a_run(spark, tmp_path):
+    run = sw.Run(1, 2, 3, 4, "2024-01-05", 1, "cross")
+    tables = {"t": {"p": side(spark, (1, "x"), (2, "y")), "q": side(spark, (1, "x"))}}
+    asked = parity_requests(spark, ("t", 12, "NA", "NA"), ("t", 3, "NA", "NA"), ("t", 20, None, "1"))
+    assert sw.run_parity_requests(asked, tables, run, str(tmp_path)).first()["status"] == "Fail"
+    kept = sw.read_rows(spark, f"{tmp_path}/validation", VALIDATION_SCHEMA)
+    assert rows(kept, "check_id", "status") == [("12", "Fail"), ("20", "Pass"), ("3", "Pass")]
+    with pytest.raises(ValueError):
+        sw.run_parity_requests(parity_requests(spark, ("u", 3, "NA", "NA")), tables, run, str(tmp_path))
+    status = sw.read_rows(spark, f"{tmp_path}/status", STATUS_SCHEMA).first()
+    assert (status["status"], status["comments"]) == ("Abort", "no sides for u")

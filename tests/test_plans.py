@@ -5,10 +5,8 @@ import re
 import pytest
 from conftest import SMALL, plan
 
-import __spark_entry__ as contract
 import slicewise as sw
-
-QUERIES = contract.queries()
+from catalogue import QUERIES
 
 
 def physical(df) -> str:

@@ -33,9 +33,9 @@ def test_hot_key_is_spread_over_partitions(spark):
     assert hot > 1
 
 
-def test_settle_an_input_that_is_no_scan(spark):
+def test_an_input_whose_partitions_change_is_settled(spark):
     df = spark.range(100).repartition(5)
-    assert sorted(r["row_index"] for r in sw.row_index(df, settle=True).collect()) == list(range(1, 101))
+    assert sorted(r["row_index"] for r in sw.row_index(df).collect()) == list(range(1, 101))
 
 
 def test_empty(spark):
@@ -47,3 +47,14 @@ def test_no_window_and_no_shuffle(spark):
     physical = plan(sw.row_index(df)).split("== Physical Plan ==")[1]
     assert "Window" not in physical and "hashpartitioning" not in physical and "SinglePartition" not in physical
     assert rows(sw.row_index(df).selectExpr("max(row_index)"))[0][0] == df.count()
+
+
+def test_two_reads_in_different_partitions(spark, tmp_path):
+    """Between numbering and use, files are dealt out in other partitions."""
+    spark.range(5000).repartition(8).write.parquet(str(tmp_path / "t"))
+    numbered = sw.row_index(spark.read.parquet(str(tmp_path / "t")))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        assert sorted(r["row_index"] for r in numbered.collect()) == list(range(1, 5001))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

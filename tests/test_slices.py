@@ -72,3 +72,10 @@ def test_partition_pruning_and_pushdown(spark, tmp_path):
     text = plan(sw.slice_scan(events, "ts", "2024-01-15", ["value"]))
     assert "GreaterThanOrEqual(ts,2024-01-15T00:00)" in text and "LessThan(ts,2024-01-16T00:00)" in text
     assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in text
+
+
+def test_query_dataset_leaves_the_callers_views_alone(spark):
+    spark.range(5).createOrReplaceTempView("observed")
+    found = sw.query_dataset(spark, "SELECT count(*) AS n FROM observed, other", "2024-01-01", {"observed": spark.range(2), "other": spark.range(1)})
+    assert found.first()["n"] == 2 and spark.table("observed").count() == 5
+    assert not spark.catalog.tableExists("other")
