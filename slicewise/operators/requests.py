@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from ..functions.lanes import DECIMAL, lane_map, lane_type, lanes_in, unpivot_lanes
 from ..functions.ranges import range_end, range_label, range_start
+from ..functions.slices import ref
 from ..layout import PROFILE_SCHEMA, fit
 from ..sources.control import local_table, parse_requests
 from .profiles import GATE, gate_groups, marked, one_zero, union_all, used_slots
@@ -76,6 +77,17 @@ def _ends(lanes: list[str]) -> list[Column]:
     return [f(lane).alias(f"{f.__name__}_{lane}") for lane in lanes for f in (F.min, F.max)]
 
 
+def _text_ends(df: DataFrame, wanted: Wanted) -> DataFrame:
+    """Count and extremes of text requests, one expression each over the whole slice: grouped, they would sort all cells."""
+    found = []
+    for no, r in wanted.items():
+        text = ref(r["column_name"]).cast("string")
+        inside = F.lit(True) if r["request_mode"] == "plain" else text.between(F.lit(r["low"]), F.lit(r["high"]))
+        ends = [f(F.when(inside, text)).alias(f"{f.__name__}_text") for f in (F.min, F.max)]
+        found.append(F.struct(F.lit(no).alias(KEY), F.count_if(F.coalesce(inside, F.lit(False))).alias("n"), *ends))
+    return df.agg(F.array(*found).alias("found")).select(F.inline("found"))
+
+
 def _profiles(df: DataFrame, wanted: Wanted, gate: int) -> list[DataFrame]:
     """Gated rows per request, decided as in ``gated_profile``: one fetched row per request, then values of the few."""
     rows, lanes = _rows_of(df, wanted)
@@ -92,8 +104,7 @@ def _profiles(df: DataFrame, wanted: Wanted, gate: int) -> list[DataFrame]:
         done = fetched.filter(pa.array([no in proven - texts for no in fetched[KEY].to_pylist()], pa.bool_()))
         frames.append(_column_rows(df.sparkSession.createDataFrame(done), numeric))
     if texts:
-        found, _ = _rows_of(df, {no: wanted[no] for no in texts})
-        frames.append(_column_rows(found.groupBy(KEY).agg(F.count("*").alias("n"), *_ends(["text"])), ["text"]))
+        frames.append(_column_rows(_text_ends(df, {no: wanted[no] for no in texts}), ["text"]))
     open_ = counted.keys() - proven
     if open_:
         found, own = _rows_of(df, {no: wanted[no] for no in open_})

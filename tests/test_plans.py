@@ -61,6 +61,13 @@ def test_requests_are_broadcast(spark):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
+def test_text_requests_sort_no_cells(spark):
+    lineitem = spark.read.parquet(f"{SMALL}/lineitem.parquet").selectExpr("CAST(l_orderkey AS STRING) AS t", "l_quantity")
+    asked = spark.createDataFrame([("t", "NA"), ("t", "1<->5<->1")], "column_name string, additional_info string")
+    text = physical(sw.request_profile(lineitem, asked))
+    assert not re.search(r"\bSort \[request_no", text)
+
+
 def test_past_window_prunes_folders(spark, tmp_path):
     from slicewise.layout import STATS_SCHEMA
     from slicewise.operators.verdicts import past_for_settings
