@@ -14,10 +14,21 @@ from ..session import scratch_path
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, safe from lost executors, lineage cut."""
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, safe from lost executors, lineage cut.
+
+    With ``tidy`` the shuffle files of the job go as soon as the table is complete; nothing reads them again.
+    """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true" if tidy else before)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -21,6 +21,7 @@ from .common import written
 
 SPAN, TRIGGER = 50, 20
 STARTS = SPAN - TRIGGER + 1  # trigger places inside a string, and most starts a phrase can have
+HALF = (SPAN - TRIGGER) // 2
 PIECE = 1 << 18
 ROWS = 50_000  # rows of a batch handed on
 LAST_ID = (1 << 63) - 1
@@ -135,38 +136,51 @@ def parse(texts: DataFrame) -> DataFrame:
 
 
 def shared_phrases(occurrences: DataFrame) -> DataFrame:
-    """Occurrences whose trigger also stands in another document.
+    """What the parse decides, and what it leaves open, of the phrases whose trigger also stands in another document.
 
-    ``least``: the smallest document of the phrase; ``several``: whether the trigger has other phrases too.
+    ``whole``: the phrase also occurs in a smaller document, and all its strings with it. Otherwise the row is open: this is
+    the phrase's smallest document, and the trigger has other phrases too. First occurrences of a trigger's only phrase
+    lose nothing and are left out.
     """
     by_key, by_phrase = Window.partitionBy("key"), Window.partitionBy("key", "phrase")
     spread = occurrences.withColumns({"low": F.min("doc").over(by_key), "high": F.max("doc").over(by_key)})
     spread = spread.filter("low < high")
     several = spread.withColumns({"a": F.min("phrase").over(by_key), "b": F.max("phrase").over(by_key)})
     least = several.withColumn("least", F.min("doc").over(by_phrase))
-    return least.select("key", "phrase", "doc", "unit", "least", (F.col("a") < F.col("b")).alias("several"))
+    whole = F.col("least") < F.col("doc")
+    kept = least.filter(whole | (F.col("a") < F.col("b")))
+    return kept.select(*[F.when(~whole, F.col(c)).alias(c) for c in ("key", "phrase")], "doc", "unit", whole.alias("whole"))
 
 
-def suffixes_of(batch: pa.RecordBatch, row: int) -> pa.RecordBatch:
-    """The suffixes, to the depth of ``SPAN`` bytes, of the phrases asked of one document."""
+def open_phrases(batch: pa.RecordBatch, row: int) -> pa.RecordBatch:
+    """The phrases asked of one document, once for each side on which their strings reach ``HALF`` bytes beyond the trigger."""
     doc, body = batch.column("doc")[row].as_py(), batch.column("body")[row].as_py()
     units = batch.column("units").slice(row, 1).flatten()
     key, phrase, unit = (units.field(n).to_numpy(zero_copy_only=False) for n in range(3))
     place, lead, trail = _unpacked(unit)
-    count = lead - trail + 1
-    of = np.repeat(np.arange(len(unit)), count)
-    bit = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-    suffixes = pa.array([body[s : s + SPAN] for s in ((place - lead)[of] + bit).tolist()], pa.binary())
-    arrays = [
-        pa.array(key[of]), pa.array(lead[of] - bit), suffixes, pa.array(phrase[of]),
-        pa.array(np.full(len(of), doc)), pa.array(np.int64(1) << bit),
-    ]
-    return pa.RecordBatch.from_arrays(arrays, names=["key", "lead", "suffix", "phrase", "doc", "bit"])
+    side = np.concatenate([np.zeros(len(unit), dtype=np.int64), np.ones(len(unit), dtype=np.int64)])
+    of = np.tile(np.arange(len(unit)), 2)
+    reach = np.where(side == 0, lead[of] >= HALF, trail[of] < HALF)
+    side, of = side[reach], of[reach]
+    first, stop = (place - lead)[of], (place - trail)[of] + SPAN
+    near = np.where(side == 0, place[of] - HALF, place[of] + TRIGGER)
+    said = pa.array([body[a:b] for a, b in zip(first.tolist(), stop.tolist())], pa.binary())
+    beside = pa.array([body[a : a + HALF] for a in near.tolist()], pa.binary())
+    # Strings that begin HALF bytes or more before the trigger are the left side's, the others the right side's.
+    low = np.where(side == 0, 0, np.maximum(0, lead[of] - HALF + 1))
+    high = np.where(side == 0, np.minimum(lead[of] - HALF, (lead - trail)[of]), (lead - trail)[of])
+    arrays = [pa.array(x) for x in (key[of], side)] + [beside, said]
+    arrays += [pa.array(x) for x in (phrase[of], np.full(len(of), doc), lead[of], low, high)]
+    return pa.RecordBatch.from_arrays(arrays, names=["key", "side", "beside", "said", "phrase", "doc", "lead", "low", "high"])
 
 
 def suffix_marks(texts: DataFrame, shared: DataFrame) -> DataFrame:
-    """(key, phrase, doc, mask): which starts of a phrase, in its smallest document, repeat a string of a smaller one."""
-    asked = shared.filter("several AND doc = least").groupBy("key", "phrase", "doc").agg(F.min("unit").alias("unit"))
+    """(key, phrase, doc, mask): which starts of a phrase, in its smallest document, repeat a string of a smaller one.
+
+    Phrases that share no more than the trigger with another document drop out first: a string holds ``HALF`` bytes at least
+    on one side of its trigger. The suffixes of the others are sorted, and equal ones take their smallest document.
+    """
+    asked = shared.filter("NOT whole").groupBy("key", "phrase", "doc").agg(F.min("unit").alias("unit"))
     tag = F.shiftright("unit", PLACE_BITS + 10)
     asked = asked.select("doc", tag.alias("tag"), F.struct("key", "phrase", "unit").alias("u"))
     asked = asked.groupBy("doc", "tag").agg(F.collect_list("u").alias("units"))
@@ -176,7 +190,7 @@ def suffix_marks(texts: DataFrame, shared: DataFrame) -> DataFrame:
         waiting, size = [], 0
         for batch in batches:
             for row in range(batch.num_rows):
-                waiting.append(suffixes_of(batch, row))
+                waiting.append(open_phrases(batch, row))
                 size += waiting[-1].num_rows
                 if size >= ROWS:
                     yield pa.concat_batches(waiting)
@@ -184,11 +198,15 @@ def suffix_marks(texts: DataFrame, shared: DataFrame) -> DataFrame:
         if waiting:
             yield pa.concat_batches(waiting)
 
-    schema = "key long, lead long, suffix binary, phrase long, doc long, bit long"
-    suffixes = met.mapInArrow(each, schema)
+    schema = "key long, side long, beside binary, said binary, phrase long, doc long, lead long, low long, high long"
+    around = Window.partitionBy("key", "side", "beside")
+    sided = met.mapInArrow(each, schema).withColumns({"a": F.min("doc").over(around), "b": F.max("doc").over(around)})
+    sided = written(sided.filter("a < b").select("key", "phrase", "doc", "said", "lead", "low", "high"), "dictionary", tidy=True)
+    bits = sided.select("key", "phrase", "doc", "said", "lead", F.explode(F.sequence("low", "high")).alias("bit"))
+    suffixes = bits.select("key", "phrase", "doc", "bit", (F.col("lead") - F.col("bit")).alias("lead"), F.expr(f"substring(said, CAST(bit AS INT) + 1, {SPAN})").alias("suffix"))
     order = Window.partitionBy("key", "lead", "suffix")
     marked = suffixes.withColumn("least", F.min("doc").over(order)).filter("least < doc")
-    return marked.groupBy("key", "phrase", "doc").agg(F.bit_or("bit").alias("mask"))
+    return marked.groupBy("key", "phrase", "doc").agg(F.expr("bit_or(shiftleft(1L, CAST(bit AS INT)))").alias("mask"))
 
 
 def _unpacked(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,11 +239,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     one id do not remove from each other. Equal rows get equal results.
     """
     texts = bodies(docs, doc_id, text)
-    shared = written(shared_phrases(parse(texts)), "phrases")
-    marks = written(suffix_marks(texts, shared), "suffix-marks")
+    shared = written(shared_phrases(parse(texts)), "phrases", tidy=True)
+    marks = written(suffix_marks(texts, shared), "suffix-marks", tidy=True)
     starts = F.expr("shiftleft(1L, CAST((shiftright(unit, 5) & 31) - (unit & 31) + 1 AS INT)) - 1")
-    whole = shared.filter("doc > least").select("doc", "unit", starts.alias("mask"))
-    first = shared.filter("several AND doc = least").select("key", "phrase", "doc", "unit")
+    whole = shared.filter("whole").select("doc", "unit", starts.alias("mask"))
+    first = shared.filter("NOT whole").select("key", "phrase", "doc", "unit")
     part = first.join(marks, ["key", "phrase", "doc"]).select("doc", "unit", "mask")
     hits = whole.unionAll(part).select("doc", F.shiftright("unit", PLACE_BITS + 10).alias("tag"), F.struct("unit", "mask").alias("u"))
     hits = hits.groupBy("doc", "tag").agg(F.collect_list("u").alias("units"))
