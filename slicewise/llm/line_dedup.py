@@ -38,10 +38,10 @@ def near_band(min_sites: int, lg_k: int = LG_K) -> tuple[int, int]:
     return math.floor(min_sites * (1 - error)), math.ceil(min_sites * (1 + error))
 
 
-def spread_lines(lines: DataFrame, min_sites: int, lg_k: int = LG_K) -> DataFrame:
-    """(h1, h2, n_sites) of the lines on ``min_sites`` or more distinct sites.
+def spread_lines(lines: DataFrame, min_sites: int, lg_k: int = LG_K, min_texts: int = 1) -> DataFrame:
+    """(h1, h2, n_sites) of the lines on ``min_sites`` or more distinct sites and in ``min_texts`` or more distinct texts.
 
-    ``n_sites`` is exact near the threshold and estimated above it. A NULL site is no site.
+    ``n_sites`` is exact near the threshold and estimated above it. A NULL site is no site. Texts are counted exactly.
     """
     low, high = near_band(min_sites, lg_k)
     sketched = lines.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"))
@@ -51,45 +51,53 @@ def spread_lines(lines: DataFrame, min_sites: int, lg_k: int = LG_K) -> DataFram
     pairs = lines.select("h1", "h2", "site").join(near, ["h1", "h2"], "left_semi").distinct()
     exact = pairs.groupBy("h1", "h2").agg(F.count("site").alias("n_sites")).filter(F.col("n_sites") >= min_sites)
     sure = guessed.filter(F.col("guess") > high).select("h1", "h2", F.col("guess").alias("n_sites"))
-    return sure.unionAll(exact)
+    spread = sure.unionAll(exact)
+    if min_texts <= 1:
+        return spread
+    spread = written(spread, "lines-on-sites")
+    texts = lines.select("h1", "h2", "text_key").join(spread, ["h1", "h2"], "left_semi").distinct()
+    many = texts.groupBy("h1", "h2").agg(F.count("*").alias("n_texts")).filter(F.col("n_texts") >= min_texts)
+    return spread.join(many, ["h1", "h2"], "left_semi")
 
 
 def drop_spread_lines(
     docs: DataFrame,
     min_sites: int = 10,
-    max_share: float = 0.5,
+    max_share: float | None = 0.5,
     doc_id: str = "doc_id",
     text: str = "text",
     site: str = "source",
+    min_texts: int = 1,
 ) -> DataFrame:
     """``doc_id, text_key, positions, n_spread`` of the rows that lose lines: the line numbers to remove.
 
-    A line is boilerplate if it stands on ``min_sites`` or more sites. It is removed wherever it stands, unless such lines
-    make up more than ``max_share`` of a text's characters: that text is a copy of a whole document, or nothing but
-    boilerplate, and is for the deduplication of documents to judge. Lines are compared without white space around
-    them; lines without a word stay. NULL and empty texts have no lines. Equal rows get equal results.
+    A line is boilerplate if it stands on ``min_sites`` or more sites, in ``min_texts`` or more distinct texts. It is removed
+    wherever it stands, unless such lines make up more than ``max_share`` of a text's characters; ``max_share`` None is no
+    such limit. Lines of a text copied to many sites stand in one distinct text, so ``min_texts`` leaves copies of whole
+    documents to the deduplication of documents. Lines are compared without white space around them; lines without a word stay. NULL and empty texts have no lines. Equal rows get equal results.
     """
     lines = written(line_table(docs, doc_id, text, site), "lines")
-    spread = written(spread_lines(lines, min_sites), "line-spread")
+    spread = written(spread_lines(lines, min_sites, min_texts=min_texts), "line-spread")
     hit = lines.join(spread, ["h1", "h2"]).groupBy("doc_id", "text_key").agg(
         F.collect_set("line_no").alias("positions"), F.max("n_sites").alias("most_sites")
     )
-    return hit.select("doc_id", "text_key", "positions", "most_sites").withColumn("max_share", F.lit(max_share))
+    return hit.select("doc_id", "text_key", "positions", "most_sites").withColumn("max_share", F.lit(max_share).cast("double"))
 
 
 def clean_documents(
     docs: DataFrame,
     min_sites: int = 10,
-    max_share: float = 0.5,
+    max_share: float | None = 0.5,
     doc_id: str = "doc_id",
     text: str = "text",
     site: str = "source",
+    min_texts: int = 1,
 ) -> DataFrame:
     """Every row of ``docs`` as ``row`` (all its columns), with ``cleaned`` text, ``n_lines``, ``n_spread`` and ``n_removed``.
 
     See ``drop_spread_lines``. ``cleaned`` is the text itself where nothing is removed, NULL included.
     """
-    hit = drop_spread_lines(docs, min_sites, max_share, doc_id, text, site)
+    hit = drop_spread_lines(docs, min_sites, max_share, doc_id, text, site, min_texts)
     left = docs.select(*row_key(doc_id, text), F.struct(*docs.columns).alias("row"))
     joined = left.join(hit.hint("shuffle_hash"), same_row(left, hit), "left")
     whole = F.col("row")[text]
@@ -98,7 +106,8 @@ def clean_documents(
     chars = lambda x: F.char_length(F.array_join(F.transform(x, trimmed), ""))
     size = F.when(F.col("positions").isNotNull(), chars(lines))
     left_over = F.when(F.col("positions").isNotNull(), chars(kept))
-    boiler = F.coalesce(size - left_over <= max_share * size, F.lit(False))
+    few = F.lit(True) if max_share is None else size - left_over <= max_share * size
+    boiler = F.coalesce(F.col("positions").isNotNull() & few, F.lit(False))
     out = joined.select(
         "row",
         F.size(F.filter(lines, lambda line: line.rlike(r"[^\x20\x09-\x0D]"))).cast("long").alias("n_lines"),
