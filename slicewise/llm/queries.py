@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import (
     chat_format,
     decontamination,
+    lexical_search,
     line_dedup,
     mixing,
     quality_classifier,
@@ -244,3 +245,35 @@ SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FRO
 def op10_mixing(spark, sf_dir):
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
     return mixed.select("row.doc_id", "labels.source", "labels.lang", "labels.topic", "n_tokens", "weight", "probability", "sampled")
+
+
+@register
+def op12_lexical_search(spark, sf_dir):
+    docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return lexical_search.search(docs, items).select("item_id", "rank", "doc_id", "score")
+
+
+ORACLES["op12_lexical_search"] = r"""
+WITH rows AS (
+  SELECT 'd' AS side, row_number() OVER () AS no, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), item_id, text FROM benchmark),
+said AS (
+  SELECT side, no, id, unnest(list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS term FROM rows),
+tf AS (SELECT side, no, id, term, count(*) AS tf FROM said GROUP BY ALL),
+n AS (SELECT no, count(*) AS n FROM said WHERE side = 'd' GROUP BY no),
+s AS (SELECT count(*) AS n_docs, sum(n) AS n_words FROM n),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, s WHERE side = 'd' GROUP BY term, n_docs),
+m AS (SELECT no, 100 - 25 + (25 * n * n_docs) // n_words AS m FROM n, s),
+scored AS (
+  SELECT b.no AS item, b.id AS item_id, d.no, d.id AS doc_id,
+         sum(b.tf * w.w * ((1000000000 * d.tf) // (1000 * d.tf + 12 * m.m))) AS score
+  FROM tf b JOIN tf d USING (term) JOIN w USING (term) JOIN m ON m.no = d.no
+  WHERE b.side = 'b' AND d.side = 'd' GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id, no) AS INTEGER) AS rank, doc_id,
+       CAST(score AS BIGINT) AS score
+FROM scored WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id, no) <= 20
+"""
