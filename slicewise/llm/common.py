@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import scratch_path
@@ -75,3 +78,15 @@ def runs(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFr
         kept = [batch.iloc[starts[-1] :]]
     if kept:
         yield pd.concat(kept)
+
+
+def runs_of(batches: Iterable[pa.RecordBatch], key: str, columns: list[str]) -> Iterator[tuple[object, Iterator[tuple]]]:
+    """Each run of equal keys with the other ``columns`` of its rows, one row at a time, from batches sorted by the key."""
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for row in zip(*(batch.column(c) for c in (key, *columns))):
+                yield tuple(x.as_py() for x in row)
+
+    for value, group in groupby(rows(), key=itemgetter(0)):
+        yield value, (row[1:] for row in group)

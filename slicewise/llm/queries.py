@@ -16,6 +16,7 @@ from . import (
     suffix_dedup,
     toxicity,
     url_filters,
+    window_dedup,
 )
 from .common import written
 
@@ -277,3 +278,33 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, d
        CAST(score AS BIGINT) AS score
 FROM scored WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id, no) <= 20
 """
+
+
+@register
+def op13_window_dedup(spark, sf_dir):
+    done = window_dedup.remove_windows(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op13_window_dedup"] = r"""
+WITH t AS (
+  SELECT doc_id, row_number() OVER () AS no,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+w AS (SELECT doc_id, no, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM t),
+win AS (
+  SELECT doc_id, no, i, string_agg(word, ' ') OVER (PARTITION BY no ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS g,
+         count(*) OVER (PARTITION BY no ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS size FROM w),
+hit AS (
+  SELECT no, i FROM win WHERE size = 20
+  QUALIFY coalesce(doc_id, 9223372036854775807) > min(coalesce(doc_id, 9223372036854775807)) OVER (PARTITION BY g)
+          OR i > min(i) OVER (PARTITION BY g, no)),
+kept AS (
+  SELECT w.no, i, word, max(hit.i IS NOT NULL) OVER (PARTITION BY w.no ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+  FROM w LEFT JOIN hit USING (no, i)),
+said AS (
+  SELECT no, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS text
+  FROM kept GROUP BY no)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(said.text, '')) AS kept_sha256
+FROM t LEFT JOIN said USING (no)
+"""
