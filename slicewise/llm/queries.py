@@ -10,6 +10,7 @@ from . import (
     lexical_search,
     line_dedup,
     mixing,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     simhash_dedup,
@@ -308,3 +309,46 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS
        sha256(coalesce(said.text, '')) AS kept_sha256
 FROM t LEFT JOIN said USING (no)
 """
+
+
+@register
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+ORACLES["op11_prefix_trie"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+         sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, chars, digest, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS pos FROM t),
+h AS (
+  SELECT conv_id, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(
+           string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+             lambda x, k: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM own)),
+turns AS (
+  SELECT h.conv_id, own.pos, own.digest, own.chars FROM h JOIN own ON own.conv_id = h.conv_id - h.conv_id % 100 AND own.pos <= h.h
+  UNION ALL SELECT h.conv_id, own.pos + 6, own.digest, own.chars FROM h JOIN own USING (conv_id) WHERE own.pos > h.h),
+seqs AS (
+  SELECT h.conv_id, coalesce(list(digest ORDER BY pos) FILTER (pos IS NOT NULL), []) AS ds,
+         coalesce(list(chars ORDER BY pos) FILTER (pos IS NOT NULL), []) AS cs
+  FROM h LEFT JOIN turns USING (conv_id) GROUP BY h.conv_id),
+pre AS (
+  SELECT conv_id, d, array_to_string(ds[1:d], '') AS k, CASE WHEN d > 0 THEN cs[d] ELSE 0 END AS chars, len(ds) = d AS ends
+  FROM (SELECT *, unnest(range(0, len(ds) + 1)) AS d FROM seqs)),
+node AS (
+  SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM pre GROUP BY d, k),
+child AS (SELECT left(k, 64 * (d - 1)) AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+under AS (
+  SELECT left(k, 64 * a) AS k, sum((n_convs - 1) * chars) AS saved, count(*) FILTER (n IS NULL) AS leaves
+  FROM (SELECT node.*, child.n, unnest(range(0, d + 1)) AS a FROM node LEFT JOIN child USING (k)) GROUP BY ALL)
+SELECT node.conv_id, node.d AS depth, p.conv_id AS parent_conv_id, node.n_convs, coalesce(child.n, 0) AS n_children,
+       under.leaves AS n_leaves, CAST(under.saved AS BIGINT) AS saved_tokens, node.ends_sha256
+FROM node JOIN under USING (k) LEFT JOIN child USING (k)
+LEFT JOIN node p ON node.d > 0 AND p.k = left(node.k, 64 * (node.d - 1))
+"""

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import row_key, runs_of, same_row, written
 
 WINDOW = 20
-BATCH_BYTES = 1 << 24  # text of a batch; its windows are held at once, at about 60 bytes a word
+BATCH_BYTES = 1 << 23  # text of a batch; its windows are held at once, at about 60 bytes a word
 SLOT_BYTES, MIN_SLOTS = 1 << 24, 1024  # text of the whole corpus for each slot; its windows are held at once
 PIECE = 1 << 20  # text that is split into words at once
 CHECK_BITS = 16  # bits of a second hash beside the 64 of the first
@@ -66,7 +66,10 @@ def _repeated(h: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """The rows whose hash occurs more than once, by hash and then by the keys, and where a new (hash, first key) begins."""
     order = np.argsort(h)
     same = h[order[1:]] == h[order[:-1]]
-    several = order[np.append(same, False) | np.append(False, same)]
+    shared = np.zeros(len(h), dtype=bool)
+    shared[1:] = same
+    shared[:-1] |= same
+    several = order[shared]
     rows = several[np.lexsort((several, *(k[several] for k in keys[::-1]), h[several]))]
     new = np.ones(len(rows), dtype=bool)
     new[1:] = (h[rows[1:]] != h[rows[:-1]]) | (keys[0][rows[1:]] != keys[0][rows[:-1]])
