@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import slicewise as sw
 from slicewise.layout import STATS_SCHEMA
+from slicewise.operators.history import SCOPE
 from slicewise.operators.verdicts import (
     JUDGED_SCHEMA,
     column_settings,
@@ -311,6 +312,36 @@ def distribution_run_two_tables(spark, sf_dir):
     return _rounded(judged.select("table_name", *JUDGED), "error_percentage")
 
 
+@register(
+    "distribution_run_fewer_tables",
+    f"{_judged_sql(STORED_TODAY)}, s AS (SELECT CASE WHEN count(*) FILTER (WHERE status = 'Fail' OR trend_status = 'Fail') > 0 "
+    "THEN 'Fail' ELSE 'Pass' END AS run_status FROM judged_rows) SELECT 'events' AS table_name, s.run_status, judged_rows.* FROM judged_rows, s",
+)
+def distribution_run_fewer_tables(spark, sf_dir):
+    """Control rows of two tables, then of one under the same run: what is left of both result tables."""
+    folder, observed = scratch_path(spark, "distribution"), judged_events(spark, sf_dir)
+    asked, tables = requests(spark), {"events": (observed, "ts"), "more events": (observed, "ts")}
+    both = asked.unionByName(asked.withColumn("table_name", F.lit("more events")))
+    for rows in (both, asked):
+        status = sw.run_distribution_tables(tables, rows, rules(spark), RUN, folder).first()["status"]
+    kept = sw.read_rows(spark, f"{folder}/stats", STATS_SCHEMA).select("table_name").distinct()
+    judged = sw.read_rows(spark, f"{folder}/validation", JUDGED_SCHEMA).join(kept, "table_name")
+    return _rounded(judged.select("table_name", F.lit(status).alias("run_status"), *JUDGED), "error_percentage")
+
+
+@register(
+    "statistics_after_abort",
+    f"WITH {HISTORY_SQL}, {TODAY_GATED_SQL} SELECT 'Abort' AS status, column_name, column_value, table_count AS past_table_count, "
+    "n AS past_count FROM gated",
+)
+def statistics_after_abort(spark, sf_dir):
+    """A run that has no rule for its columns ends in Abort once its statistics are written; the averages of later days have them."""
+    folder, observed = scratch_path(spark, "distribution"), judged_events(spark, sf_dir)
+    status = sw.run_distribution(observed, "ts", "events", requests(spark), rules(spark).limit(0), RUN, folder).first()["status"]
+    average = sw.history_average(sw.read_rows(spark, f"{folder}/stats", STATS_SCHEMA), DAY, 5)
+    return average.select(F.lit(status).alias("status"), "column_name", "column_value", "past_table_count", "past_count")
+
+
 BOUNDS = {"0<->49<->50": (0, 49), "0<->199<->100": (0, 199)}
 
 
@@ -342,5 +373,23 @@ def history_average_two_requests(spark, sf_dir):
     "round(avg(n) + 2.0 * stddev_samp(n), 6) AS suggested_high FROM history GROUP BY column_name, column_value",
 )
 def threshold_suggest(spark, sf_dir):
-    bands = sw.threshold_suggest(events_history(spark, sf_dir), spread=2.0).drop("table_name", "stat_kind", "filter_condition")
+    bands = sw.threshold_suggest(events_history(spark, sf_dir), spread=2.0).drop("table_name", "stat_kind", "filter_condition", *SCOPE)
     return _rounded(bands, "mean_count", "stddev_count", "suggested_low", "suggested_high")
+
+
+@register(
+    "threshold_suggest_scoped",
+    f"WITH {HISTORY_SQL} SELECT project_id, column_name, column_value, count(*) AS n_stored, "
+    "round(avg(n * project_id), 6) AS mean_count, round(stddev_samp(n * project_id), 6) AS stddev_count, "
+    "round(avg(n * project_id) - 2.0 * stddev_samp(n * project_id), 6) AS suggested_low, "
+    "round(avg(n * project_id) + 2.0 * stddev_samp(n * project_id), 6) AS suggested_high "
+    "FROM history, (VALUES (1), (5)) AS p(project_id) GROUP BY project_id, column_name, column_value",
+)
+def threshold_suggest_scoped(spark, sf_dir):
+    """Two projects with the same columns, and every date of the first run twice: kept apart, and each date counted once."""
+    newest = events_history(spark, sf_dir)
+    older = newest.withColumns({"batch_sequence": F.lit(0), "error_records_count": F.col("error_records_count") * 3})
+    other = newest.withColumns({"project_id": F.lit(5), "error_records_count": F.col("error_records_count") * 5})
+    bands = sw.threshold_suggest(older.unionByName(newest).unionByName(other), spread=2.0, runs="newest")
+    fields = ["project_id", "column_name", "column_value", "n_stored", "mean_count", "stddev_count", "suggested_low", "suggested_high"]
+    return _rounded(bands.select(*fields), "mean_count", "stddev_count", "suggested_low", "suggested_high")

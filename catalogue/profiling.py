@@ -306,6 +306,51 @@ def request_profile(spark, sf_dir):
     return sw.request_profile(rows, requests, ignore_unknown=True)
 
 
+# Nested, crossing and single-value bounds on one numeric and one text column; the last of each has no values.
+NESTED = [(low, low + reach) for low in range(0, 200, 20) for reach in (0, 9, 60)] + [(900_000, 900_001)]
+NESTED_REQUESTS = [("user_id", f"{a}<->{b}<->{w}") for a, b in NESTED for w in ("7", "NA")] + [
+    ("code", f"{a}<->{b}<->NA") for a, b in NESTED
+]
+
+
+def _nested_sql() -> str:
+    """Per request a count of its rows, its extremes and its buckets, each by a scan of its own."""
+    parts = []
+    for column, info in NESTED_REQUESTS:
+        low, high, width = info.split("<->")
+        value, ends = ("user_id", (low, high)) if column == "user_id" else ("CAST(user_id % 1000 AS VARCHAR)", (f"'{low}'", f"'{high}'"))
+        buckets = f"count(DISTINCT user_id // {width})" if width != "NA" else "0"
+        parts.append(
+            f"SELECT '{column}' AS column_name, '{info}' AS additional_info, count(*) AS n_rows, CAST(min({value}) AS VARCHAR) AS low, "
+            f"CAST(max({value}) AS VARCHAR) AS high, {buckets} AS n_buckets FROM events WHERE {value} BETWEEN {ends[0]} AND {ends[1]} "
+            "HAVING count(*) > 0"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@register("request_profile_nested_bounds", _nested_sql())
+def request_profile_nested_bounds(spark, sf_dir):
+    """Many requests of two columns whose bounds nest and cross, summed up per request."""
+    rows = ", ".join(f"('{c}', '{i}')" for c, i in NESTED_REQUESTS)
+    requests = spark.sql(f"SELECT * FROM VALUES {rows} AS t(column_name, additional_info)")
+    code = F.expr("CAST(user_id % 1000 AS STRING)").alias("code")
+    found = sw.request_profile(table(spark, sf_dir, "events").select("user_id", code), requests)
+    values, number = F.col("stat_kind") != "range", F.col("column_name") == "user_id"
+
+    def end(f):
+        """Numbers are compared as numbers, texts as texts."""
+        name = f.__name__
+        whole = f(F.when(values & number, F.col(f"{name}_number"))).cast("bigint").cast("string")
+        return F.coalesce(whole, f(F.when(values & ~number, F.col(f"{name}_value"))))
+
+    return found.groupBy("column_name", "additional_info").agg(
+        F.sum(F.when(values, F.col("group_count"))).alias("n_rows"),
+        end(F.min).alias("low"),
+        end(F.max).alias("high"),
+        F.count_if(~values).alias("n_buckets"),
+    )
+
+
 @register(
     "row_index",
     "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS row_index FROM orders",
@@ -314,6 +359,28 @@ def row_index(spark, sf_dir):
     return sw.row_index(table(spark, sf_dir, "orders").select("o_orderkey"), order_by=["o_orderkey"])
 
 
+@register(
+    "row_index_wide",
+    "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate), row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_index "
+    "FROM orders",
+)
+def row_index_wide(spark, sf_dir):
+    """All columns of the orders, numbered by date; only the two key columns are sorted."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    return sw.row_index(orders, order_by=["o_orderdate"], tie=["o_orderkey"])
+
+
+@register(
+    "row_index_keys",
+    "SELECT o_custkey, count(*) AS n_orders, min(i) AS first_index, max(i) AS last_index FROM "
+    "(SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) AS i FROM orders) GROUP BY o_custkey",
+)
+def row_index_keys(spark, sf_dir):
+    """Numbers by a key that rows share: where each key's run begins and ends."""
+    index = sw.key_index(table(spark, sf_dir, "orders"), ["o_custkey"]).groupBy("o_custkey")
+    return index.agg(F.count("*").alias("n_orders"), F.min("row_index").alias("first_index"), F.max("row_index").alias("last_index"))
+
+
 @register(
     "row_index_input_order",
     """SELECT (i - 1) // 1000 AS bucket, count(*) AS n_rows, min(i) AS first_index, max(i) AS last_index, count(DISTINCT i) AS n_indexes

@@ -14,6 +14,7 @@ from .operators.history import (
     write_rows,
     write_table,
 )
+from .operators.manifest import manifest, read_manifest, runs_in_state
 from .operators.nested import flatten, nested_record_count
 from .operators.parity import (
     parity_status,
@@ -26,7 +27,7 @@ from .operators.parity import (
 )
 from .operators.profiles import column_profile, gated_profile, multi_column_profile, value_profile
 from .operators.requests import request_profile
-from .operators.row_index import row_index
+from .operators.row_index import key_index, row_index
 from .operators.side_by_side import (
     column_profile_vs_prior,
     gated_profile_pair,
@@ -45,7 +46,7 @@ from .operators.verdicts import (
     with_trend_status,
 )
 from .plans.cross_side import result_validation, run_parity, run_parity_requests, shape_validation
-from .plans.distribution import compare_with_prior, judge_slice, run_distribution
+from .plans.distribution import compare_with_prior, judge_slice, run_distribution, run_distribution_tables
 from .sources.files import file_profile, json_field_profile, line_consistency, merge_files, merge_frames, read_json
 from .sources.slices import (
     latest_slice_count,

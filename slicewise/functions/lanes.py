@@ -46,14 +46,20 @@ def lane_type(lane: str) -> str:
     return {"text": "string", "whole": "bigint", "single": "float", "real": "double"}[lane]
 
 
-def unpivot_lanes(df: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:
-    """One row per input row and column: the kept columns, ``column_no`` and the lanes in use."""
+def unpivot_lanes(
+    df: DataFrame, columns: list[str], keep: list[str] | None = None, beside: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """One row per input row and column: the kept columns, ``column_no``, the lanes in use and what stands ``beside`` them.
+
+    ``beside`` names further columns of the result, each with one expression per unpivoted column.
+    """
+    beside = beside or {}
     lanes, own = lanes_in(df, columns), lane_map(df, columns)
     cells = []
     for number, name in enumerate(columns):
         filled = [f"CAST({quoted(name) if own[name] == lane else 'NULL'} AS {lane_type(lane)})" for lane in lanes]
-        cells.append(", ".join([str(number), *filled]))
-    rows = F.expr(f"stack({len(columns)}, {', '.join(cells)})").alias("column_no", *lanes)
+        cells.append(", ".join([str(number), *filled, *(sql[number] for sql in beside.values())]))
+    rows = F.expr(f"stack({len(columns)}, {', '.join(cells)})").alias("column_no", *lanes, *beside)
     return df.select(*[ref(k) for k in keep or []], rows)
 
 

@@ -22,6 +22,7 @@ from .profiles import value_groups
 
 # What makes two statistics of different dates the same statistic.
 STAT_KEYS = ["table_name", "column_name", "filter_condition", "stat_kind", "column_value"]
+SCOPE = ["project_id", "sub_project_id", "pipeline_id", "scenario_id"]
 PARTITIONS = ["batch_date", "run_key"]
 # What a run is written in parts by, where a table has these columns.
 PARTS = ["table_name", "check_name"]
@@ -83,7 +84,7 @@ def stats_of_all_slices(df: DataFrame, date_column: str, columns: list[str], run
     return fit(rows.withColumns(tags | {"table_name": F.lit(table_name)}), STATS_SCHEMA)
 
 
-def _run_key(df: DataFrame) -> Column:
+def run_key_of(df: DataFrame) -> Column:
     sequence = "batch_sequence" if "batch_sequence" in df.columns else "batch_seq_id"
     ids = ["project_id", "sub_project_id", "pipeline_id", "scenario_id", sequence]
     parts = [F.coalesce(F.col(c), F.lit("x")) if c in df.columns else F.lit("x") for c in PARTS]
@@ -91,17 +92,28 @@ def _run_key(df: DataFrame) -> Column:
     return F.concat_ws("-", *ids, F.md5(F.concat_ws("\n", *parts).cast("binary")))
 
 
-def part_folder(path: str, run: Run, table_name: str) -> str:
-    """The folder of the rows of one table in one run."""
-    ids = [run.project_id, run.sub_project_id, run.pipeline_id, run.scenario_id, run.batch_sequence]
+def run_ids(run: Run) -> list[int]:
+    return [run.project_id, run.sub_project_id, run.pipeline_id, run.scenario_id, run.batch_sequence]
+
+
+def table_key(run: Run, table_name: str) -> str:
+    """The ``run_key`` of the rows of one table in one run."""
     part = hashlib.md5("\n".join([table_name, *["x"] * (len(PARTS) - 1)]).encode()).hexdigest()
-    return f"{path}/batch_date={run.batch_date}/run_key={'-'.join(map(str, ids))}-{part}"
+    return "-".join([*map(str, run_ids(run)), part])
 
 
-def write_part(df: DataFrame, path: str, run: Run, table_name: str, fmt: str = "parquet") -> None:
+def write_part(
+    df: DataFrame, path: str, run: Run, table_name: str, fmt: str = "parquet", run_key: str | None = None
+) -> None:
     """Write all rows of one table of a run, replacing what an earlier try of it wrote, also if there are none now."""
-    writer = df.drop("batch_date").coalesce(1).write.format(fmt).mode("overwrite")
-    (writer.options(**CSV) if fmt == "csv" else writer).save(part_folder(path, run, table_name))
+    writer = df.drop("batch_date").write.format(fmt).mode("overwrite")
+    key = run_key or table_key(run, table_name)
+    (writer.options(**CSV) if fmt == "csv" else writer).save(f"{path}/batch_date={run.batch_date}/run_key={key}")
+
+
+def clear_part(spark: SparkSession, path: str, run: Run, run_key: str, layout: str, fmt: str = "parquet") -> None:
+    """Leave a part of a run without rows."""
+    write_part(fit(spark.createDataFrame([], layout), layout), path, run, "", fmt, run_key)
 
 
 def write_rows(df: DataFrame, path: str, fmt: str = "parquet", replace_runs: bool = True) -> None:
@@ -109,7 +121,7 @@ def write_rows(df: DataFrame, path: str, fmt: str = "parquet", replace_runs: boo
 
     ``replace_runs=False`` appends without replacing, as a plain append does.
     """
-    writer = df.withColumn("run_key", _run_key(df)).write.format(fmt).partitionBy(*PARTITIONS)
+    writer = df.withColumn("run_key", run_key_of(df)).write.format(fmt).partitionBy(*PARTITIONS)
     if fmt == "csv":
         writer = writer.options(**CSV)
     if replace_runs:
@@ -120,7 +132,7 @@ def write_rows(df: DataFrame, path: str, fmt: str = "parquet", replace_runs: boo
 
 def write_table(df: DataFrame, name: str, fmt: str = "parquet", replace_runs: bool = True) -> None:
     """As ``write_rows``, to a table of the catalog, which is made with the same folders when it does not exist."""
-    spark, rows = df.sparkSession, df.withColumn("run_key", _run_key(df))
+    spark, rows = df.sparkSession, df.withColumn("run_key", run_key_of(df))
     if not spark.catalog.tableExists(name):
         rows.write.format(fmt).partitionBy(*PARTITIONS).saveAsTable(name)
         return
@@ -146,8 +158,7 @@ def read_rows(spark: SparkSession, path: str, ddl: str, fmt: str = "parquet") ->
 
 def of_scope(history: DataFrame, run: Run, table_name: str | None = None) -> DataFrame:
     """History rows of the same project, sub-project, pipeline and scenario (and table)."""
-    ids = ["project_id", "sub_project_id", "pipeline_id", "scenario_id"]
-    mine = [F.col(name) == getattr(run, name) for name in ids]
+    mine = [F.col(name) == getattr(run, name) for name in SCOPE]
     if table_name:
         mine.append(F.col("table_name") == table_name)
     return history.filter(reduce(lambda a, b: a & b, mine))
@@ -164,12 +175,19 @@ def past_stats(history: DataFrame, day: Day, look_back: int) -> DataFrame:
 
 def newest_runs(history: DataFrame) -> DataFrame:
     """Only the rows of the highest sequence of each scope, table and date; an older run's rows go with it."""
-    keys = ["project_id", "sub_project_id", "pipeline_id", "scenario_id", "batch_date", "table_name"]
+    keys = [*SCOPE, "batch_date", "table_name"]
     newest = history.groupBy(*[F.col(k).alias(f"newest_{k}") for k in keys]).agg(F.max("batch_sequence").alias("newest"))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"newest_{k}")) for k in keys])
     return history.join(newest, same & F.col("batch_sequence").eqNullSafe(F.col("newest")), "left_semi")
 
 
+def of_runs(history: DataFrame, runs: str) -> DataFrame:
+    """``all`` stored rows, or those of the ``newest`` run of each date."""
+    if runs not in ("all", "newest"):
+        raise ValueError(f"unknown choice of runs: {runs}")
+    return newest_runs(history) if runs == "newest" else history
+
+
 def average_of(rows: DataFrame) -> DataFrame:
     """Past averages per statistic over the stored rows, cut to whole numbers."""
     return rows.groupBy(*STAT_KEYS).agg(
@@ -184,7 +202,4 @@ def history_average(history: DataFrame, day: Day, look_back: int, runs: str = "a
     ``runs="all"`` weighs every stored row the same, so a repeated date counts again; ``"newest"`` takes the newest run
     of each date.
     """
-    if runs not in ("all", "newest"):
-        raise ValueError(f"unknown choice of runs: {runs}")
-    rows = past_stats(history, day, look_back)
-    return average_of(newest_runs(rows) if runs == "newest" else rows)
+    return average_of(of_runs(past_stats(history, day, look_back), runs))

@@ -6,6 +6,7 @@ gives it. ``column`` rows hold the whole column with NULLs counted.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -73,6 +74,23 @@ def marked(row: dict, gate: int, name: str) -> int:
     return sum(((row[f"{name}_{w}"] or 0) & (2**64 - 1)).bit_count() for w in range(slot_words(gate)))
 
 
+def text_end(end: Callable[[str], Column], value: str | Column) -> Column:
+    """Minimum or maximum of a text inside a grouped aggregate that must not sort its input.
+
+    Spark sorts all rows by key for an aggregate whose buffer holds text, unless another aggregate beside it keeps its buffer
+    as an object: then all of them live in a hash map. An empty set is such a buffer, and the condition on it always holds. (A
+    task that meets more than ``spark.sql.objectHashAggregate.sortBased.fallbackThreshold`` keys still sorts what is left.)
+    """
+    objects = F.collect_set(F.lit(None).cast("int"))
+    return F.when(F.size(objects) == 0, end(value))
+
+
+def ends_of(lane: str) -> list[Column]:
+    """Minimum and maximum of an unpivoted lane."""
+    ends = [(f.__name__, text_end(f, lane) if lane == "text" else f(lane)) for f in (F.min, F.max)]
+    return [value.alias(f"{name}_{lane}") for name, value in ends]
+
+
 def extremes(name: str, lane: str, alias: str, rows: Column | None = None) -> list[Column]:
     """Minimum and maximum of a column, of some rows only when a condition is given."""
     value = one_zero(name, lane)

@@ -9,8 +9,8 @@ from ..functions.lanes import column_name_of, lane_number, lane_text, lanes_empt
 from ..functions.rule_text import band_verdict
 from ..functions.slices import Day, between_days, date_of, day_column, ref
 from ..layout import fit
-from .history import STAT_KEYS
-from .profiles import by_text, union_all, value_groups
+from .history import SCOPE, STAT_KEYS, Run, of_runs, of_scope
+from .profiles import by_text, text_end, union_all, value_groups
 
 DAY = "batch_date"
 DAILY_SCHEMA = """
@@ -84,7 +84,7 @@ def _daily(df: DataFrame, date_column: str, columns: list[str], exact_distinct:
             F.sum("n").alias("n_rows"),
             F.sum(F.when(F.col("empty"), F.col("n")).otherwise(0)).alias("n_null"),
             distinct.alias("n_distinct"),
-            *([F.min("text").alias("min_value"), F.max("text").alias("max_value")] if is_text else []),
+            *([text_end(F.min, "text").alias("min_value"), text_end(F.max, "text").alias("max_value")] if is_text else []),
             F.min("number").alias("min_number"),
             F.max("number").alias("max_number"),
             F.try_divide(F.sum(F.col("number") * F.col("n")), filled).alias("mean_number"),
@@ -124,9 +124,15 @@ def zero_slices(df: DataFrame, date_column: str, low: Day, high: Day) -> DataFra
     return spine.join(present, "slice_date", "left_anti")
 
 
-def threshold_suggest(history: DataFrame, spread: float = 3.0) -> DataFrame:
-    """Mean and standard deviation of the stored group counts per statistic, and mean plus or minus ``spread`` of it."""
-    counts = history.groupBy(*STAT_KEYS).agg(
+def threshold_suggest(history: DataFrame, spread: float = 3.0, scope: Run | None = None, runs: str = "all") -> DataFrame:
+    """Mean and standard deviation of the stored group counts per statistic, and mean plus or minus ``spread`` of it.
+
+    Statistics of different projects, sub-projects, pipelines or scenarios are never mixed; with ``scope`` only those of
+    that run's scenario are taken. ``runs="all"`` counts every stored row, so a date that was run again counts again;
+    ``"newest"`` takes the newest run of each date.
+    """
+    rows = of_scope(history, scope) if scope else history
+    counts = of_runs(rows, runs).groupBy(*SCOPE, *STAT_KEYS).agg(
         F.count("*").alias("n_stored"),
         F.avg("error_records_count").alias("mean_count"),
         F.stddev_samp("error_records_count").alias("stddev_count"),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..layout import VALIDATION_SCHEMA, fit
 from ..operators.history import Run, of_scope, read_rows, write_rows
+from ..operators.manifest import JUDGED, enter, parts_of, retract
 from ..operators.parity import (
     SIDE_MARK,
     Sides,
@@ -19,7 +20,7 @@ from ..operators.parity import (
     slice_sides,
 )
 from ..operators.verdicts import status_row
-from ..sources.control import requests_for
+from ..sources.control import requests_for, settle
 
 # Fixed value: the check id of a row count; any other check counts columns.
 RECORD_COUNT_CHECK = 12
@@ -54,15 +55,22 @@ def _now() -> str:
     return dt.datetime.now().isoformat(sep=" ", timespec="seconds")
 
 
-def run_parity(validation: DataFrame, run: Run, folder: str, fmt: str = "parquet") -> DataFrame:
+def run_parity(validation: DataFrame, run: Run, folder: str, fmt: str = "parquet", complete: bool = False) -> DataFrame:
     """Write validation rows and the scenario status; returns the status row.
 
-    A side list and check written before under this run is replaced, others stay, and the status sums all of them up. An
-    error ends in an Abort row and is raised again.
+    A side list and check written before under this run is replaced, others stay, and the status sums all of them up. With
+    ``complete`` the rows are all that the run has: what earlier tries of it wrote beyond them is taken back. An error ends in
+    an Abort row and is raised again.
     """
     spark, start = validation.sparkSession, _now()
     try:
+        validation = settle(validation)  # one row for each side list and check
+        asked = parts_of(validation)
+        enter(spark, folder, run, asked)
         write_rows(validation, f"{folder}/validation", fmt)
+        if complete:
+            retract(spark, folder, run, asked, {"validation": VALIDATION_SCHEMA}, fmt)
+        enter(spark, folder, run, asked, JUDGED)
         kept = of_scope(read_rows(spark, f"{folder}/validation", VALIDATION_SCHEMA, fmt), run).filter(
             (F.col("batch_date") == F.lit(str(run.batch_date)).cast("date"))
             & (F.col("batch_sequence") == run.batch_sequence)
@@ -90,7 +98,8 @@ def run_parity_requests(
     Each request names a side list by ``table_name`` (a key of ``tables``) and a check: ``check_id`` 12 counts rows,
     ``result_check`` compares cells and takes its number of rows from ``filter_condition``, any other counts columns. With
     ``date_partition_columns`` the batch date's slice of each side is taken. All rows are written together. Requests that name
-    no known list end in an Abort row and an error.
+    no known list end in an Abort row and an error. The control rows are all that the run has: rows of checks that an earlier
+    try of it wrote and that are no longer asked for are taken back, and count for its status no more.
     """
     asked = requests_for(requests, run.project_id, run.scenario_id, run.pipeline_id)
     # Control rows, one per side list and check.
@@ -109,8 +118,9 @@ def run_parity_requests(
             frame = shape_validation(sides, run, row.check_id)
         frames.append(fit(frame.withColumn("table_name", F.lit(row.table_name)), VALIDATION_SCHEMA))
     if not frames:
+        retract(asked.sparkSession, folder, run, [], {"validation": VALIDATION_SCHEMA}, fmt)
         return run_parity_abort(asked.sparkSession, run, folder, fmt, "no parity request")
-    return run_parity(reduce(DataFrame.unionByName, frames), run, folder, fmt)
+    return run_parity(reduce(DataFrame.unionByName, frames), run, folder, fmt, complete=True)
 
 
 def run_parity_abort(spark: SparkSession, run: Run, folder: str, fmt: str, comment: str) -> DataFrame:

@@ -9,23 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 INFO_MARK = "<->"
 DIGITS = "^[0-9]+$"
 
-# Control tables are small, but that is checked: a larger one is joined by shuffle.
-BROADCAST_ROWS = 20_000
-
 
 def local_table(spark: SparkSession, rows: pa.Table) -> DataFrame:
-    """Rows at hand as a table, marked for broadcast up to the bound."""
-    table = spark.createDataFrame(rows)
-    return F.broadcast(table) if rows.num_rows <= BROADCAST_ROWS else table
-
+    """Rows at hand as a table. Spark knows its size and broadcasts it, or not, by that."""
+    return spark.createDataFrame(rows)
 
-def settle(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A control table read once and marked for broadcast when it has at most ``max_rows`` rows; else ``df`` itself.
 
-    Plans that use the table several times then do not read it again. Reading stops at the bound.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    return df if rows.num_rows > max_rows else F.broadcast(df.sparkSession.createDataFrame(rows))
+def settle(df: DataFrame) -> DataFrame:
+    """A control table read once: plans that use it several times do not read it again."""
+    return local_table(df.sparkSession, df.toArrow())
 
 
 def _info_parts(info: Column) -> Column:

@@ -7,6 +7,8 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.profiles import text_end
+
 # Suffixes of files whose size says nothing about the bytes of their lines.
 COMPRESSED = r"\.(gz|bz2|zst|lz4|snappy|deflate)$"
 
@@ -44,12 +46,15 @@ def _files(spark: SparkSession, path: str | list[str], list_empty: bool) -> Data
     return listed.join(facts, "file_path", "left").withColumn("size", F.coalesce("size", F.lit(0).cast("bigint")))
 
 
-def file_profile(spark: SparkSession, path: str | list[str], project_id: str, list_empty: bool = True) -> DataFrame:
+def file_profile(spark: SparkSession, path: str | list[str], project_id: str, list_empty: bool = False) -> DataFrame:
     """Per file: project, modification time, number of newlines, name, first line, size, and a joined text form.
 
+    Empty files have no lines to scan; with ``list_empty`` they are named from the driver's listing of all files.
+
     ``n_lines`` also counts a last line that has no newline; ``n_newlines`` does not. For an uncompressed file the
     difference shows in its size: every newline is one byte beyond the bytes of the lines. Large files are read in
-    splits, and a file sends one partial row per split to the shuffle.
+    splits, and a file sends one partial row per split to the shuffle. Lines are not sorted: each task keeps the first line
+    it has seen of a file in a hash map, and only of a file's head can that be the header.
     """
     read = (
         _lines(spark, path)
@@ -57,7 +62,7 @@ def file_profile(spark: SparkSession, path: str | list[str], project_id: str, li
         .agg(
             F.count("*").alias("n_lines"),
             F.sum(F.octet_length("value")).alias("n_bytes"),
-            F.min_by(F.when(F.col("in_head"), F.col("value")), F.when(F.col("in_head"), F.col("id"))).alias("header"),
+            text_end(lambda line: F.min_by(line, F.when(F.col("in_head"), F.col("id"))), F.when(F.col("in_head"), F.col("value"))).alias("header"),
         )
     )
     whole = _files(spark, path, list_empty).join(read, "file_path", "left")

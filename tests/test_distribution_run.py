@@ -17,7 +17,7 @@ def observed(spark):
 
 def controls(spark, *requests, rules=(("gender", "<=400%", "-500%<->500%"), ("salary", "<=10%", "-5%<->5%"))):
     asked = spark.createDataFrame(
-        [(1, 3, 4, "t", c, i, "dt", n) for c, i, n in requests],
+        [(1, 3, 4, "t", c, i, "dt", n) for c, i, n in requests or [("none", "NA", 0)]],
         "project_id int, pipeline_id int, scenario_id int, table_name string, column_name string, additional_info string, "
         "date_partition_columns string, number_of_partitions int",
     )
@@ -105,6 +105,55 @@ def test_an_error_leaves_an_abort_row_and_is_raised(spark, tmp_path, monkeypatch
     assert (row["status"], row["comments"]) == ("Abort", "error: RuntimeError")
 
 
+def test_statistics_survive_an_error_while_judging(spark, tmp_path, monkeypatch):
+    """They count for the averages of later days; the manifest says that the run ended early."""
+    def broken(*args):
+        raise RuntimeError("broken")
+
+    run_on(spark, tmp_path, "2024-01-01", 1, *REQUESTS)
+    before = rows(read(spark, tmp_path, "stats", STATS_SCHEMA))
+    with monkeypatch.context() as patched:
+        patched.setattr(distribution, "judge_stats", broken)
+        for _ in range(2):
+            with pytest.raises(RuntimeError):
+                run_on(spark, tmp_path, "2024-01-02", 1, *REQUESTS)
+    stats = read(spark, tmp_path, "stats", STATS_SCHEMA)
+    assert rows(stats.filter("batch_date = '2024-01-01'")) == before and stats.count() == len(before) + 5
+    early = sw.runs_in_state(spark, str(tmp_path), "2024-01-02", "aborted")
+    assert rows(early, "table_name", "batch_sequence") == [("t", 1)]
+    average = sw.history_average(stats, "2024-01-02", 1).filter("column_value = 'm'").first()
+    assert average["past_count"] == 10
+    # An error that comes before the statistics leaves those of the earlier try.
+    with pytest.raises(ValueError):
+        run_on(spark, tmp_path, "2024-01-02", 1, ("gone", "NA", 3))
+    assert read(spark, tmp_path, "stats", STATS_SCHEMA).count() == len(before) + 5
+    assert run_on(spark, tmp_path, "2024-01-02", 1, *REQUESTS)[0]["status"] == "Fail"
+    assert sw.runs_in_state(spark, str(tmp_path), "2024-01-02", "aborted").count() == 0
+
+
+def test_tables_no_longer_asked_for_are_taken_back(spark, tmp_path):
+    asked, known = controls(spark, ("gender", "NA", 0), rules=(("gender", "<=-100%", "0%<->0%"),))
+    run = sw.Run(1, 2, 3, 4, "2024-01-01", 1, "distribution")
+    both = asked.unionByName(asked.withColumn("table_name", F.lit("u")))
+    tables = {"t": (observed(spark).withColumn("gender", F.lit("x")), "dt"), "u": (observed(spark), "dt")}
+
+    def status(requests, rules=known):
+        return sw.run_distribution_tables(tables, requests, rules, run, str(tmp_path)).first()["status"]
+
+    def names(name, ddl):
+        return sorted({r["table_name"] for r in read(spark, tmp_path, name, ddl).collect()})
+
+    assert status(both) == "Fail"
+    assert names("stats", STATS_SCHEMA) == names("validation", JUDGED_SCHEMA) == ["t", "u"]
+    _, easy = controls(spark, rules=(("gender", "<=400%", "-500%<->500%"),))
+    assert status(asked, easy) == "Pass"  # the other table failed, and is not asked for any more
+    assert names("stats", STATS_SCHEMA) == names("validation", JUDGED_SCHEMA) == ["t"]
+    assert status(asked.limit(0)) == "Abort" and names("stats", STATS_SCHEMA) == []
+    assert status(asked, easy) == "Pass"
+    with pytest.raises(ValueError, match="not given: v"):
+        status(asked.withColumn("table_name", F.lit("v")))
+
+
 def test_a_request_for_a_missing_column_aborts(spark, tmp_path):
     with pytest.raises(ValueError):
         run_on(spark, tmp_path, "2024-01-01", 1, ("gender", "NA", 3), ("gone", "NA", 3))

@@ -109,3 +109,22 @@ def test_requests_drive_all_checks_of_a_run(spark, tmp_path):
         sw.run_parity_requests(parity_requests(spark, ("u", 3, "NA", "NA")), tables, run, str(tmp_path))
     status = sw.read_rows(spark, f"{tmp_path}/status", STATUS_SCHEMA).first()
     assert (status["status"], status["comments"]) == ("Abort", "no sides for u")
+
+
+def test_checks_no_longer_asked_for_are_taken_back(spark, tmp_path):
+    run = sw.Run(1, 2, 3, 4, "2024-01-05", 1, "cross")
+    other = sw.Run(1, 2, 3, 4, "2024-01-05", 2, "cross")
+    tables = {"t": {"p": side(spark, (1, "x"), (2, "y")), "q": side(spark, (1, "x"))}}
+    both = parity_requests(spark, ("t", 12, "NA", "NA"), ("t", 5, "NA", "NA"))
+    for each in (run, other):
+        assert sw.run_parity_requests(both, tables, each, str(tmp_path)).first()["status"] == "Fail"
+    fewer = parity_requests(spark, ("t", 5, "NA", "NA"))
+    assert sw.run_parity_requests(fewer, tables, run, str(tmp_path)).first()["status"] == "Pass"
+    kept = sw.read_rows(spark, f"{tmp_path}/validation", VALIDATION_SCHEMA)
+    assert rows(kept, "batch_sequence", "check_id", "status") == [(1, "5", "Pass"), (2, "12", "Fail"), (2, "5", "Pass")]
+    assert [(p.check_name, s) for p, s in sw.read_manifest(spark, str(tmp_path), run).items()] == [("Column Count", "judged")]
+    # A try that broke off after its rows were written left them in the manifest; the next one takes them back.
+    assert sw.run_parity_requests(both, tables, run, str(tmp_path)).first()["status"] == "Fail"
+    none = sw.run_parity_requests(both.limit(0), tables, run, str(tmp_path)).first()
+    kept = sw.read_rows(spark, f"{tmp_path}/validation", VALIDATION_SCHEMA)
+    assert none["status"] == "Abort" and kept.filter("batch_sequence = 1").count() == 0

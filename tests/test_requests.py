@@ -1,5 +1,8 @@
+import math
+import random
+
 import pytest
-from conftest import rows
+from conftest import plan, rows
 
 import slicewise as sw
 from slicewise.sources.control import one_rule_per_column, parse_requests, settle
@@ -88,7 +91,50 @@ def test_smallest_rule_of_a_column(spark):
     assert rows(one_rule_per_column(rules)) == [("a", "<=10%", "b2"), ("b", "==0%", None)]
 
 
-def test_settle_keeps_a_large_table_as_it_is(spark):
-    df = spark.range(50)
-    assert settle(df, max_rows=10) is df
-    assert settle(df, max_rows=50).count() == 50
+def test_settled_tables_are_not_read_again(spark):
+    df = settle(spark.range(50))
+    assert df.count() == 50 and "LocalTableScan" in plan(df) and "Range" not in plan(df)
+
+
+def brute(data, asked, gate):
+    """(column, info, kind, value, group count, min, max) of bounded requests on whole numbers, text and fractions."""
+    out = []
+    for column, info in asked:
+        low, high, width = (info.split("<->") + [None] * 3)[:3] if info != "NA" else (None,) * 3
+        cells = [r[column] for r in data]
+        if low is not None:
+            typed = (lambda x: x) if column == "t" else float if column == "x" else int
+            cells = [c for c in cells if c is not None and typed(low) <= c <= typed(high)]
+        if not cells:
+            continue
+        groups = {c: cells.count(c) for c in set(cells)}
+        filled = [c for c in groups if c is not None]
+        if len(groups) < gate:
+            out += [(column, info, "value", None if c is None else str(c), 0 if c is None else n) for c, n in groups.items()]
+        else:
+            out.append((column, info, "column", None, len(cells), str(min(filled)), str(max(filled))))
+        buckets = {}
+        for c in cells if width else []:
+            start = int(float(c)) - int(math.fmod(int(float(c)), int(width)))
+            buckets[start] = buckets.get(start, 0) + 1
+        out += [(column, info, "range", f"{s} <-> {s + int(width)}", n) for s, n in buckets.items()]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("n_bounds", [3, 300])
+def test_overlapping_bounds_against_each_row(spark, n_bounds):
+    """Many requests of one column, nested, crossing, of one value or of none, found by sums or in two steps."""
+    draw = random.Random(n_bounds)
+    data = [{"n": draw.randrange(-5, 60), "x": draw.randrange(120) / 2, "t": str(draw.randrange(90))} for _ in range(300)]
+    data += [{"n": None, "x": None, "t": None}] * 3
+    asked = {("n", "NA"), ("x", "NA"), ("t", "NA"), ("n", "7<->7<->3"), ("n", "9<->3<->3"), ("n", "5<->99999999999999999999<->NA")}
+    for _ in range(n_bounds):
+        column, low = draw.choice("nxt"), draw.randrange(60)
+        asked.add((column, f"{low}<->{low + draw.choice([0, 1, 2, 5, 30])}<->{draw.choice(['NA', '4', '10'])}"))
+    want = brute(data, [(c, i.replace("<->NA", "")) for c, i in asked if "99999" not in i], 5)
+    df = spark.createDataFrame([(r["n"], r["x"], r["t"]) for r in data], "n int, x double, t string")
+    found = []
+    for r in sw.request_profile(df, control(spark, *asked)).collect():
+        row = (r.column_name, r.additional_info.replace("<->NA", ""), r.stat_kind, r.column_value, r.group_count)
+        found.append(row + ((r.min_value, r.max_value) if r.stat_kind == "column" else ()))
+    assert sorted(found, key=str) == want

@@ -1,3 +1,4 @@
+import pytest
 from conftest import plan, rows
 
 import slicewise as sw
@@ -58,3 +59,25 @@ def test_two_reads_in_different_partitions(spark, tmp_path):
         assert sorted(r["row_index"] for r in numbered.collect()) == list(range(1, 5001))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_wide_rows_by_key_copy_only_the_keys(spark, monkeypatch):
+    """What is checkpointed holds the key and the tie; the other columns are joined, whatever they hold."""
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    seen, checkpoint = [], type(orders).checkpoint
+    monkeypatch.setattr(type(orders), "checkpoint", lambda self, *a, **b: seen.append(self.columns) or checkpoint(self, *a, **b))
+    found = sw.row_index(orders, order_by=["o_orderdate"], tie=["o_orderkey"])
+    assert seen == [["o_orderdate", "o_orderkey"]] and found.columns == [*orders.columns, "row_index"]
+    got = sorted(found.collect(), key=lambda r: r.row_index)
+    assert [r.row_index for r in got] == list(range(1, orders.count() + 1))
+    assert [tuple(r)[:-1] for r in got] == sorted(map(tuple, orders.collect()), key=lambda r: (r[4], r[0]))
+
+
+def test_keys_with_nulls_and_shared_keys(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (2, None, "b"), (None, None, "c"), (2, 1, "d")], "k int, t int, x string")
+    found = sw.row_index(df, order_by=["k"], tie=["t"]).collect()
+    assert [r.x for r in sorted(found, key=lambda r: r.row_index)] == ["c", "a", "b", "d"]
+    with pytest.raises(ValueError, match="share the key k"):
+        sw.row_index(df, order_by=["k"], tie=[])
+    index = sw.key_index(df, ["k"])
+    assert index.columns == ["k", "row_index"] and sorted(r.row_index for r in index.collect()) == [1, 2, 3, 4]

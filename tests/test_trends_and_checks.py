@@ -62,6 +62,21 @@ def test_threshold_suggest(spark):
     assert round(row["suggested_low"], 6) == 9.171573
 
 
+def test_suggested_thresholds_keep_to_a_scenario_and_to_the_newest_runs(spark):
+    from test_history import RUN, stats
+
+    history = stats(spark, "2024-01-01", 1, ("a", 1000)).unionByName(stats(spark, "2024-01-01", 2, ("a", 10)))
+    history = history.unionByName(stats(spark, "2024-01-02", 1, ("a", 14)))
+    other = history.selectExpr("* EXCEPT (project_id)", "CAST(9 AS INT) AS project_id").filter("batch_sequence = 1")
+    both = history.unionByName(other)
+    found = sw.threshold_suggest(both, spread=1.0)
+    assert rows(found, "project_id", "n_stored", "mean_count") == [(1, 3, 1024 / 3), (9, 2, 507.0)]
+    newest = sw.threshold_suggest(both, spread=1.0, scope=RUN, runs="newest")
+    assert rows(newest, "project_id", "n_stored", "mean_count") == [(1, 2, 12.0)]
+    with pytest.raises(ValueError):
+        sw.threshold_suggest(both, runs="some")
+
+
 def test_checks(spark):
     data = [(1, "a", 5.0), (1, "b", 15.0), (2, None, None), (None, "zz", -1.0), (None, "a", 10.0)]
     df = spark.createDataFrame(data, "k int, t string, x double")
