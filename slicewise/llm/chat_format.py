@@ -131,14 +131,14 @@ def format_conversations(
                 told = [{"role": r, "start": a, "stop": b} for (r, _), (a, b) in zip(pairs, spans)]
                 out.append((conv_id, text, told, rewrites, [x for x in told if x["role"] in trained]))
             names = ["conv_id", "formatted", "spans", "rewrites", "loss_spans"]
-            frame = pd.DataFrame(out, columns=names)
-            frame["conv_id"] = frame["conv_id"].astype("Int64")
-            yield frame
+            yield pd.DataFrame(out, columns=names)
 
     span = "array<struct<role: string, start: long, stop: long>>"
-    schema = f"conv_id long, formatted string, spans {span}, rewrites boolean, loss_spans {span}"
+    schema = f"conv_id string, formatted string, spans {span}, rewrites boolean, loss_spans {span}"
     convs = conversations_of(rows.select(F.col("conv_id").cast("long"), "turn", "role", "text"))
-    return convs.mapInPandas(each, schema)
+    # Ids travel as text: beside a NULL, pandas would turn whole numbers into fractions.
+    done = convs.withColumn("conv_id", F.col("conv_id").cast("string")).mapInPandas(each, schema)
+    return done.withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -156,9 +156,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
                 whole = "".join(f"{role}\n{said}\n" for role, said in turns)
                 out.append((conv_id, len(turns), sha(whole), len(loss), sha(loss), len(text)))
             names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-            frame = pd.DataFrame(out, columns=names)
-            frame["conv_id"] = frame["conv_id"].astype("Int64")
-            yield frame
+            yield pd.DataFrame(out, columns=names)
 
-    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return formatted.select("conv_id", "formatted", "loss_spans").mapInPandas(each, schema)
+    schema = "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    told = formatted.select(F.col("conv_id").cast("string").alias("conv_id"), "formatted", "loss_spans")
+    return told.mapInPandas(each, schema).withColumn("conv_id", F.col("conv_id").cast("long"))

@@ -84,3 +84,10 @@ def test_rewritten_history_is_found(spark):
 def test_a_template_that_drops_a_turn_has_an_empty_span():
     output, spans, rewrites = chat_format.render_spans([("system", "s"), ("user", "u")], lambda ts: "".join(t for r, t in ts if r == "user"))
     assert (output, spans, rewrites) == ("u", [(0, 0), (0, 1)], False)
+
+
+def test_large_ids_beside_a_missing_one(spark):
+    rows = [(c, t, "user", f"said {c}") for c in (2**62 + 1, 2**62 + 3, -7, None) for t in range(2)]
+    formatted = chat_format.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1))
+    for df in (formatted, chat_format.read_back(formatted)):
+        assert {r.conv_id for r in df.collect()} == {2**62 + 1, 2**62 + 3, -7, None}
