@@ -25,28 +25,33 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def _suffixes(host: Column) -> Column:
-    """``a.b.c``, ``b.c`` and ``c``; none of an empty host."""
-    labels = F.split(host, r"\.")
-    ends = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."),
+def _count(text: Column, mark: str) -> Column:
+    return F.char_length(text) - F.char_length(F.replace(text, F.lit(mark), F.lit("")))
+
+
+def shapes_of(table: DataFrame) -> list[tuple[int, int | None, int | None]]:
+    """The distinct (labels of the host, slashes of a path that ends in one, else None, length of any other path) of the rules."""
+    at_slash = F.endswith("rule_path", F.lit("/"))
+    shapes = table.select(
+        (_count(F.col("rule_host"), ".") + 1).alias("labels"),
+        F.when(at_slash, _count(F.col("rule_path"), "/")).alias("slashes"),
+        F.when(~at_slash, F.char_length("rule_path")).alias("size"),
     )
-    return F.when(host != "", ends).otherwise(F.array().cast("array<string>"))
+    return sorted((tuple(r) for r in shapes.distinct().collect()), key=str)
 
 
-def _prefixes(path: Column, lengths: list[int]) -> Column:
-    """The path up to each ``/``, and its starts of the given lengths."""
-    parts = F.split(path, "/")
-    at_slash = F.when(
-        F.size(parts) > 1,
-        F.transform(
-            F.sequence(F.lit(1), F.size(parts) - 1),
-            lambda i: F.concat(F.array_join(F.slice(parts, F.lit(1), i), "/"), F.lit("/")),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
-    cut = [F.when(F.char_length(path) >= n, F.substring(path, 1, n)) for n in lengths]
-    return F.array_compact(F.array_union(at_slash, F.array(*cut))) if cut else at_slash
+def _expressions(host: Column, path: Column, shapes: list[tuple[int, int | None, int | None]]) -> Column:
+    """(suffix, prefix) of a URL for each shape that it is long enough for."""
+    asked = []
+    for labels, slashes, size in shapes:
+        fits = _count(host, ".") + 1 >= labels
+        if slashes is None:
+            fits, prefix = fits & (F.char_length(path) >= size), F.substring(path, 1, size)
+        else:
+            fits, prefix = fits & (_count(path, "/") >= slashes), F.concat(F.substring_index(path, "/", slashes), F.lit("/"))
+        pair = F.struct(F.substring_index(host, ".", -labels).alias("suffix"), prefix.alias("prefix"))
+        asked.append(F.when(fits, pair))
+    return F.array_compact(F.array(*asked))
 
 
 def _digest(df: DataFrame, expression: Column) -> DataFrame:
@@ -67,19 +72,23 @@ def rule_table(rules: DataFrame) -> DataFrame:
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str = "url") -> DataFrame:
-    """``pages`` with ``host``, ``path``, ``rule`` and ``verdict``; ``pages`` must not hold these names.
+    """``pages`` with ``host``, ``path``, ``rule`` and ``verdict``; ``pages`` must not hold these names, else it is an error.
 
     A rule fits its host and all subdomains of it, if the path starts with the rule's; the longest expression wins, of
-    equally long ones the longer host. Pages that no rule fits get NULL and ``default``. Repeated URLs are judged once.
-    Rules whose path does not end in ``/`` add the starts of their lengths, at most one a path length, to the expansion.
+    equally long ones the longer host. Pages that no rule fits get NULL and ``default``. Repeated URLs are judged once. A URL
+    is expanded to the shapes that rules have: pairs of labels of the host and slashes (or, without one at its end, length) of
+    the path. These are few, whatever the number of rules, come to the driver, and each costs one pass over the URL.
     """
+    clash = sorted({"host", "path", "rule", "verdict"} & set(pages.columns))
+    if clash:
+        raise ValueError(f"pages already hold columns named {', '.join(clash)}")
     table = rule_table(rules)
-    odd = table.filter("NOT endswith(rule_path, '/')").select(F.char_length("rule_path").alias("n")).distinct()
-    lengths = sorted(row.n for row in odd.collect())
+    shapes = shapes_of(table)
     judged = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
+    if not shapes:
+        return judged.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
     places = judged.select("host", "path").filter("host <> ''").distinct()
-    spread = places.withColumn("suffix", F.explode(_suffixes(F.col("host"))))
-    spread = spread.withColumn("prefix", F.explode(_prefixes(F.col("path"), lengths)))
+    spread = places.select("host", "path", F.inline(_expressions(F.col("host"), F.col("path"), shapes)))
     asked = _digest(spread, F.concat("suffix", "prefix")).select("host", "path", "suffix", "digest", "short")
     ruled = table.withColumnsRenamed({"digest": "rule_digest", "short": "rule_short", "verdict": "rule_verdict"})
     exact = (F.col("digest") == F.col("rule_digest")) & (F.col("suffix") == F.col("rule_host"))

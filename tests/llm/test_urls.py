@@ -1,3 +1,7 @@
+import time
+
+import pytest
+
 from slicewise.llm.url_filters import judge_urls, rules_of
 
 
@@ -36,3 +40,31 @@ def test_other_columns_stay(spark):
     pages = spark.createDataFrame([("http://a.com/", "z", "s", "d")], "url string, suffix string, short string, digest string")
     row = judge_urls(pages, rules_of(spark, RULES)).first()
     assert (row.suffix, row.short, row.digest, row.verdict) == ("z", "s", "d", "allow")
+
+
+def test_cost_grows_with_the_length_of_a_url(spark, tmp_path):
+    rules = [*RULES, ("net", "/" + "x/" * 7, "block"), ("net", "/x/xy", "block")]
+    urls = [f"http://www.example.net/{'x/' * n}" for n in (6, 7, 20_000)] + [f"http://{'a.' * 20_000}com/", "http://n.net/x/xyz"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_path}/pages")
+    begun = time.monotonic()
+    rows = judge_urls(spark.read.parquet(f"{tmp_path}/pages"), rules_of(spark, rules)).orderBy("page_id").collect()
+    assert time.monotonic() - begun < 30
+    assert [r.rule for r in rows] == [None, "net/x/x/x/x/x/x/x/", "net/x/x/x/x/x/x/x/", "com/", "net/x/xy"]
+
+
+def test_every_shape_against_each_rule(spark):
+    hosts, paths = ["a", "b.a", "c.b.a", ".a", "a."], ["", "/", "/p", "/p/", "//", "/p/q/", "/p/qr", "/p/qr/"]
+    rules = [(h, p, "block" if (i + j) % 2 else "allow") for i, h in enumerate(hosts[:4]) for j, p in enumerate(paths) if (i * 3 + j) % 4]
+    urls = [f"x://{h}{p}" for h in [*hosts, "xb.a", "z.c.b.a"] for p in [*paths, "/p/q", "/p/qr/s"]]
+    got = judged(spark, urls, rules, "none")
+    for url, (host, path, rule, verdict) in zip(urls, got):
+        fits = [(len(h + p), len(h), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        assert (rule, verdict) == (max(fits)[2:] if fits else (None, "none")), url
+
+
+def test_no_rules_and_clashing_names(spark):
+    pages = spark.createDataFrame([("http://a.com/", "z")], "url string, host string")
+    with pytest.raises(ValueError, match="host"):
+        judge_urls(pages, rules_of(spark, RULES))
+    row = judge_urls(pages.select("url"), rules_of(spark, [("", "/", "block")])).first()
+    assert (row.rule, row.verdict) == (None, "allow")
