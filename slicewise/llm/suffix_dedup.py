@@ -1,12 +1,11 @@
-"""Removal of repeated byte strings by prefix-free parsing.
-
-Rolling-hash triggers cut every text into phrases. A trigger is the smallest of the hashed ``TRIGGER``-byte strings inside
-a ``SPAN``-byte string, so equal ``SPAN``-byte strings have the same trigger at the same place, and every start of a string
-belongs to one trigger. The starts that share a trigger are one phrase of the parse; the phrase holds all bytes that their
-strings cover. The dictionary is the set of distinct phrases whose trigger also stands in another document. The parse says
-in which documents a phrase occurs, and so what its smallest document is. Only where a trigger has several phrases does the
-order of suffixes matter: the suffixes of these dictionary phrases are sorted, to the depth of ``SPAN`` bytes, and equal
-ones, next to each other in that order, take the smallest document of their phrases' occurrences.
+"""Removal of repeated byte strings: phrases by rolling-hash triggers, and a join of the strings inside them by trigger.
+
+Rolling-hash triggers cut every text into phrases, as in prefix-free parsing. A trigger is the smallest of the hashed
+``TRIGGER``-byte strings inside a ``SPAN``-byte string, so equal ``SPAN``-byte strings have the same trigger at the same place,
+and every start of a string belongs to one trigger. The starts that share a trigger are one phrase; it holds all bytes that
+their strings cover. Phrases whose trigger stands in no other document are done with. Where a trigger has one phrase only, the
+phrase decides for all its strings by its smallest document. Where it has several, their ``SPAN``-byte strings are
+grouped by trigger, place and bytes. There is no suffix array of the dictionary or of the parse.
 """
 
 from __future__ import annotations
@@ -25,7 +24,6 @@ HALF = (SPAN - TRIGGER) // 2
 PIECE = 1 << 18
 ROWS = 50_000  # rows of a batch handed on
 LAST_ID = (1 << 63) - 1
-TAG_BITS, PLACE_BITS = 20, 33
 
 _SEED = np.random.default_rng(7)
 _BYTES = _SEED.integers(1, 1 << 63, size=256, dtype=np.uint64)
@@ -107,14 +105,22 @@ def phrases(data: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def bodies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc, tag, body): the id, NULL as the largest, a few bits of the text's hash against repeated ids, and the bytes."""
-    tag = F.xxhash64(F.col(text)).bitwiseAND(F.lit((1 << TAG_BITS) - 1))
+    """(doc, tag, body): the id, NULL as the largest, what tells its texts apart, and the bytes.
+
+    ``tag`` is a hash of the text (64 bits) where an id, NULL among them, has several texts, else zero: it travels with
+    every phrase, and zeros cost next to nothing.
+    """
     doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))
-    return docs.select(doc.alias("doc"), tag.alias("tag"), F.col(text).cast("binary").alias("body"))
+    key = F.xxhash64(F.col(text).isNull(), F.col(text))
+    texts = docs.select(doc.alias("doc"), key.alias("key"), F.col(text).cast("binary").alias("body"))
+    shared = texts.groupBy(F.col("doc").alias("shared")).agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a <> b")
+    shared = written(shared.select("shared"), "shared-ids")
+    joined = texts.join(shared, F.col("doc") == F.col("shared"), "left")
+    return joined.select("doc", F.when(F.col("shared").isNull(), F.lit(0).cast("long")).otherwise(F.col("key")).alias("tag"), "body")
 
 
 def parse(texts: DataFrame) -> DataFrame:
-    """The parse: one row per phrase occurrence. ``unit`` packs tag, trigger place and the distances of its first and last start."""
+    """The parse: one row per phrase occurrence. ``unit`` packs trigger place and the distances of its first and last start."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,11 +134,11 @@ def parse(texts: DataFrame) -> DataFrame:
                 of = piece[first]
                 rows = np.array([p[0] for p in pieces])[of]
                 shift = (np.array([p[1] for p in pieces]) - np.cumsum(sizes) + sizes)[of]
-                unit = (tags[rows] << (PLACE_BITS + 10)) | ((place + shift) << 10) | ((place - first) << 5) | (place - last)
-                arrays = [pa.array(key.view(np.int64)), pa.array(phrase.view(np.int64)), pa.array(docs[rows]), pa.array(unit)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["key", "phrase", "doc", "unit"])
+                unit = ((place + shift) << 10) | ((place - first) << 5) | (place - last)
+                columns = [key.view(np.int64), phrase.view(np.int64), docs[rows], tags[rows], unit]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["key", "phrase", "doc", "tag", "unit"])
 
-    return texts.mapInArrow(each, "key long, phrase long, doc long, unit long")
+    return texts.mapInArrow(each, "key long, phrase long, doc long, tag long, unit long")
 
 
 def shared_phrases(occurrences: DataFrame) -> DataFrame:
@@ -149,7 +155,7 @@ def shared_phrases(occurrences: DataFrame) -> DataFrame:
     least = several.withColumn("least", F.min("doc").over(by_phrase))
     whole = F.col("least") < F.col("doc")
     kept = least.filter(whole | (F.col("a") < F.col("b")))
-    return kept.select(*[F.when(~whole, F.col(c)).alias(c) for c in ("key", "phrase")], "doc", "unit", whole.alias("whole"))
+    return kept.select(*[F.when(~whole, F.col(c)).alias(c) for c in ("key", "phrase")], "doc", "tag", "unit", whole.alias("whole"))
 
 
 def open_phrases(batch: pa.RecordBatch, row: int) -> pa.RecordBatch:
@@ -180,9 +186,8 @@ def suffix_marks(texts: DataFrame, shared: DataFrame) -> DataFrame:
     Phrases that share no more than the trigger with another document drop out first: a string holds ``HALF`` bytes at least
     on one side of its trigger. The suffixes of the others are sorted, and equal ones take their smallest document.
     """
-    asked = shared.filter("NOT whole").groupBy("key", "phrase", "doc").agg(F.min("unit").alias("unit"))
-    tag = F.shiftright("unit", PLACE_BITS + 10)
-    asked = asked.select("doc", tag.alias("tag"), F.struct("key", "phrase", "unit").alias("u"))
+    asked = shared.filter("NOT whole").groupBy("key", "phrase", "doc").agg(F.min(F.struct("tag", "unit")).alias("at"))
+    asked = asked.select("doc", "at.tag", F.struct("key", "phrase", "at.unit").alias("u"))
     asked = asked.groupBy("doc", "tag").agg(F.collect_list("u").alias("units"))
     met = _with_units(texts, asked, "inner")
 
@@ -211,7 +216,7 @@ def suffix_marks(texts: DataFrame, shared: DataFrame) -> DataFrame:
 
 def _unpacked(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Trigger place, distance of the first start, distance of the last start."""
-    return (unit >> 10) & ((1 << PLACE_BITS) - 1), (unit >> 5) & 31, unit & 31
+    return unit >> 10, (unit >> 5) & 31, unit & 31
 
 
 def _with_units(texts: DataFrame, units: DataFrame, how: str) -> DataFrame:
@@ -242,10 +247,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     shared = written(shared_phrases(parse(texts)), "phrases", tidy=True)
     marks = written(suffix_marks(texts, shared), "suffix-marks", tidy=True)
     starts = F.expr("shiftleft(1L, CAST((shiftright(unit, 5) & 31) - (unit & 31) + 1 AS INT)) - 1")
-    whole = shared.filter("whole").select("doc", "unit", starts.alias("mask"))
-    first = shared.filter("NOT whole").select("key", "phrase", "doc", "unit")
-    part = first.join(marks, ["key", "phrase", "doc"]).select("doc", "unit", "mask")
-    hits = whole.unionAll(part).select("doc", F.shiftright("unit", PLACE_BITS + 10).alias("tag"), F.struct("unit", "mask").alias("u"))
+    whole = shared.filter("whole").select("doc", "tag", "unit", starts.alias("mask"))
+    first = shared.filter("NOT whole").select("key", "phrase", "doc", "tag", "unit")
+    part = first.join(marks, ["key", "phrase", "doc"]).select("doc", "tag", "unit", "mask")
+    hits = whole.unionAll(part).select("doc", "tag", F.struct("unit", "mask").alias("u"))
     hits = hits.groupBy("doc", "tag").agg(F.collect_list("u").alias("units"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -69,3 +69,11 @@ def test_equal_strings_have_the_same_trigger():
         k = int(np.flatnonzero((first <= at) & (at <= last))[0])
         alone = suffix_dedup.phrases(common, np.zeros(50, dtype=int))
         assert place[k] - at == alone[2][0] and key[k] == alone[3][0]
+
+
+def test_many_rows_without_ids_and_texts_of_one_id(spark, tmp_path):
+    """6,000 different texts with a NULL id, and 3,000 with one id, that share a passage of a smaller document."""
+    said = "".join(chr(97 + (i * i) % 23) for i in range(120))
+    rows = [(1, said)] + [(None, f"own text {k} {said} {k * 7919}") for k in range(6000)] + [(5, f"{k * 31} {said} five {k}") for k in range(3000)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    assert digest(suffix_dedup.remove_repeats(spark.read.parquet(f"{tmp_path}/docs"))) == brute(rows)
