@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import row_key, same_row, written
+from .common import let, row_key, same_row, written
 
 LG_K = 12
 SIGMAS = 6
@@ -61,58 +61,47 @@ def spread_lines(lines: DataFrame, min_sites: int, lg_k: int = LG_K, min_texts:
 
 
 def drop_spread_lines(
-    docs: DataFrame,
-    min_sites: int = 10,
-    max_share: float | None = 0.5,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    site: str = "source",
-    min_texts: int = 1,
+    docs: DataFrame, min_sites: int = 10, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_texts: int = 1
 ) -> DataFrame:
-    """``doc_id, text_key, positions, n_spread`` of the rows that lose lines: the line numbers to remove.
+    """``doc_id, text_key, positions, most_sites`` of the rows that lose lines: the line numbers to remove.
 
-    A line is boilerplate if it stands on ``min_sites`` or more sites, in ``min_texts`` or more distinct texts. It is removed
-    wherever it stands, unless such lines make up more than ``max_share`` of a text's characters; ``max_share`` None is no
-    such limit. Lines of a text copied to many sites stand in one distinct text, so ``min_texts`` leaves copies of whole
-    documents to the deduplication of documents. Lines are compared without white space around them; lines without a word stay. NULL and empty texts have no lines. Equal rows get equal results.
+    A line is boilerplate if it stands on ``min_sites`` or more sites, in ``min_texts`` or more distinct texts, and is removed
+    wherever it stands. Lines of a text copied to many sites stand in one distinct text, so ``min_texts`` leaves copies of
+    whole documents to the deduplication of documents. Lines are compared without white space around them; lines without a
+    word stay. NULL and empty texts have no lines. Equal rows get equal results.
     """
     lines = written(line_table(docs, doc_id, text, site), "lines")
     spread = written(spread_lines(lines, min_sites, min_texts=min_texts), "line-spread")
     hit = lines.join(spread, ["h1", "h2"]).groupBy("doc_id", "text_key").agg(
         F.collect_set("line_no").alias("positions"), F.max("n_sites").alias("most_sites")
     )
-    return hit.select("doc_id", "text_key", "positions", "most_sites").withColumn("max_share", F.lit(max_share).cast("double"))
+    return hit.select("doc_id", "text_key", "positions", "most_sites")
+
+
+def without_lines(text: Column, positions: Column) -> Column:
+    """The text without the lines of these numbers; the cost grows with the text, not with lines times positions."""
+
+    def kept(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), positions)
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    return let(lines_of(text), kept)
 
 
 def clean_documents(
-    docs: DataFrame,
-    min_sites: int = 10,
-    max_share: float | None = 0.5,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    site: str = "source",
-    min_texts: int = 1,
+    docs: DataFrame, min_sites: int = 10, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_texts: int = 1
 ) -> DataFrame:
-    """Every row of ``docs`` as ``row`` (all its columns), with ``cleaned`` text, ``n_lines``, ``n_spread`` and ``n_removed``.
+    """Every row of ``docs`` as ``row`` (all its columns), with ``cleaned`` text, ``n_lines`` and ``n_removed``.
 
     See ``drop_spread_lines``. ``cleaned`` is the text itself where nothing is removed, NULL included.
     """
-    hit = drop_spread_lines(docs, min_sites, max_share, doc_id, text, site, min_texts)
+    hit = drop_spread_lines(docs, min_sites, doc_id, text, site, min_texts)
     left = docs.select(*row_key(doc_id, text), F.struct(*docs.columns).alias("row"))
     joined = left.join(hit.hint("shuffle_hash"), same_row(left, hit), "left")
     whole = F.col("row")[text]
-    lines, at = lines_of(whole), F.coalesce("positions", F.array().cast("array<int>"))
-    kept = F.filter(lines, lambda line, i: ~F.array_contains(at, i))
-    chars = lambda x: F.char_length(F.array_join(F.transform(x, trimmed), ""))
-    size = F.when(F.col("positions").isNotNull(), chars(lines))
-    left_over = F.when(F.col("positions").isNotNull(), chars(kept))
-    few = F.lit(True) if max_share is None else size - left_over <= max_share * size
-    boiler = F.coalesce(F.col("positions").isNotNull() & few, F.lit(False))
-    out = joined.select(
+    return joined.select(
         "row",
-        F.size(F.filter(lines, lambda line: line.rlike(r"[^\x20\x09-\x0D]"))).cast("long").alias("n_lines"),
-        F.size(at).cast("long").alias("n_spread"),
-        boiler.alias("removes"),
-        F.when(boiler, F.array_join(kept, "\n")).otherwise(whole).alias("cleaned"),
+        F.when(F.col("positions").isNull(), whole).otherwise(without_lines(whole, F.col("positions"))).alias("cleaned"),
+        F.size(F.filter(lines_of(whole), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))).cast("long").alias("n_lines"),
+        F.coalesce(F.size("positions"), F.lit(0)).cast("long").alias("n_removed"),
     )
-    return out.select("row", "cleaned", "n_lines", "n_spread", F.when(F.col("removes"), F.col("n_spread")).otherwise(0).alias("n_removed"))

@@ -149,17 +149,15 @@ FROM s LEFT JOIN hit ON s.id = hit.doc_id LEFT JOIN it ON s.id = it.doc_id WHERE
 """
 
 
-MIN_SITES, MAX_SHARE = 10, 0.5
+MIN_SITES, MIN_TEXTS = 10, 10
 
 
 @register
 def op5_line_dedup(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    cleaned = line_dedup.clean_documents(docs, MIN_SITES, MAX_SHARE)
+    cleaned = line_dedup.clean_documents(table(spark, sf_dir, "documents"), MIN_SITES, min_texts=MIN_TEXTS)
     return cleaned.select(
         "row.doc_id",
         "n_lines",
-        "n_spread",
         "n_removed",
         F.char_length(F.coalesce("cleaned", F.lit(""))).cast("long").alias("kept_chars"),
         F.sha2(F.coalesce("cleaned", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
@@ -168,24 +166,19 @@ def op5_line_dedup(spark, sf_dir):
 
 ORACLES["op5_line_dedup"] = r"""
 WITH split AS (
-  SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+  SELECT row_number() OVER () AS row_no, doc_id, source, text, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 raw AS (
-  SELECT doc_id, source, unnest(parts) AS raw, generate_subscripts(parts, 1) AS no FROM split),
+  SELECT row_no, doc_id, source, text, unnest(parts) AS raw, generate_subscripts(parts, 1) AS no FROM split),
 lines AS (
   SELECT *, regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line FROM raw),
 spread AS (
-  SELECT line FROM lines WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10),
+  SELECT line FROM lines WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10 AND count(DISTINCT text) >= 10),
 marked AS (SELECT l.*, s.line IS NOT NULL AS hit FROM lines l LEFT JOIN spread s ON l.line = s.line),
 docs AS (
-  SELECT doc_id, count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (hit) AS n_spread,
-         coalesce(sum(length(line)) FILTER (hit), 0) <= 0.5 * sum(length(line)) AND count(*) FILTER (hit) > 0 AS removes,
-         string_agg(raw, chr(10) ORDER BY no) AS whole,
+  SELECT row_no, doc_id, count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (hit) AS n_removed,
          coalesce(string_agg(raw, chr(10) ORDER BY no) FILTER (NOT hit), '') AS cleaned
-  FROM marked GROUP BY doc_id)
-SELECT doc_id, n_lines, n_spread, CASE WHEN removes THEN n_spread ELSE 0 END AS n_removed,
-       CAST(length(CASE WHEN removes THEN cleaned ELSE whole END) AS BIGINT) AS kept_chars,
-       sha256(CASE WHEN removes THEN cleaned ELSE whole END) AS kept_sha256
-FROM docs
+  FROM marked GROUP BY row_no, doc_id)
+SELECT doc_id, n_lines, n_removed, CAST(length(cleaned) AS BIGINT) AS kept_chars, sha256(cleaned) AS kept_sha256 FROM docs
 """
 
 
