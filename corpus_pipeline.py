@@ -12,13 +12,13 @@ from slicewise.llm.common import row_key, same_row, written
 
 MIN_SCORE = 0.5
 MIN_SITES, MIN_TEXTS = 10, 10
-MAX_SHARE = 0.5  # op5's limit; no stage has it, tests read it
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents that score below ``MIN_SCORE`` go. It learns from all labels of these documents."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    stats = written(quality_classifier.document_statistics(docs), "statistics")
+    labelled = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    stats = written(quality_classifier.document_statistics(labelled), "statistics")
     model = quality_classifier.train(stats, labels, F.lit(True))
     return docs.filter(quality_classifier.score_texts(model)(F.col("text")) >= MIN_SCORE)
 
@@ -28,7 +28,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     A text that loses nothing stays as it is, one of nothing but boilerplate becomes empty.
     """
-    cleaned = line_dedup.clean_documents(docs, MIN_SITES, max_share=None, min_texts=MIN_TEXTS)
+    cleaned = line_dedup.clean_documents(docs, MIN_SITES, min_texts=MIN_TEXTS)
     new = {"text": F.col("cleaned"), "n_chars": F.when(F.col("n_removed") > 0, F.char_length("cleaned")).otherwise(F.col("row.n_chars"))}
     return cleaned.select(*[new.get(c, F.col("row")[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
@@ -65,9 +65,14 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sample_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing: documents drawn so that source, language and topic meet their target shares of the tokens."""
+    """Mixing: documents drawn so that source, language and topic meet their target shares of the tokens.
+
+    ``topic``, ``n_tokens`` and ``probability`` are added, but for those whose name a column of the documents has already.
+    """
     mixed = mixing.mix_documents(docs).filter("sampled")
-    return mixed.select("row.*", F.col("labels.topic").alias("topic"), "n_tokens", "probability")
+    more = {"topic": "labels.topic", "n_tokens": "n_tokens", "probability": "probability"}
+    taken = {c.lower() for c in docs.columns}
+    return mixed.select("row.*", *[F.col(source).alias(name) for name, source in more.items() if name not in taken])
 
 
 STAGES = [
