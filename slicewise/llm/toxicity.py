@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 GRAMS = (3, 4, 5)
 BUCKETS, SIZE = 1 << 17, 8
-WIDTH, STRIDE = 8, 4
+WIDTH = 8
 PER_CLASS, MAX_BYTES = 3000, 200_000
 ROUNDS, WHOLE_ROUNDS, BATCH, RATE, SEED = 8, 2, 64, 0.4, 3
 PIECE = 1 << 18
@@ -120,7 +120,7 @@ class Model:
 def best_window(total: np.ndarray, count: np.ndarray, width: int = WIDTH) -> tuple[float, int, int]:
     """(average, first word, last word + 1) of the window of words with the largest average."""
     n = len(total)
-    first = np.arange(0, max(1, n - width + STRIDE), STRIDE)
+    first = np.arange(0, max(1, n - width + 1))
     last = np.minimum(first + width, n)
     sums, sizes = np.concatenate([[0.0], np.cumsum(total)]), np.concatenate([[0.0], np.cumsum(count)])
     means = (sums[last] - sums[first]) / (sizes[last] - sizes[first])
@@ -195,8 +195,8 @@ def training_texts(
 ) -> DataFrame:
     """(text, label, weight) of at most ``per_class`` labelled texts a class, those with the smallest hash of their id.
 
-    Texts of more than ``max_bytes`` bytes are not trained on. ``weight`` gives the classes their share of all labels. Of
-    repeated labels the largest counts, NULL labels do not.
+    NULL texts and those of more than ``max_bytes`` bytes are not trained on. ``weight`` gives the classes their share of all
+    labels. Of repeated labels the largest counts, NULL labels do not; a document that is repeated is trained on once a row.
     """
     told = labels.filter(F.col(label).isNotNull() & chosen).groupBy(F.col("doc_id").alias("of_id"))
     told = told.agg(F.max(label).cast("int").alias("label"))

@@ -101,3 +101,46 @@ def test_every_subword_of_a_word_is_counted():
     _, _, count = toxicity.word_sums(data, np.zeros(toxicity.BUCKETS))
     # " abc ": three of 3 bytes, two of 4, one of 5, the word; " d ": one of 3, the word.
     assert count.tolist() == [7, 2]
+
+
+def brute_logit(text, model):
+    """Most toxic window of eight words, from each word's n-grams one by one."""
+    wrap, spread = (1 << 64) - 1, int(toxicity._SPREAD)
+
+    def value(h):
+        h = ((h ^ (h >> 29)) * spread) & wrap
+        return model.value[h >> (64 - (toxicity.BUCKETS.bit_length() - 1))]
+
+    words = []
+    for word in (text or "").lower().encode(errors="replace").split():
+        codes = [int(toxicity._CODES[b]) for b in b" %s " % word]
+        values = []
+        for n in toxicity.GRAMS:
+            for i in range(len(codes) - n + 1):
+                h = 0
+                for c in codes[i : i + n]:
+                    h = (h * spread + c) & wrap
+                values.append(value((h + n) & wrap))
+        values.append(value(sum(c * pow(spread, k, 1 << 64) for k, c in enumerate(codes[1:-1])) & wrap))
+        words.append(values)
+    windows = [sum(words[i : i + 8], []) for i in range(max(1, len(words) - 7))] if words else []
+    return max((sum(w) / len(w) for w in windows), default=0.0) + model.bias
+
+
+def test_toxicity_scores_against_each_ngram():
+    draw = np.random.default_rng(4)
+    model = toxicity.Model(draw.normal(size=toxicity.BUCKETS), -0.5)
+    made = [" ".join("".join(draw.choice(list("abé-x"), size=draw.integers(1, 9))) for _ in range(n)) for n in (1, 7, 8, 9, 30, 200)]
+    texts = [None, "", " \n", "A b", "\u00a0 nbsp", *made]
+    got = model.logits([toxicity.plain(t) for t in texts])
+    assert np.allclose(got, [brute_logit(t, model) for t in texts])
+
+
+def test_a_toxic_run_scores_the_same_at_every_place():
+    model = toxicity.Model(np.full(toxicity.BUCKETS, -1.0), 0.0)
+    run = [f"bad{k}word" for k in range(8)]
+    for at, bucket in toxicity.subwords(np.frombuffer(toxicity.plain(" ".join(run)), dtype=np.uint8)):
+        model.value[bucket] = 1.0
+    texts = [" ".join([f"fine{i}" for i in range(k)] + run + [f"good{i}" for i in range(20 - k)]) for k in range(13)]
+    scores = model.logits([toxicity.plain(t) for t in texts])
+    assert np.allclose(scores, scores[0]) and scores[0] == 1.0
