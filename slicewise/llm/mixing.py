@@ -93,8 +93,10 @@ def mix(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """``docs`` as ``row`` with ``labels`` (dimension values), ``n_tokens``, ``weight``, ``probability`` and ``sampled``.
+    """``docs`` as ``row`` with ``labels`` (dimension values), ``n_tokens``, ``weight``, ``probability``, ``sampled`` and ``target_error``.
 
+    ``target_error`` is the same in every row: by how much, as a share, the marginal that is furthest off misses its target. It
+    is at most ``TOLERANCE`` where the targets are met, and more where they exclude each other or ask for more than there is.
     The sample has the share ``keep`` of all tokens in expectation. ``dims``: an expression for each dimension; NULL is a value of its own. Dimensions without targets get ``tempered``
     ones. Texts without tokens have probability 0. Equal rows are drawn together. An empty table gives an empty result.
     """
@@ -108,7 +110,7 @@ def mix(
         goals[name] = tempered(cells, name, power) if given is None else given.select(_label(F.col("value")).alias("value"), "share")
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     wanted = F.lit(float(keep * total))
-    weighed, _, _ = rake(cells, goals, F.col("tokens") / wanted)
+    weighed, error, _ = rake(cells, goals, F.col("tokens") / wanted)
     chance = F.least(F.col("weight") * wanted / F.col("tokens"), F.lit(1.0))
     chances = weighed.select(*[F.col(n).alias(f"of_{n}") for n in names], F.round("weight", 9).alias("weight"), chance.alias("probability"))
     chances = written(chances, "chances")
@@ -121,7 +123,7 @@ def mix(
     shown = F.struct(*[F.when(F.col(n) != "NULL", F.substr(n, F.lit(2))).alias(d) for n, d in zip(names, dims)])
     return joined.select(
         "row", shown.alias("labels"), "n_tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"), chance.alias("probability"),
-        (F.col("drawn") < chance).alias("sampled"),
+        (F.col("drawn") < chance).alias("sampled"), F.lit(float(error)).alias("target_error"),
     )
 
 

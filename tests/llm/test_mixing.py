@@ -55,6 +55,21 @@ def test_targets_that_exclude_each_other_end(spark):
     assert rounds <= 30 and error >= 0
 
 
+def test_targets_that_are_not_met_are_told(spark):
+    rows = [(i, "a b c", ["a", "b"][i % 2], ["x", "y"][i % 2]) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+
+    def error(shares, keep=0.5):
+        targets = {d: spark.createDataFrame(list(t.items()), "value string, share double") for d, t in shares.items()}
+        mixed = mixing.mix(docs, {"source": F.col("source"), "lang": F.col("lang")}, F.lit(3), targets, keep=keep).collect()
+        assert len({r.target_error for r in mixed}) == 1
+        return mixed[0].target_error
+
+    assert error({"source": {"a": 0.4, "b": 0.6}, "lang": {"x": 0.4, "y": 0.6}}) <= mixing.TOLERANCE
+    assert error({"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}}) > 0.1
+    assert error({"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.9, "y": 0.1}}, keep=0.9) > 0.1  # more than there is of a
+
+
 def test_query_on_hard_rows(spark, tmp_path):
     table = documents()
     got = QUERIES["op10_mixing"](spark, folder(tmp_path, table)).toPandas()
