@@ -55,6 +55,15 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_key"] == right["text_key"])
 
 
+def dealt_out(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows sorted by keys, equal ones together, in as many tasks as a shuffle has.
+
+    Their number is given, since adaptive execution would merge tasks by their bytes, which are few where comparing costs.
+    """
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(width, *keys).sortWithinPartitions(*keys)
+
+
 def runs(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """The rows of each run of equal keys, from batches sorted by them; a run may go on in the next batch."""
     kept: list[pd.DataFrame] = []

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import row_key, runs, same_row, written
+from .common import dealt_out, row_key, runs, same_row, written
 from .components import components
 
 SHINGLE, LEAST = 5, 0.8
@@ -143,7 +143,7 @@ def _linked(members: DataFrame, group: str, size: str | None, near_of: Callable[
             if links:
                 yield pd.DataFrame({"a": [nodes[i] for i, _ in links], "b": [nodes[j] for _, j in links]})
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(each, "a binary, b binary").distinct()
+    return dealt_out(dealt, keys).mapInPandas(each, "a binary, b binary").distinct()
 
 
 def _fps(bucket: pd.DataFrame) -> np.ndarray:
@@ -159,7 +159,9 @@ def near_copies(
     and bits above are made for 0.8, a lower ``least`` needs more. Texts without words are copies of each other.
     """
     rows = written(signatures(docs, doc_id, text, size), "signatures")
-    nodes = written(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys")), "nodes")
+    # One row a set of shingles from here on: copies share it, and none of the joins below meets them one by one.
+    first = {"fp": F.first("fp"), "keys": F.first("keys"), "row": F.min(F.struct("doc_id", "text_key"))}
+    nodes = written(rows.groupBy("node").agg(*[c.alias(n) for n, c in first.items()]), "nodes")
     keyed = nodes.select("node", "fp", F.explode("keys").alias("key"))
 
     def by_bits(bucket: pd.DataFrame) -> Callable:
@@ -169,10 +171,7 @@ def near_copies(
     found = components(written(_linked(keyed, "key", None, by_bits), "candidates"))
     found = found.withColumnRenamed("root", "cloud")
     clouds = written(found.unionAll(found.select(F.col("cloud").alias("node"), "cloud")).distinct(), "clouds")
-    some = rows.join(clouds, "node").groupBy("node", "cloud").agg(
-        F.first("fp").alias("fp"), F.min(F.struct("doc_id", "text_key")).alias("row")
-    )
-    some = some.select("node", "cloud", "fp", "row.doc_id", "row.text_key")
+    some = nodes.join(clouds, "node").select("node", "cloud", "fp", "row.doc_id", "row.text_key")
     texts = docs.select(*row_key(doc_id, text), F.col(text).alias("text"))
     asked = texts.join(some.hint("shuffle_hash"), same_row(texts, some)).select("cloud", "node", "fp", "text")
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import runs, written
+from .common import dealt_out, runs, written
 from .components import components
 
 SHINGLE, BITS, MAX_BITS = 4, 64, 4
@@ -150,7 +150,7 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
                 pairs = np.array(links, dtype=np.uint64).view(np.int64)
                 yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return dealt.repartition(*group).sortWithinPartitions(*group).mapInPandas(each, "a long, b long").distinct()
+    return dealt_out(dealt, group).mapInPandas(each, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
