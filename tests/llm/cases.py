@@ -24,7 +24,7 @@ HARD = [
     (900_013, "\x00 nul and \x7f del " * 10, "en", "src9"),
 ]
 # Names that operators use themselves.
-CLASHES = ["kept", "score", "component_id", "fp", "row", "host", "positions", "text_key", "n_words", "weight", "units", "tag", "drawn"]
+CLASHES = ["kept", "score", "component_id", "fp", "row", "host", "positions", "text_key", "n_words", "weight", "units", "tag", "drawn", "topic", "n_tokens", "probability"]
 
 
 def documents(rows=HARD, base=True) -> pa.Table:

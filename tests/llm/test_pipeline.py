@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pyarrow.parquet as pq
 from cases import CLASHES, documents, empty, folder
-from test_simhash import brute_fingerprint, brute_roots, links_of
+from test_near_copies import copies_of
 
 import corpus_pipeline
 from slicewise.llm.common import written
@@ -26,18 +26,20 @@ def windows(said, size):
 
 
 def brute_clean(rows):
-    """Text of each row without lines on ``MIN_SITES`` sites, where they are at most ``MAX_SHARE`` of it."""
-    sites, out = {}, {}
+    """Text of each row without lines on ``MIN_SITES`` sites and in ``MIN_TEXTS`` distinct texts."""
+    sites, texts, out = {}, {}, {}
     for r in rows:
         for line in (r.text or "").split("\n"):
+            plain = line.strip(" \t\n\x0b\x0c\r")
+            texts.setdefault(plain, set()).add(r.text)
             if r.source is not None:
-                sites.setdefault(line.strip(" \t\n\x0b\x0c\r"), set()).add(r.source)
+                sites.setdefault(plain, set()).add(r.source)
     for r in rows:
         lines = (r.text or "").split("\n")
         plain = [x.strip(" \t\n\x0b\x0c\r") for x in lines]
-        hit = [bool(p) and len(sites.get(p, ())) >= corpus_pipeline.MIN_SITES for p in plain]
-        share = sum(len(p) for p, h in zip(plain, hit) if h) <= corpus_pipeline.MAX_SHARE * sum(map(len, plain))
-        out[r.doc_id] = "\n".join(x for x, h in zip(lines, hit) if not h) if any(hit) and share else r.text
+        enough = {p for p in plain if len(sites.get(p, ())) >= corpus_pipeline.MIN_SITES and len(texts[p]) >= corpus_pipeline.MIN_TEXTS}
+        hit = [bool(p) and p in enough for p in plain]
+        out[r.doc_id] = "\n".join(x for x, h in zip(lines, hit) if not h) if any(hit) else r.text
     return out
 
 
@@ -60,9 +62,8 @@ def test_stages(spark, tmp_path):
     assert all(r.n_chars == (kept[i].n_chars if r.text == kept[i].text else len(r.text)) for i, r in texts.items())
 
     alone = written(stages["simhash near-dedup"](spark, clean, where), "alone")
-    ids = list(texts)
-    roots = brute_roots(ids, links_of(np.array([brute_fingerprint(texts[i].text) for i in ids], dtype=np.uint64)))
-    assert alone.columns == columns and set(rows_of(alone)) == {i for i in ids if roots[i] == i}
+    roots = copies_of([(i, r.text) for i, r in texts.items()])
+    assert alone.columns == columns and set(rows_of(alone)) == {i for i, root in roots.items() if root == i}
 
     free = written(stages["benchmark decontamination"](spark, alone, where), "free")
     items = [words(r["text"]) for r in pq.read_table(f"{where}/benchmark.parquet").to_pylist()]
@@ -74,7 +75,11 @@ def test_stages(spark, tmp_path):
     assert free.columns == columns and set(rows_of(free)) == set(rows_of(alone)) - leaked
 
     mixed = rows_of(stages["mixing to target weights"](spark, free, where))
-    assert mixed.keys() <= rows_of(free).keys() and all(r.probability > 0 for r in mixed.values())
+    # Columns that the documents have already stay theirs.
+    assert mixed.keys() <= rows_of(free).keys() and all((r.topic, r.n_tokens, r.probability) == ("x",) * 3 for r in mixed.values())
+    more = stages["mixing to target weights"](spark, free.drop("topic", "n_tokens", "probability"), where)
+    assert more.columns[-3:] == ["topic", "n_tokens", "probability"] and set(rows_of(more)) == mixed.keys()
+    assert all(0 < r.probability <= 1 for r in more.collect())
     assert {r.doc_id for r in corpus_pipeline.run(spark, where).collect()} == mixed.keys()
     assert set(CLASHES) <= set(columns)
 
