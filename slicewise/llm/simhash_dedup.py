@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import dealt_out, runs, written
+from .common import dealt_out, row_key, runs, written
 from .components import components
 
 SHINGLE, BITS, MAX_BITS = 4, 64, 4
@@ -50,16 +50,18 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint of each row as a signed long."""
+    """(doc_id, text_key, fp): the fingerprint of each row as a signed long."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = (x.as_py() for x in batch.column("text"))
             fps = np.fromiter(map(fingerprint, texts), dtype=np.uint64, count=batch.num_rows).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], names=["doc_id", "fp"])
+            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(fps)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "fp"])
 
-    chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return chosen.mapInArrow(each, "doc_id long, fp long")
+    number, key = row_key(doc_id, text)
+    chosen = docs.select(number.cast("long").alias("doc_id"), key, F.col(text).alias("text"))
+    return chosen.mapInArrow(each, "doc_id long, text_key long, fp long")
 
 
 def _mask(first: int, stop: int) -> int:
@@ -154,21 +156,21 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs``.
+    """(doc_id, text_key, fp, component, component_id) of every row of ``docs``.
 
-    ``component_id`` is the smallest id that links lead to, the row's own included. Texts without words (NULL, empty) have
-    fingerprint zero and link like any other. A row with a NULL id takes part in links and gets the component's smallest
-    id, NULL only if there is none. Repeated rows and equal texts share a fingerprint, and links are made between distinct
-    fingerprints, so groups of copies cost no pairs.
+    ``component`` is the smallest fingerprint that links lead to and names the group; ``component_id`` is the smallest id in
+    it, the row's own included. Texts without words (NULL, empty) have fingerprint zero and link like any other. A row with a
+    NULL id takes part in links and gets the component's smallest id, NULL only if there is none. Repeated rows and equal texts
+    share a fingerprint, and links are made between distinct fingerprints, so groups of copies cost no pairs.
     """
     marked = written(fingerprints(docs, doc_id, text), "fingerprints")
     first = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     roots = components(written(fingerprint_links(first.select("fp")), "fingerprint-links"))
     rooted = first.join(roots, first["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+        "fp", "first_id", F.coalesce("root", "fp").alias("component")
     )
-    least = rooted.groupBy(F.col("root").alias("of_root")).agg(F.min("first_id").alias("component_id"))
-    named = written(
-        rooted.join(least, F.col("root") == F.col("of_root")).select(F.col("fp").alias("of_fp"), "component_id"), "components"
-    )
-    return marked.join(named, F.col("fp") == F.col("of_fp")).select("doc_id", "fp", "component_id")
+    least = rooted.groupBy(F.col("component").alias("of_component")).agg(F.min("first_id").alias("component_id"))
+    named = rooted.join(least, F.col("component") == F.col("of_component"))
+    named = written(named.select(F.col("fp").alias("of_fp"), "component", "component_id"), "components")
+    joined = marked.join(named, F.col("fp") == F.col("of_fp"))
+    return joined.select("doc_id", "text_key", "fp", "component", "component_id")
