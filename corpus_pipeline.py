@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slicewise.llm import decontamination, line_dedup, mixing, near_copies, quality_classifier
+from slicewise.llm import decontamination, line_dedup, mixing, quality_classifier, simhash_dedup
 from slicewise.llm.common import row_key, same_row, written
 
 MIN_SCORE = 0.5
@@ -39,12 +39,12 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-dedup: of each group of near copies (five-word Jaccard of 0.8 or more) one row stays.
+    """SimHash near-dedup: of each group of rows whose fingerprints link (four words, 4 of 64 bits or fewer) one row stays.
 
     It is the one with the smallest id (NULL last), then the smallest text hash; of rows equal in both the one with the
     smallest hash of all columns. Other texts of an id that goes are judged by their own group.
     """
-    linked = written(near_copies.near_copies(docs), "near-copies")
+    linked = written(simhash_dedup.near_duplicates(docs), "near-copies")
     counted = linked.groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "n")).alias("first")
     kept = counted.groupBy("component").agg(first).select("first.doc_id", "first.text_key", "first.n")
