@@ -61,23 +61,30 @@ def write_manifest(spark: SparkSession, folder: str, run: Run, parts: dict[Part,
     fit(df.withColumns(run.columns()), MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(_folder(folder, run))
 
 
-def enter(spark: SparkSession, folder: str, run: Run, parts: list[Part], state: str = OPEN) -> None:
-    """Add parts to the manifest, or set their state."""
-    held = read_manifest(spark, folder, run)
-    if any(held.get(part) != state for part in parts):
-        write_manifest(spark, folder, run, held | dict.fromkeys(parts, state))
-
-
-def retract(spark: SparkSession, folder: str, run: Run, asked: list[Part], tables: dict[str, str], fmt: str) -> list[Part]:
-    """Empty the parts of a run that are not among ``asked``, in each of ``tables`` (name: layout); returns them."""
-    held = read_manifest(spark, folder, run)
+def enter(
+    spark: SparkSession, folder: str, run: Run, parts: list[Part], state: str = OPEN, held: dict[Part, str] | None = None
+) -> dict[Part, str]:
+    """Add parts to the manifest, or set their state; returns the manifest. ``held``: what it is now, where that is known."""
+    held = read_manifest(spark, folder, run) if held is None else held
+    now = held | dict.fromkeys(parts, state)
+    if now != held:
+        write_manifest(spark, folder, run, now)
+    return now
+
+
+def retract(
+    spark: SparkSession, folder: str, run: Run, asked: list[Part], tables: dict[str, str], fmt: str, held: dict[Part, str] | None = None
+) -> dict[Part, str]:
+    """Empty the parts of a run that are not among ``asked``, in each of ``tables`` (name: layout); returns the manifest."""
+    held = read_manifest(spark, folder, run) if held is None else held
     gone = [part for part in held if part not in asked]
     for part in gone:
         for name, layout in tables.items():
             clear_part(spark, f"{folder}/{name}", run, part.run_key, layout, fmt)
+    left = {part: state for part, state in held.items() if part in asked}
     if gone:
-        write_manifest(spark, folder, run, {part: state for part, state in held.items() if part in asked})
-    return gone
+        write_manifest(spark, folder, run, left)
+    return left
 
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:

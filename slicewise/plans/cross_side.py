@@ -66,11 +66,11 @@ def run_parity(validation: DataFrame, run: Run, folder: str, fmt: str = "parquet
     try:
         validation = settle(validation)  # one row for each side list and check
         asked = parts_of(validation)
-        enter(spark, folder, run, asked)
+        held = enter(spark, folder, run, asked)
         write_rows(validation, f"{folder}/validation", fmt)
         if complete:
-            retract(spark, folder, run, asked, {"validation": VALIDATION_SCHEMA}, fmt)
-        enter(spark, folder, run, asked, JUDGED)
+            held = retract(spark, folder, run, asked, {"validation": VALIDATION_SCHEMA}, fmt, held)
+        enter(spark, folder, run, asked, JUDGED, held)
         kept = of_scope(read_rows(spark, f"{folder}/validation", VALIDATION_SCHEMA, fmt), run).filter(
             (F.col("batch_date") == F.lit(str(run.batch_date)).cast("date"))
             & (F.col("batch_sequence") == run.batch_sequence)

@@ -105,7 +105,7 @@ def run_distribution(
         return abort(comment)
 
     try:
-        enter(spark, folder, run, [part], OPEN)
+        held = enter(spark, folder, run, [part], OPEN)
         if requests.isEmpty():
             return nothing("no column request")
         if slice_probe(observed, date_column, run.batch_date).isEmpty():
@@ -113,7 +113,7 @@ def run_distribution(
         write_part(profile_slice(observed, date_column, table_name, requests, run), f"{folder}/stats", run, table_name, fmt)
         history = read_rows(spark, f"{folder}/stats", STATS_SCHEMA, fmt)
         write_part(judge_stats(history, table_name, requests, rules, run), f"{folder}/validation", run, table_name, fmt)
-        enter(spark, folder, run, [part], JUDGED)
+        enter(spark, folder, run, [part], JUDGED, held)
         return finish_run(spark, run, folder, fmt, start)
     except Exception as error:
         abort(f"error: {type(error).__name__}")
