@@ -12,12 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 GRAMS = (3, 4, 5)
 BUCKETS, SIZE = 1 << 17, 8
 WIDTH = 8
 PER_CLASS, MAX_BYTES = 3000, 200_000
+TOTAL_BYTES = 24 << 20  # text of a class; training holds about ten times as much for both together
 ROUNDS, WHOLE_ROUNDS, BATCH, RATE, SEED = 8, 2, 64, 0.4, 3
 PIECE = 1 << 18
 
@@ -191,10 +192,12 @@ def train_model(texts: list[bytes], labels: np.ndarray, weights: np.ndarray) ->
 
 
 def training_texts(
-    docs: DataFrame, labels: DataFrame, chosen: Column, label: str = "toxic", per_class: int = PER_CLASS, max_bytes: int = MAX_BYTES
+    docs: DataFrame, labels: DataFrame, chosen: Column, label: str = "toxic", per_class: int = PER_CLASS, max_bytes: int = MAX_BYTES,
+    total_bytes: int = TOTAL_BYTES,
 ) -> DataFrame:
     """(text, label, weight) of at most ``per_class`` labelled texts a class, those with the smallest hash of their id.
 
+    Of these the first ones are taken that have ``total_bytes`` bytes together, so what comes to the driver is bounded.
     NULL texts and those of more than ``max_bytes`` bytes are not trained on. ``weight`` gives the classes their share of all
     labels. Of repeated labels the largest counts, NULL labels do not; a document that is repeated is trained on once a row.
     """
@@ -210,7 +213,9 @@ def training_texts(
         parts.append(part.withColumn("weight", F.lit(share)))
     sample = F.broadcast(parts[0].unionAll(parts[1]))  # at most twice per_class rows
     joined = docs.join(sample, F.col("doc_id") == F.col("of_id")).filter(F.octet_length("text") <= max_bytes)
-    return joined.select("text", "label", "weight")
+    in_order = Window.partitionBy("label").orderBy(F.xxhash64("of_id"), "of_id").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = joined.withColumn("so_far", F.sum(F.octet_length("text")).over(in_order))
+    return so_far.filter(F.col("so_far") <= total_bytes).select("text", "label", "weight")
 
 
 def train(docs: DataFrame, labels: DataFrame, chosen: Column, label: str = "toxic", per_class: int = PER_CLASS) -> Model:

@@ -144,3 +144,12 @@ def test_a_toxic_run_scores_the_same_at_every_place():
     texts = [" ".join([f"fine{i}" for i in range(k)] + run + [f"good{i}" for i in range(20 - k)]) for k in range(13)]
     scores = model.logits([toxicity.plain(t) for t in texts])
     assert np.allclose(scores, scores[0]) and scores[0] == 1.0
+
+
+def test_training_texts_are_bounded(spark):
+    docs = spark.createDataFrame([(i, "x" * 100) for i in range(40)] + [(40, "y" * 500), (41, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(42)], "doc_id long, toxic int")
+    few = toxicity.training_texts(docs, labels, F.lit(True), per_class=15, max_bytes=200, total_bytes=1050).collect()
+    assert sorted((r.label, len(r.text)) for r in few) == [(0, 100)] * 10 + [(1, 100)] * 10
+    every = toxicity.training_texts(docs, labels, F.lit(True)).collect()
+    assert len(every) == 41
