@@ -6,6 +6,9 @@ and every start of a string belongs to one trigger. The starts that share a trig
 their strings cover. Phrases whose trigger stands in no other document are done with. Where a trigger has one phrase only, the
 phrase decides for all its strings by its smallest document. Where it has several, their ``SPAN``-byte strings are
 grouped by trigger, place and bytes. There is no suffix array of the dictionary or of the parse.
+
+Occurrences of rare triggers meet by a window over the trigger. Triggers that hold a large share of all occurrences are found
+first; theirs are aggregated in each task, and the few aggregates go back to the occurrences, which stay where they are.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ STARTS = SPAN - TRIGGER + 1  # trigger places inside a string, and most starts a
 HALF = (SPAN - TRIGGER) // 2
 PIECE = 1 << 18
 ROWS = 50_000  # rows of a batch handed on
+SHARE = 1024  # a trigger, or a phrase, with one in so many occurrences is frequent
 LAST_ID = (1 << 63) - 1
 
 _SEED = np.random.default_rng(7)
@@ -119,18 +123,50 @@ def bodies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return joined.select("doc", F.when(F.col("shared").isNull(), F.lit(0).cast("long")).otherwise(F.col("key")).alias("tag"), "body")
 
 
-def parse(texts: DataFrame) -> DataFrame:
-    """The parse: one row per phrase occurrence. ``unit`` packs trigger place and the distances of its first and last start."""
+def _joined(batch: pa.RecordBatch) -> Iterator[tuple[list[tuple[int, int, bytes]], np.ndarray, np.ndarray, np.ndarray]]:
+    """The lists of ``_pieces`` with the size of each piece, the joined bytes and the piece of each byte."""
+    for pieces in _pieces(batch):
+        sizes = np.array([len(p[2]) for p in pieces])
+        yield pieces, sizes, np.frombuffer(b"".join(p[2] for p in pieces), dtype=np.uint8), np.repeat(np.arange(len(pieces)), sizes)
+
+
+def frequent_triggers(texts: DataFrame, share: int) -> list[int]:
+    """All triggers with one in ``share`` of all occurrences or more, and perhaps some with half of that: 2 x ``share`` at most.
+
+    A trigger that has a share of all occurrences has at least half of them in batches where it has half that share, so it is
+    enough to hand on the triggers that are frequent in a batch.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, piece in _joined(batch):
+                keys, counts = np.unique(phrases(data, piece)[3], return_counts=True)
+                often = counts * 2 * share >= counts.sum()
+                key = pa.array([None, *keys[often].view(np.int64).tolist()], pa.int64())
+                n = pa.array([int(counts.sum()), *counts[often].tolist()], pa.int64())
+                yield pa.RecordBatch.from_arrays([key, n], names=["key", "n"])
+
+    counted = written(texts.select("body").mapInArrow(each, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "triggers")
+    total = counted.filter("key IS NULL").select("n").collect()
+    least = total[0].n / (2 * share) if total else 0
+    return [r.key for r in counted.filter(F.col("key").isNotNull() & (F.col("n") >= least)).collect()]
+
+
+def parse(texts: DataFrame, frequent: list[int], of_frequent: bool) -> DataFrame:
+    """The parse: one row per phrase occurrence. ``unit`` packs trigger place and the distances of its first and last start.
+
+    Gives the occurrences of the triggers in ``frequent``, or those of all others.
+    """
+    known = np.array(frequent, dtype=np.int64).view(np.uint64)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs = batch.column("doc").to_numpy(zero_copy_only=False)
             tags = batch.column("tag").to_numpy(zero_copy_only=False)
-            for pieces in _pieces(batch):
-                sizes = np.array([len(p[2]) for p in pieces])
-                piece = np.repeat(np.arange(len(pieces)), sizes)
-                data = np.frombuffer(b"".join(p[2] for p in pieces), dtype=np.uint8)
-                first, last, place, key, phrase = phrases(data, piece)
+            for pieces, sizes, data, piece in _joined(batch):
+                found = phrases(data, piece)
+                asked = np.isin(found[3], known) == of_frequent
+                first, last, place, key, phrase = (x[asked] for x in found)
                 of = piece[first]
                 rows = np.array([p[0] for p in pieces])[of]
                 shift = (np.array([p[1] for p in pieces]) - np.cumsum(sizes) + sizes)[of]
@@ -141,21 +177,51 @@ def parse(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(each, "key long, phrase long, doc long, tag long, unit long")
 
 
-def shared_phrases(occurrences: DataFrame) -> DataFrame:
+def shared_phrases(texts: DataFrame, share: int) -> DataFrame:
     """What the parse decides, and what it leaves open, of the phrases whose trigger also stands in another document.
 
     ``whole``: the phrase also occurs in a smaller document, and all its strings with it. Otherwise the row is open: this is
     the phrase's smallest document, and the trigger has other phrases too. First occurrences of a trigger's only phrase
     lose nothing and are left out.
     """
+    frequent = frequent_triggers(texts, share)
+    found = rare_phrases(parse(texts, frequent, False))
+    if frequent:
+        found = found.unionByName(frequent_phrases(written(parse(texts, frequent, True), "frequent"), share))
+    whole = F.col("least") < F.col("doc")
+    kept = found.filter(whole | (F.col("a") < F.col("b")))
+    return kept.select(*[F.when(~whole, F.col(c)).alias(c) for c in ("key", "phrase")], "doc", "tag", "unit", whole.alias("whole"))
+
+
+def rare_phrases(occurrences: DataFrame) -> DataFrame:
+    """``occurrences`` of triggers in several documents, with the phrase's smallest document and the trigger's extreme phrases."""
     by_key, by_phrase = Window.partitionBy("key"), Window.partitionBy("key", "phrase")
     spread = occurrences.withColumns({"low": F.min("doc").over(by_key), "high": F.max("doc").over(by_key)})
     spread = spread.filter("low < high")
     several = spread.withColumns({"a": F.min("phrase").over(by_key), "b": F.max("phrase").over(by_key)})
-    least = several.withColumn("least", F.min("doc").over(by_phrase))
-    whole = F.col("least") < F.col("doc")
-    kept = least.filter(whole | (F.col("a") < F.col("b")))
-    return kept.select(*[F.when(~whole, F.col(c)).alias(c) for c in ("key", "phrase")], "doc", "tag", "unit", whole.alias("whole"))
+    return several.withColumn("least", F.min("doc").over(by_phrase)).drop("low", "high")
+
+
+def frequent_phrases(occurrences: DataFrame, share: int) -> DataFrame:
+    """The same for a written table of the occurrences of few triggers, each with very many.
+
+    Aggregates of the triggers are few. So are phrases with one in ``share`` of these occurrences; both are broadcast. The
+    other phrases, which may be many, meet their occurrences by a join in which no key is frequent.
+    """
+    counted = occurrences.groupBy("key", "phrase").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("n"))
+    counted = written(counted, "frequent-phrases")
+    by_key = counted.groupBy("key").agg(
+        F.min("least").alias("low"), F.max("most").alias("high"), F.min("phrase").alias("a"), F.max("phrase").alias("b")
+    )
+    by_key = by_key.filter("low < high").select(F.col("key").alias("of_key"), "a", "b")  # 2 x ``share`` rows at most
+    least = (counted.agg(F.sum("n")).first()[0] or 0) / share
+    named = counted.select(F.col("key").alias("in_key"), F.col("phrase").alias("in_phrase"), "least", (F.col("n") >= least).alias("often"))
+    often = F.broadcast(named.filter("often").drop("often"))  # ``share`` rows at most
+    spread = occurrences.join(F.broadcast(by_key), F.col("key") == F.col("of_key")).drop("of_key")
+    same = (F.col("key") == F.col("in_key")) & (F.col("phrase") == F.col("in_phrase"))
+    near = spread.join(often, same)
+    far = spread.join(often, same, "left_anti").join(named.filter("NOT often").drop("often"), same)
+    return near.unionByName(far).drop("in_key", "in_phrase")
 
 
 def open_phrases(batch: pa.RecordBatch, row: int) -> pa.RecordBatch:
@@ -236,15 +302,16 @@ def removed_bytes(body: bytes, unit: np.ndarray, mask: np.ndarray) -> np.ndarray
     return np.cumsum(steps[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans and ``kept``, the bytes that remain.
 
     A byte is removed if a ``SPAN``-byte string of its text covers it that also starts in a document with a smaller id. NULL
     texts are empty; texts shorter than ``SPAN`` bytes lose nothing. A NULL id counts as larger than all others, rows of
-    one id do not remove from each other. Equal rows get equal results.
+    one id do not remove from each other. Equal rows get equal results. ``share`` says which triggers are frequent (see
+    ``frequent_triggers``); it changes the work, not the result.
     """
     texts = bodies(docs, doc_id, text)
-    shared = written(shared_phrases(parse(texts)), "phrases", tidy=True)
+    shared = written(shared_phrases(texts, share), "phrases", tidy=True)
     marks = written(suffix_marks(texts, shared), "suffix-marks", tidy=True)
     starts = F.expr("shiftleft(1L, CAST((shiftright(unit, 5) & 31) - (unit & 31) + 1 AS INT)) - 1")
     whole = shared.filter("whole").select("doc", "tag", "unit", starts.alias("mask"))

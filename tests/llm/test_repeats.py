@@ -46,16 +46,33 @@ def test_empty_table(spark, tmp_path):
     assert QUERIES["op7_suffix_dedup"](spark, folder(tmp_path, empty("documents"))).collect() == []
 
 
-@pytest.mark.parametrize("piece", [128, 1 << 18])
-def test_small_alphabet(spark, monkeypatch, piece):
-    """Texts full of overlapping repeats, cut into pieces or not; repeated rows, repeated ids, NULL ids and texts."""
+@pytest.mark.parametrize("piece, share", [(128, 1024), (128, 8), (1 << 18, 1024), (1 << 18, 8), (1 << 18, 1)])
+def test_small_alphabet(spark, monkeypatch, piece, share):
+    """Texts full of overlapping repeats, cut into pieces or not; repeated rows, repeated ids, NULL ids and texts.
+
+    With a ``share`` of 1,024 all triggers of so small a table are frequent, with 8 some, with 1 hardly any.
+    """
     monkeypatch.setattr(suffix_dedup, "PIECE", piece)
     draw = np.random.default_rng(piece)
     parts = ["".join(draw.choice(list("abé"), size=n)) for n in (20, 33, 60, 90, 140)]
     rows = [(int(i // 2), "".join(draw.choice(parts, size=4)) + str(i % 5)) for i in range(40)]
     rows += [rows[3], rows[3], (None, rows[5][1]), (None, rows[5][1]), (900, None), (901, ""), (902, "ab" * 200), (903, "ba" * 150)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert digest(suffix_dedup.remove_repeats(df)) == brute(rows)
+    assert digest(suffix_dedup.remove_repeats(df, share=share)) == brute(rows)
+
+
+def test_frequent_triggers(spark):
+    """Every trigger with the share asked for is found, none with less than half of it, from texts in many tasks."""
+    said = "a very common line that stands in nearly all of the documents of a table"
+    rows = [(k, (said if k % 4 else "") + "".join(chr(97 + (k * j * 7 + j * j) % 26) for j in range(100))) for k in range(400)]
+    texts = suffix_dedup.bodies(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), "doc_id", "text")
+    every = [r.key for r in suffix_dedup.parse(texts, [], False).collect()]
+    counts = {key: every.count(key) for key in set(every)}
+    got = suffix_dedup.frequent_triggers(texts, 64)
+    assert {k for k, n in counts.items() if n * 64 >= len(every)} <= set(got)
+    assert got and all(counts[k] * 128 >= len(every) for k in got) and len(got) < len(counts)
+    rare = {r.key for r in suffix_dedup.parse(texts, got, False).collect()}
+    assert rare == set(counts) - set(got) and {r.key for r in suffix_dedup.parse(texts, got, True).collect()} == set(got)
 
 
 def test_equal_strings_have_the_same_trigger():
