@@ -94,3 +94,17 @@ def test_many_rows_without_ids_and_texts_of_one_id(spark, tmp_path):
     rows = [(1, said)] + [(None, f"own text {k} {said} {k * 7919}") for k in range(6000)] + [(5, f"{k * 31} {said} five {k}") for k in range(3000)]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
     assert digest(suffix_dedup.remove_repeats(spark.read.parquet(f"{tmp_path}/docs"))) == brute(rows)
+
+
+def test_frequent_phrases_grow_with_their_occurrences(spark, tmp_path):
+    """A line of all documents: as many rows as occurrences, each once, and so twice as many for twice the documents."""
+    line, made = "".join(chr(97 + (i * i) % 23) for i in range(120)), []
+    for n in (300, 600):
+        rows = [(k, f"{k * 7919} {line} {k * 104729}") for k in range(n)]
+        spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/{n}")
+        texts = suffix_dedup.bodies(spark.read.parquet(f"{tmp_path}/{n}"), "doc_id", "text")
+        hot = suffix_dedup.written(suffix_dedup.parse(texts, suffix_dedup.frequent_triggers(texts, 64), True), "hot")
+        got = [(r.key, r.doc, r.tag, r.unit) for r in suffix_dedup.frequent_phrases(hot, 64).collect()]
+        assert len(got) == len(set(got)) and set(got) <= {(r.key, r.doc, r.tag, r.unit) for r in hot.collect()}
+        made.append(len(got))
+    assert made[0] > 300 and 1.9 < made[1] / made[0] < 2.1
