@@ -7,8 +7,8 @@ their strings cover. Phrases whose trigger stands in no other document are done
 phrase decides for all its strings by its smallest document. Where it has several, their ``SPAN``-byte strings are
 grouped by trigger, place and bytes. There is no suffix array of the dictionary or of the parse.
 
-Occurrences of rare triggers meet by a window over the trigger. Triggers that hold a large share of all occurrences are found
-first; theirs are aggregated in each task, and the few aggregates go back to the occurrences, which stay where they are.
+A task decides the occurrences whose phrase it has also met in a smaller document; these rows meet no others. The rest meet by
+a window over the trigger. Triggers that hold a large share of all occurrences are found first and split by their phrases.
 """
 
 from __future__ import annotations
@@ -26,7 +26,9 @@ STARTS = SPAN - TRIGGER + 1  # trigger places inside a string, and most starts a
 HALF = (SPAN - TRIGGER) // 2
 PIECE = 1 << 18
 ROWS = 50_000  # rows of a batch handed on
-SHARE = 1024  # a trigger, or a phrase, with one in so many occurrences is frequent
+GATHER = 1_000_000  # occurrences among which a task decides
+BLOCK = 24  # decided rows lie apart by document and 16 KB of place
+SHARE = 1024  # a trigger with one in so many occurrences is frequent
 LAST_ID = (1 << 63) - 1
 
 _SEED = np.random.default_rng(7)
@@ -152,29 +154,54 @@ def frequent_triggers(texts: DataFrame, share: int) -> list[int]:
     return [r.key for r in counted.filter(F.col("key").isNotNull() & (F.col("n") >= least)).collect()]
 
 
-def parse(texts: DataFrame, frequent: list[int], of_frequent: bool) -> DataFrame:
+def decided(found: np.ndarray, frequent: np.ndarray) -> pa.RecordBatch:
+    """Occurrences (key, phrase, doc, tag, unit) of one task as rows of the parse."""
+    key, phrase, doc, tag, unit = found
+    order = np.lexsort((doc, phrase))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (phrase[order[1:]] != phrase[order[:-1]]) | (key[order[1:]] != key[order[:-1]])
+    whole = np.empty(len(order), dtype=bool)
+    whole[order] = doc[order] > doc[order[np.flatnonzero(new)[np.cumsum(new) - 1]]]
+    part = np.where(np.isin(key, frequent), phrase, 0)
+    columns = [np.where(whole, doc, key), np.where(whole, unit >> BLOCK, part), whole, np.where(whole, 0, phrase), doc, tag, unit]
+    return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["key", "part", "whole", "phrase", "doc", "tag", "unit"])
+
+
+def parse(texts: DataFrame, frequent: list[int]) -> DataFrame:
     """The parse: one row per phrase occurrence. ``unit`` packs trigger place and the distances of its first and last start.
 
-    Gives the occurrences of the triggers in ``frequent``, or those of all others.
+    ``whole`` is told where a task meets the phrase in a smaller document too, among ``GATHER`` occurrences: such a row is
+    decided and needs no other, so document and place stand in for ``key`` and ``part``. Of a phrase that very many documents
+    share, the other rows are few, those of one document for each ``GATHER`` occurrences. ``part`` is the phrase where the trigger is one of
+    ``frequent``, else zero: rows that share key and part meet, so a frequent trigger is split by its phrases.
     """
-    known = np.array(frequent, dtype=np.int64).view(np.uint64)
+    known = np.array(frequent, dtype=np.int64)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
         for batch in batches:
             docs = batch.column("doc").to_numpy(zero_copy_only=False)
             tags = batch.column("tag").to_numpy(zero_copy_only=False)
             for pieces, sizes, data, piece in _joined(batch):
-                found = phrases(data, piece)
-                asked = np.isin(found[3], known) == of_frequent
-                first, last, place, key, phrase = (x[asked] for x in found)
+                first, last, place, key, phrase = phrases(data, piece)
                 of = piece[first]
                 rows = np.array([p[0] for p in pieces])[of]
                 shift = (np.array([p[1] for p in pieces]) - np.cumsum(sizes) + sizes)[of]
                 unit = ((place + shift) << 10) | ((place - first) << 5) | (place - last)
-                columns = [key.view(np.int64), phrase.view(np.int64), docs[rows], tags[rows], unit]
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["key", "phrase", "doc", "tag", "unit"])
+                waiting.append(np.stack([key.view(np.int64), phrase.view(np.int64), docs[rows], tags[rows], unit]))
+                size += len(unit)
+                if size >= GATHER:
+                    yield from _cut(decided(np.concatenate(waiting, axis=1), known))
+                    waiting, size = [], 0
+        if waiting:
+            yield from _cut(decided(np.concatenate(waiting, axis=1), known))
+
+    return texts.mapInArrow(each, "key long, part long, whole boolean, phrase long, doc long, tag long, unit long")
 
-    return texts.mapInArrow(each, "key long, phrase long, doc long, tag long, unit long")
+
+def _cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, ROWS):
+        yield batch.slice(start, ROWS)
 
 
 def shared_phrases(texts: DataFrame, share: int) -> DataFrame:
@@ -182,46 +209,18 @@ def shared_phrases(texts: DataFrame, share: int) -> DataFrame:
 
     ``whole``: the phrase also occurs in a smaller document, and all its strings with it. Otherwise the row is open: this is
     the phrase's smallest document, and the trigger has other phrases too. First occurrences of a trigger's only phrase
-    lose nothing and are left out.
+    lose nothing and are left out; those of frequent triggers stay open, their phrases do not meet here.
     """
-    frequent = frequent_triggers(texts, share)
-    found = rare_phrases(parse(texts, frequent, False))
-    if frequent:
-        found = found.unionByName(frequent_phrases(written(parse(texts, frequent, True), "frequent"), share))
-    whole = F.col("least") < F.col("doc")
-    kept = found.filter(whole | (F.col("a") < F.col("b")))
-    return kept.select(*[F.when(~whole, F.col(c)).alias(c) for c in ("key", "phrase")], "doc", "tag", "unit", whole.alias("whole"))
-
-
-def rare_phrases(occurrences: DataFrame) -> DataFrame:
-    """``occurrences`` of triggers in several documents, with the phrase's smallest document and the trigger's extreme phrases."""
-    by_key, by_phrase = Window.partitionBy("key"), Window.partitionBy("key", "phrase")
-    spread = occurrences.withColumns({"low": F.min("doc").over(by_key), "high": F.max("doc").over(by_key)})
-    spread = spread.filter("low < high")
+    met = ["key", "part", "whole"]
+    by_key, by_phrase = Window.partitionBy(*met), Window.partitionBy(*met, "phrase")
+    apart = F.col("whole") | (F.col("part") != 0)
+    spread = parse(texts, frequent_triggers(texts, share)).withColumns({"low": F.min("doc").over(by_key), "high": F.max("doc").over(by_key)})
+    spread = spread.filter(apart | (F.col("low") < F.col("high"))).drop("low", "high")
     several = spread.withColumns({"a": F.min("phrase").over(by_key), "b": F.max("phrase").over(by_key)})
-    return several.withColumn("least", F.min("doc").over(by_phrase)).drop("low", "high")
-
-
-def frequent_phrases(occurrences: DataFrame, share: int) -> DataFrame:
-    """The same for a written table of the occurrences of few triggers, each with very many.
-
-    Aggregates of the triggers are few. So are phrases with one in ``share`` of these occurrences; both are broadcast. The
-    other phrases, which may be many, meet their occurrences by a join in which no key is frequent.
-    """
-    counted = occurrences.groupBy("key", "phrase").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("n"))
-    counted = written(counted, "frequent-phrases")
-    by_key = counted.groupBy("key").agg(
-        F.min("least").alias("low"), F.max("most").alias("high"), F.min("phrase").alias("a"), F.max("phrase").alias("b")
-    )
-    by_key = by_key.filter("low < high").select(F.col("key").alias("of_key"), "a", "b")  # 2 x ``share`` rows at most
-    least = (counted.agg(F.sum("n")).first()[0] or 0) / share
-    named = counted.select(F.col("key").alias("in_key"), F.col("phrase").alias("in_phrase"), "least", (F.col("n") >= least).alias("often"))
-    often = F.broadcast(named.filter("often").drop("often"))  # ``share`` rows at most
-    spread = occurrences.join(F.broadcast(by_key), F.col("key") == F.col("of_key")).drop("of_key")
-    same = (F.col("key") == F.col("in_key")) & (F.col("phrase") == F.col("in_phrase"))
-    near = spread.join(often, same)
-    far = spread.join(often, same, "left_anti").join(named.filter("NOT often").drop("often"), same)
-    return near.unionByName(far).drop("in_key", "in_phrase")
+    found = several.withColumn("least", F.min("doc").over(by_phrase))
+    whole = F.col("whole") | (F.col("least") < F.col("doc"))
+    kept = found.filter(whole | apart | (F.col("a") < F.col("b")))
+    return kept.select(*[F.when(~whole, F.col(c)).alias(c) for c in ("key", "phrase")], "doc", "tag", "unit", whole.alias("whole"))
 
 
 def open_phrases(batch: pa.RecordBatch, row: int) -> pa.RecordBatch:

@@ -66,13 +66,25 @@ def test_frequent_triggers(spark):
     said = "a very common line that stands in nearly all of the documents of a table"
     rows = [(k, (said if k % 4 else "") + "".join(chr(97 + (k * j * 7 + j * j) % 26) for j in range(100))) for k in range(400)]
     texts = suffix_dedup.bodies(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), "doc_id", "text")
-    every = [r.key for r in suffix_dedup.parse(texts, [], False).collect()]
+    every = [key for _, text in rows for key in triggers(text)]
     counts = {key: every.count(key) for key in set(every)}
     got = suffix_dedup.frequent_triggers(texts, 64)
     assert {k for k, n in counts.items() if n * 64 >= len(every)} <= set(got)
     assert got and all(counts[k] * 128 >= len(every) for k in got) and len(got) < len(counts)
-    rare = {r.key for r in suffix_dedup.parse(texts, got, False).collect()}
-    assert rare == set(counts) - set(got) and {r.key for r in suffix_dedup.parse(texts, got, True).collect()} == set(got)
+
+    parsed, said = suffix_dedup.parse(texts, got).collect(), dict(rows)
+    assert len(parsed) == len(every) == len({(r.doc, r.unit) for r in parsed})
+    first = {}
+    for r in sorted(parsed, key=lambda r: r.doc):
+        place, lead, trail = r.unit >> 10, (r.unit >> 5) & 31, r.unit & 31
+        least = first.setdefault(said[r.doc][place - lead : place - trail + 50], r.doc)
+        assert least < r.doc if r.whole else r.part == (r.phrase if r.key in got else 0)
+    assert {r.key for r in parsed if not r.whole} == set(counts) and any(r.whole for r in parsed)
+
+
+def triggers(text):
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    return suffix_dedup.phrases(data, np.zeros(len(data), dtype=int))[3].view(np.int64).tolist()
 
 
 def test_equal_strings_have_the_same_trigger():
@@ -96,15 +108,22 @@ def test_many_rows_without_ids_and_texts_of_one_id(spark, tmp_path):
     assert digest(suffix_dedup.remove_repeats(spark.read.parquet(f"{tmp_path}/docs"))) == brute(rows)
 
 
-def test_frequent_phrases_grow_with_their_occurrences(spark, tmp_path):
-    """A line of all documents: as many rows as occurrences, each once, and so twice as many for twice the documents."""
+@pytest.mark.parametrize("gather", [50, 1_000_000])
+def test_line_of_all_documents(spark, tmp_path, monkeypatch, gather):
+    """Each occurrence gives one row, so twice as many for twice the documents; those that meet by key and part stay few."""
+    monkeypatch.setattr(suffix_dedup, "GATHER", gather)
     line, made = "".join(chr(97 + (i * i) % 23) for i in range(120)), []
     for n in (300, 600):
         rows = [(k, f"{k * 7919} {line} {k * 104729}") for k in range(n)]
-        spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/{n}")
-        texts = suffix_dedup.bodies(spark.read.parquet(f"{tmp_path}/{n}"), "doc_id", "text")
-        hot = suffix_dedup.written(suffix_dedup.parse(texts, suffix_dedup.frequent_triggers(texts, 64), True), "hot")
-        got = [(r.key, r.doc, r.tag, r.unit) for r in suffix_dedup.frequent_phrases(hot, 64).collect()]
-        assert len(got) == len(set(got)) and set(got) <= {(r.key, r.doc, r.tag, r.unit) for r in hot.collect()}
-        made.append(len(got))
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(4).write.parquet(f"{tmp_path}/{n}")
+        docs = spark.read.parquet(f"{tmp_path}/{n}")
+        texts = suffix_dedup.bodies(docs, "doc_id", "text")
+        parsed = suffix_dedup.parse(texts, suffix_dedup.frequent_triggers(texts, 64))
+        made.append(parsed.count())
+        if gather > 50:  # one row a task of a frequent trigger's phrase, and other triggers are rare
+            met = {(r.key, r.part): r["count"] for r in parsed.filter("NOT whole").groupBy("key", "part").count().collect()}
+            tasks = docs.rdd.getNumPartitions()
+            assert max(n for (_, part), n in met.items() if part) <= tasks < 10
+            assert max(n for (_, part), n in met.items() if not part) <= max(tasks, made[-1] / 64)
+        assert digest(suffix_dedup.remove_repeats(docs, share=64)) == brute(rows)
     assert made[0] > 300 and 1.9 < made[1] / made[0] < 2.1
