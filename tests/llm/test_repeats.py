@@ -122,7 +122,7 @@ def test_line_of_all_documents(spark, tmp_path, monkeypatch, gather):
         made.append(parsed.count())
         if gather > 50:  # one row a task of a frequent trigger's phrase, and other triggers are rare
             met = {(r.key, r.part): r["count"] for r in parsed.filter("NOT whole").groupBy("key", "part").count().collect()}
-            tasks = docs.rdd.getNumPartitions()
+            tasks = texts.rdd.getNumPartitions()
             assert max(n for (_, part), n in met.items() if part) <= tasks < 10
             assert max(n for (_, part), n in met.items() if not part) <= max(tasks, made[-1] / 64)
         assert digest(suffix_dedup.remove_repeats(docs, share=64)) == brute(rows)
