@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import scratch_path
 
+FILTER_BITS = 1 << 26
+
 # White space of a word split, as a pattern of both Java and Python.
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -55,6 +57,20 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_key"] == right["text_key"])
 
 
+def likely_rows(rows: DataFrame, keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """The ``rows`` whose ``key`` is one of ``keys``, and a few others; they stay where they are.
+
+    ``keys`` are hashed into ``bits`` bits, one row for each 64 of them with a key: 1,048,576 rows of 16 bytes at most, which are
+    broadcast. With many more keys than bits all rows pass, so an exact join has to follow.
+    """
+    bit = F.pmod(F.xxhash64(key), F.lit(bits))
+    marked = keys.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("of_slot"))
+    slots = written(marked.agg(F.expr("bit_or(shiftleft(1L, CAST(bit & 63 AS INT)))").alias("mask")), "filter")
+    placed = rows.select(F.struct(*rows.columns).alias("row"), bit.alias("bit"))
+    met = placed.join(F.broadcast(slots), F.shiftright("bit", 6) == F.col("of_slot"))
+    return met.filter("shiftrightunsigned(mask, CAST(bit & 63 AS INT)) & 1L = 1").select("row.*")
+
+
 def dealt_out(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Rows sorted by keys, equal ones together, in as many tasks as a shuffle has.
 

@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import same_row, written
+from .common import likely_rows, same_row, written
 
 WINDOW = 10
 RAREST = 2
@@ -166,7 +166,8 @@ def _near(said: list[bytes], item: list[bytes], low: int, high: int, size: int,
 def matches(docs: DataFrame, found: DataFrame, tests: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
     """Per document with a match: its key, ``spans`` (start, stop, item_key) of exact phrases and ``near`` item keys.
 
-    ``found`` is what ``candidates`` gives. The words of the documents and of the items decide.
+    ``found`` is what ``candidates`` gives. The words of the documents and of the items decide. Texts without a candidate are
+    not shuffled, but for a few.
     """
     said_items = tests.groupBy("item_key").agg(F.array_sort(F.collect_list(F.struct("place", "term"))).alias("w"))
     said_items = said_items.select(F.col("item_key").alias("of_item"), F.col("w.term").alias("terms"))
@@ -193,8 +194,9 @@ def matches(docs: DataFrame, found: DataFrame, tests: DataFrame, window: int = W
             yield pd.DataFrame(out, columns=["doc", "text_key", "spans", "near"])
 
     hit = by_doc.hint("shuffle_hash")
-    joined = docs.join(hit, same_row(docs, hit)).select(
-        docs["doc_id"].cast("string").alias("doc"), docs["text_key"], "text", "asked"
+    likely = likely_rows(docs, found, "text_key")
+    joined = likely.join(hit, same_row(likely, hit)).select(
+        likely["doc_id"].cast("string").alias("doc"), likely["text_key"], "text", "asked"
     )
     span = "array<struct<start: int, stop: int, item_key: string>>"
     checked = joined.mapInPandas(each, f"doc string, text_key long, spans {span}, near array<string>")

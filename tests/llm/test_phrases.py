@@ -1,7 +1,7 @@
 import re
 
 from slicewise.llm import decontamination
-from slicewise.llm.common import runs
+from slicewise.llm.common import likely_rows, runs
 
 
 def found(spark, docs, items, **options):
@@ -47,6 +47,21 @@ def test_repeated_rows_and_null_ids(spark):
     assert found(spark, docs, [("a", ITEM), ("a", ITEM)]) == want
 
 
+def test_likely_rows(spark):
+    """Every row with a key of the others stays, once; few others do, unless the keys are many for the bits."""
+    rows = spark.createDataFrame([(k // 2, f"t{k}", k) for k in range(4000)] + [(None, "none", 0)], "key long, text string, bit int")
+    keys = spark.range(5, 500, 5).selectExpr("id AS key").unionAll(spark.range(5, 500, 5).selectExpr("id AS key"))
+    asked = {k for k in range(10, 1000, 10)} | {k + 1 for k in range(10, 1000, 10)}
+    found = likely_rows(rows, keys, "key")
+    assert found.columns == rows.columns and "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    got = [r.bit for r in found.filter("key IS NOT NULL").collect()]
+    assert len(got) == len(set(got)) == len(asked) and set(got) == asked
+    some = [r.bit for r in likely_rows(rows, keys, "key", bits=1024).collect()]
+    assert asked <= set(some) and len(asked) < len(some) < 1000
+    assert likely_rows(rows, spark.range(5000).selectExpr("id AS key"), "key", bits=64).count() == 4001
+    assert likely_rows(rows, keys.limit(0), "key").count() == 0
+
+
 def test_runs_go_over_batches():
     import pandas as pd
 
