@@ -1,3 +1,5 @@
+import collections
+import math
 import zlib
 
 import numpy as np
@@ -43,6 +45,100 @@ def test_without_labels_or_documents(spark, tmp_path, name, label, mod, held, le
     assert QUERIES[name](spark, folder(other, documents([], base=False))).collect() == []
 
 
+def brute_statistics(text):
+    """Each statistic of a text by its definition."""
+    text = text or ""
+    words, lines, raw = text.split(), [x for x in text.split("\n") if x.strip()], text.encode()
+    sizes, n, size = [len(w) for w in words] or [0], max(1, len(words)), max(1, len(raw))
+    mean = sum(sizes) / len(sizes)
+    bytes_of = [raw.count(bytes([b])) for b in range(256)]
+    return [
+        math.log(1 + len(words)),
+        mean,
+        math.sqrt(sum((x - mean) ** 2 for x in sizes) / len(sizes)),
+        math.log(1 + max(sizes)),
+        len(set(words)) / n,
+        len({(a, b) for a, b in zip(words, words[1:])}) / n,
+        max((words.count(w) for w in set(words)), default=0) / n if len(words) < 5000 else collections.Counter(words).most_common(1)[0][1] / n,
+        math.log(1 + size / max(1, len(lines))),
+        len(set(lines)) / max(1, len(lines)),
+        -sum(k / size * math.log(k / size) for k in bytes_of if k),
+        sum(bytes_of[128:]) / size,
+        *[math.sqrt(sum(bytes_of[b] for b in kind) / size) for kind in quality_classifier.CLASSES],
+    ]
+
+
+def brute_rising(x, weight, total):
+    """The rising fit by its formula: at each place the largest, over starts, of the least mean to a later end."""
+    n, below = len(x), np.concatenate([[0], np.cumsum(total)])
+    held = np.concatenate([[0], np.cumsum(weight)])
+    fit = [
+        max(min((below[b + 1] - below[a]) / (held[b + 1] - held[a]) for b in range(i, n)) for a in range(i + 1))
+        for i in range(n)
+    ]
+    pools = []
+    for at, w, value in zip(x, weight, fit):
+        if pools and abs(pools[-1][2] - value) < 1e-9:
+            pools[-1][0] += at * w
+            pools[-1][1] += w
+        else:
+            pools.append([at * w, w, value])
+    return [p[0] / p[1] for p in pools], [p[2] for p in pools]
+
+
+def brute_ridge(z, y):
+    """Ridge weights by least squares on rows for the penalty, none but a trace for the constant."""
+    penalty = np.full(z.shape[1], math.sqrt(quality_classifier.RIDGE))
+    penalty[-1] = 1e-3
+    return np.linalg.lstsq(np.vstack([z, np.diag(penalty)]), np.concatenate([y, np.zeros(z.shape[1])]), rcond=None)[0]
+
+
+def brute_quality(train, texts):
+    """Scores of ``texts`` by a model of the (text, label, fold) in ``train``."""
+    stats = np.array([brute_statistics(t) for t, _, _ in train])
+    y, fold = (np.array([r[i] for r in train]) for i in (1, 2))
+    mean, sd = stats.mean(axis=0), stats.std(axis=0)
+    drawn = quality_classifier.projection_of(mean, sd)
+
+    def features(rows):
+        scaled = np.clip((rows - mean) / np.where(sd > 1e-9, sd, 1.0), -6, 6)
+        waves = np.array([np.cos(drawn.waves.T @ r + drawn.phases) for r in scaled]) * math.sqrt(2 / len(drawn.phases))
+        return np.hstack([waves, np.ones((len(rows), 1))])
+
+    z, bins = features(stats), {}
+    for k in set(fold.tolist()):
+        for raw, label in zip(z[fold == k] @ brute_ridge(z[fold != k], y[fold != k]), y[fold == k]):
+            one = bins.setdefault(round(min(1.5, max(-0.5, raw)) * quality_classifier.BINS), [0, 0])
+            one[0] += 1
+            one[1] += label
+    at = sorted(bins)
+    knots, values = brute_rising(at, [bins[b][0] for b in at], [bins[b][1] for b in at])
+    raw = features(np.array([brute_statistics(t) for t in texts])) @ brute_ridge(z, y)
+    return np.interp(raw, np.array(knots) / quality_classifier.BINS, values)
+
+
+@pytest.mark.parametrize("text", [t for _, t, _, _ in HARD])
+def test_statistics_against_their_definitions(text):
+    assert np.allclose(quality_classifier.statistics(text), brute_statistics(text))
+
+
+def test_quality_query_against_brute_force(spark, tmp_path):
+    """The whole query: training rows by the remainder, five folds, calibration, the scores of all documents."""
+    table = documents()
+    where = folder(tmp_path, table)
+    rows = QUERIES["op2_quality_classifier"](spark, where).collect()
+    said = dict(zip(table["doc_id"].to_pylist(), table["text"].to_pylist()))
+    told = {}
+    for r in pq.read_table(f"{where}/labels.parquet").to_pylist():
+        if r["quality"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1:
+            told[r["doc_id"]] = min(r["quality"], told.get(r["doc_id"], 1))
+    folds = {r.id: r.fold for r in spark.range(1_000_000).filter(F.col("id").isin(list(told))).selectExpr("id", "pmod(xxhash64(id), 5) AS fold").collect()}
+    train = [(said[i], told[i], folds[i]) for i in told if i in said]
+    assert len(train) > 20 and len({r[1] for r in train}) == 2
+    want = brute_quality(train, [said[r.doc_id] for r in rows])
+    assert len(rows) == len(table) and np.allclose([r.score for r in rows], want, atol=2e-3)
+
+
 def test_normal_equations_are_those_of_all_rows(spark):
     draw = np.random.default_rng(2)
     stats, label, fold = draw.normal(size=(300, 4)), draw.integers(0, 2, 300), draw.integers(0, 5, 300)
