@@ -126,14 +126,20 @@ def normal_equations(rows: DataFrame, projection: Projection, folds: int = FOLDS
             if sums[k].any():
                 yield pd.DataFrame({"fold": k, "line": np.arange(size), "part": list(sums[k])})
 
-    def add(key, parts: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"fold": [key[0]], "line": [key[1]], "part": [np.sum(np.stack(parts["part"]), axis=0)]})
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for fold, line, part in zip(batch["fold"], batch["line"], batch["part"]):
+                sums[fold, line] = sums[fold, line] + part if (fold, line) in sums else part
+        if sums:
+            yield pd.DataFrame({"fold": [k for k, _ in sums], "line": [i for _, i in sums], "part": list(sums.values())})
 
     schema = "fold int, line int, part array<double>"
-    lines = rows.mapInPandas(partial, schema).groupBy("fold", "line").applyInPandas(add, schema).collect()
+    # Lines are added as they come, so a task holds one of each, however many tasks send one.
+    lines = rows.mapInPandas(partial, schema).repartition("fold", "line").mapInPandas(add, schema).collect()
     total = np.zeros((folds, size, size + 1))
     for row in lines:  # at most folds x features rows
-        total[row.fold, row.line] = row.part
+        total[row.fold, row.line] += row.part
     return total
 
 
