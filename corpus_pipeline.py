@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from slicewise.llm import decontamination, line_dedup, mixing, quality_classifier, simhash_dedup
-from slicewise.llm.common import row_key, same_row, written
+from slicewise.llm.common import likely_rows, row_key, same_row, written
 
 MIN_SCORE = 0.5
 MIN_SITES, MIN_TEXTS = 10, 10
@@ -17,8 +17,9 @@ MIN_SITES, MIN_TEXTS = 10, 10
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents that score below ``MIN_SCORE`` go. It learns from all labels of these documents."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    labelled = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    stats = written(quality_classifier.document_statistics(labelled), "statistics")
+    # Texts stay where they are: a filter of the labelled ids lets some others pass, and training joins by id.
+    ids = labels.select(F.col("doc_id").try_cast(docs.schema["doc_id"].dataType).alias("doc_id"))
+    stats = written(quality_classifier.document_statistics(likely_rows(docs, ids, "doc_id")), "statistics")
     model = quality_classifier.train(stats, labels, F.lit(True))
     return docs.filter(quality_classifier.score_texts(model)(F.col("text")) >= MIN_SCORE)
 
