@@ -50,31 +50,32 @@ def rake(
     ``max_rounds``, or when rounds no longer bring the marginals closer, as with targets that exclude each other or bounds
     that leave no room; the error tells.
     """
-    held, weighed = {}, cells.withColumn("weight", F.col("tokens").cast("double"))
-    for dim, target in targets.items():
+    shares, weighed = {}, cells.withColumn("weight", F.col("tokens").cast("double"))
+    for i, (dim, target) in enumerate(targets.items()):
         told = target.groupBy(F.col("value").alias("of")).agg(F.sum("share").alias("share")).filter("share > 0")
         present = told.join(cells.select(F.col(dim).alias("of")).distinct(), "of", "left_semi")
         total = present.agg(F.sum("share")).first()[0]
-        held[dim] = written(present.select("of", (F.col("share") / F.lit(total)).alias("share")), "targets")
-        weighed = weighed.join(held[dim].select(F.col("of").alias(dim)), dim, "left_semi")
-    weighed, error, rounds = written(weighed.select(*cells.columns, "weight"), "cells"), 0.0, 0
+        shares[dim] = f"share_{i}"
+        held = written(present.select("of", (F.col("share") / F.lit(total)).alias("share")), "targets")
+        weighed = weighed.join(held.select(F.col("of").alias(dim), F.col("share").alias(shares[dim])), dim)
+    weighed, error, rounds = written(weighed.select(*cells.columns, *shares.values(), "weight"), "cells"), 0.0, 0
     while rounds < max_rounds:
-        off, weighed = F.lit(0.0), weighed.withColumn("off", F.lit(0.0))
-        for dim, target in held.items():
-            sums = weighed.groupBy(F.col(dim).alias("of")).agg(F.sum("weight").alias("now"))
-            scale = sums.join(target, "of").select("of", (F.col("share") / F.col("now")).alias("scale"))
+        weighed = weighed.withColumn("off", F.lit(0.0))
+        # A table a step, with one join: in one plan each step holds the one before twice, and its relations stay on the driver.
+        for dim, share in shares.items():
+            scale = weighed.groupBy(F.col(dim).alias("of")).agg((F.max(share) / F.sum("weight")).alias("scale"))
             weight, off = F.col("weight") * F.col("scale"), F.abs(F.col("scale") - 1)
-            weighed = weighed.join(scale, F.col(dim) == F.col("of")).select(
+            scaled = weighed.join(scale, F.col(dim) == F.col("of")).select(
                 *cells.columns,
+                *shares.values(),
                 (weight if most is None else F.least(weight, most)).alias("weight"),
                 F.greatest("off", off).alias("off"),
             )
-        done = written(weighed, "cells")
-        before, error = error, done.agg(F.max("off")).first()[0] or 0.0
-        weighed, rounds = done.drop("off"), rounds + 1
+            weighed = written(scaled, "cells")
+        before, error, rounds = error, weighed.agg(F.max("off")).first()[0] or 0.0, rounds + 1
         if error <= tolerance or rounds > 1 and error > STALLED * before:
             break
-    return weighed, error, rounds
+    return weighed.select(*cells.columns, "weight"), error, rounds
 
 
 def draw(seed: int, *identity: Column) -> Column:

@@ -55,6 +55,19 @@ def test_targets_that_exclude_each_other_end(spark):
     assert rounds <= 30 and error >= 0
 
 
+def test_a_step_needs_one_join_and_no_step_before_it(spark, monkeypatch):
+    joins, write = [], mixing.written
+
+    def counted(df, name):
+        if name == "cells":
+            joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join Inner"))
+        return write(df, name)
+
+    monkeypatch.setattr(mixing, "written", counted)
+    _, _, rounds = raked(spark, F.col("tokens") / 150)
+    assert rounds > 1 and joins[1:] == [1] * (len(SHARES) * rounds)
+
+
 def test_targets_that_are_not_met_are_told(spark):
     rows = [(i, "a b c", ["a", "b"][i % 2], ["x", "y"][i % 2]) for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
